@@ -10,7 +10,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -54,6 +54,15 @@ def map_columns(df: DataFrame, keep: list[str], give: list[str], out: list[tuple
     return df.select(*cols).mapInArrow(run, schema)
 
 
+def packed(docs: DataFrame) -> Column:
+    """All columns of a row as one struct `row`, so that no name of ours can clash with an input's."""
+    return F.struct(*docs.columns).alias("row")
+
+
+def unpacked(df: DataFrame) -> DataFrame:
+    return df.select("row.*")
+
+
 # --- words -----------------------------------------------------------------------------------------------------
 
 #: Bytes to bytes: A-Z to a-z, ASCII other than letters and digits to a blank. Bytes from 0x80 belong to words.

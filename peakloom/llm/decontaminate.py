@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import SLICE_ROWS, text_of, words
+from .common import SLICE_ROWS, packed, text_of, unpacked, words
 
 WINDOW = 13  # words
 BLOCK_BYTES = 16 << 20  # of benchmark text broadcast at once
@@ -103,7 +103,7 @@ class FMIndex:
             if new[-1] == n - 1 or k >= n:
                 break
             k *= 2
-        self.n = n
+        self.n, self.top = n, int(text.max())
         bwt = text[sa - 1]
         counts = np.bincount(text, minlength=int(text.max()) + 2)
         self.first = np.concatenate([[0], np.cumsum(counts)])  # rows that start with a smaller symbol
@@ -142,7 +142,7 @@ class FMIndex:
         lo, hi = np.zeros(len(patterns), np.int64), np.full(len(patterns), self.n, np.int64)
         for j in range(patterns.shape[1] - 1, -1, -1):
             c = patterns[alive, j]
-            there = c < len(self.first) - 1
+            there = c <= self.top
             alive, lo, hi, c = alive[there], lo[there], hi[there], c[there]
             lo, hi = self.first[c] + self.ranks(c, lo), self.first[c] + self.ranks(c, hi)
             some = hi > lo
@@ -245,15 +245,15 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """The input's rows and columns without contaminated documents (same rules as `decontaminate`)."""
-    found = _all_passes(docs, docs.columns, text_col, _blocks(benchmark, item_col, item_text_col), prefix="_")
-    return found.where(~F.col("_contaminated")).select(*docs.columns)
+    rows = docs.select(packed(docs), F.col(text_col).alias("text"))
+    return unpacked(_all_passes(rows, ["row"], "text", _blocks(benchmark, item_col, item_text_col)).where("not contaminated"))
 
 
-def _all_passes(docs: DataFrame, keep: list[str], text_col: str, blocks: list, prefix: str = "") -> DataFrame:
+def _all_passes(docs: DataFrame, keep: list[str], text_col: str, blocks: list) -> DataFrame:
     sc = docs.sparkSession.sparkContext
     out = docs.select(*keep, F.col(text_col).alias("_text"), F.lit(None).cast("array<int>").alias("_spans"), F.lit(None).cast("array<string>").alias("_items"))
     for k, block in enumerate(blocks):
-        out = _pass(out, keep, sc.broadcast(block), k == len(blocks) - 1, prefix)
+        out = _pass(out, keep, sc.broadcast(block), k == len(blocks) - 1)
     return out
 
 
@@ -261,9 +261,9 @@ _FOUND = [("spans", "array<int>", pa.list_(pa.int32())), ("items", "array<string
 _COUNTS = [("n_words", "bigint", pa.int64()), ("n_hit", "bigint", pa.int64()), ("n_items", "bigint", pa.int64()), ("items_sha256", "string", pa.string()), ("contaminated", "boolean", pa.bool_())]
 
 
-def _pass(df: DataFrame, keep: list[str], block, last: bool, prefix: str) -> DataFrame:
+def _pass(df: DataFrame, keep: list[str], block, last: bool) -> DataFrame:
     """One block's windows; df: `keep`, then _text and what earlier blocks found. The last pass gives the counts."""
-    own = [(prefix + n, t, k) for n, t, k in [*_COUNTS, *_FOUND]] if last else [("_text", "string", pa.string()), *(("_" + n, t, k) for n, t, k in _FOUND)]
+    own = [*_COUNTS, *_FOUND] if last else [("_text", "string", pa.string()), *(("_" + n, t, k) for n, t, k in _FOUND)]
     schema = T.StructType([*(df.schema[c] for c in keep), *(T.StructField(n, T._parse_datatype_string(t)) for n, t, _ in own)])
     m = len(keep)
 

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_of, written
+from .common import packed, text_of, written
 
 RATIO = 0.1
 MIN_PAGES = 3
@@ -45,12 +45,13 @@ def drop_boilerplate(docs: DataFrame, host, text_col: str = "text", ratio: float
     pages = base.groupBy("_host").agg(F.count(F.lit(1)).alias("_pages"))
     boilerplate = written(counts.join(pages, "_host").where(F.col("_n") > ratio * F.col("_pages")).select("_host", "_a", "_b"))
     hits = written(lines.join(boilerplate, ["_host", "_a", "_b"]).groupBy("_host", "_key").agg(F.collect_set("_a").alias("_bad")))
-    keyed = docs.withColumns({"_host": F.coalesce(host, F.lit("")), "_key": F.unhex(F.md5(text_of(text_col)))})
+    keyed = docs.select(packed(docs), F.coalesce(host, F.lit("")).alias("_host"), F.unhex(F.md5(text_of(text_col))).alias("_key"), F.col(text_col).alias("_text"))
     joined = keyed.join(hits, ["_host", "_key"], "left")
-    kept = F.filter(_lines(F.col(text_col)), lambda x: ~F.array_contains(F.col("_bad"), F.xxhash64(_trimmed(x))))
+    kept = F.filter(_lines(F.col("_text")), lambda x: ~F.array_contains(F.col("_bad"), F.xxhash64(_trimmed(x))))
     joined = joined.withColumn("_lines", F.when(F.col("_bad").isNotNull(), kept))
-    n = F.coalesce(F.size(_lines(F.col(text_col))), F.lit(0)).cast("bigint")
-    n = F.when(F.col(text_col).isNull(), F.lit(0).cast("bigint")).otherwise(n)
-    joined = joined.withColumns({"_n_lines": n, "_n_dropped": F.when(F.col("_lines").isNull(), F.lit(0).cast("bigint")).otherwise(n - F.size("_lines"))})
-    cleaned = F.when(F.col("_lines").isNull(), F.col(text_col)).otherwise(F.array_join("_lines", "\n"))
-    return joined.withColumn(text_col, cleaned).select(*docs.columns, "_n_lines", "_n_dropped")
+    none = F.lit(0).cast("bigint")
+    n = F.when(F.col("_text").isNull(), none).otherwise(F.size(_lines(F.col("_text"))).cast("bigint"))
+    dropped = F.when(F.col("_lines").isNull(), none).otherwise(n - F.size("_lines"))
+    cleaned = F.when(F.col("_lines").isNull(), F.col("_text")).otherwise(F.array_join("_lines", "\n"))
+    columns = [cleaned.alias(c) if c == text_col else F.col("row").getField(c).alias(c) for c in docs.columns]
+    return joined.select(*columns, n.alias("_n_lines"), dropped.alias("_n_dropped"))

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import bag_minhash
-from .common import WordHashes, shingles, text_of, words
+from .common import WordHashes, packed, shingles, text_of, unpacked, words
 from .neardup import LIKENESS, classes
 
 
@@ -60,6 +60,6 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", li
     """The input's columns; one row of each class: of rows with the least id (repeated rows) one stays."""
     kept = near_duplicates(docs, id_col, text_col, likeness).where("kept")
     kept = kept.groupBy(F.col("class_id").alias("_id")).agg(F.min("key").alias("_kept"))
-    keyed = docs.withColumn("_key", F.unhex(F.md5(text_of(text_col))))
-    match = F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_kept"))
-    return keyed.join(kept, match, "left_semi").dropDuplicates([id_col, "_key"]).select(*docs.columns)
+    keyed = docs.select(packed(docs), F.col(id_col).alias("_own"), F.unhex(F.md5(text_of(text_col))).alias("_key"))
+    match = F.col("_own").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_kept"))
+    return unpacked(keyed.join(kept, match, "left_semi").dropDuplicates(["_own", "_key"]))

@@ -11,7 +11,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHashes, map_columns
+from .common import WordHashes, map_columns, packed, unpacked
 
 PASSAGE = 64  # words
 TRAIN_ROWS = 4000  # labelled documents that a model is fitted on, at most
@@ -196,4 +196,5 @@ def score_quality(docs: DataFrame, model: Model, id_col: str = "doc_id", text_co
 
 def accepted(docs: DataFrame, model: Model, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """The input's rows and columns whose score reaches the threshold."""
-    return _scored(docs, model, docs.columns, text_col).where(F.col("_score") >= threshold).select(*docs.columns)
+    rows = docs.select(packed(docs), F.col(text_col).alias("text"))
+    return unpacked(_scored(rows, model, ["row"], "text").where(F.col("_score") >= threshold))
