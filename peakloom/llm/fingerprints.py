@@ -145,20 +145,11 @@ def _make_bands():
     return f
 
 
-def _make_likeness():
+def _make_features():
     hashes = WordHashes()
-
-    def f(left, right):
-        out = []
-        for a, b in zip(left, right):
-            a, b = (np.unique(shingles(hashes.of(words(x)))) for x in (a, b))
-            both = len(np.intersect1d(a, b, assume_unique=True))
-            out.append(both / (len(a) + len(b) - both) if both else 0.0)
-        return [out]
-
-    return f
+    return lambda text: np.unique(shingles(hashes.of(words(text))))
 
 
 def link_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = LIKENESS) -> DataFrame:
     """One row per input row: id, key of its text, class_id, class_size, n_links, by joined bands and verified Jaccard."""
-    return classes(docs, _make_bands, _make_likeness, id_col, text_col, least)
+    return classes(docs, _make_bands, _make_features, id_col, text_col, least)

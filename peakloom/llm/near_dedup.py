@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import bag_minhash
-from .common import WordHashes, packed, shingles, text_of, unpacked, words
+from .common import WordHashes, mix, packed, shingles, text_of, unpacked, words
 from .neardup import LIKENESS, classes
 
 
@@ -30,17 +30,14 @@ def make_bands():
     return f
 
 
-def make_likeness():
+def make_features():
+    """A hash for each copy of each shingle: the Jaccard likeness of these sets is that of the multisets."""
     hashes = WordHashes()
 
-    def f(left, right):
-        last, kept = None, None
-        out = []
-        for a, b in zip(left, right):
-            if last is None or b != last:  # pairs of one leader often follow each other
-                last, kept = b, bag(b, hashes)
-            out.append(bag_minhash.multiset_likeness(bag(a, hashes), kept))
-        return [out]
+    def f(text):
+        e, n = bag(text, hashes)
+        copy = np.arange(int(n.sum()), dtype=np.uint64) - np.repeat(np.cumsum(n) - n, n).astype(np.uint64)
+        return np.sort(mix(np.repeat(e, n) + copy * np.uint64(0x9E3779B97F4A7C15)))
 
     return f
 
@@ -52,7 +49,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     five-word shingles; a text of one to four words is one shingle. Texts without words (null and empty too) are alike
     only if equal. The representative has the least id; rows without an id come last. Repeated rows are one class.
     """
-    found = classes(docs, make_bands, make_likeness, id_col, text_col, likeness)
+    found = classes(docs, make_bands, make_features, id_col, text_col, likeness)
     return found.withColumn("kept", F.col(id_col).eqNullSafe(F.col("class_id")))
 
 

@@ -1,29 +1,84 @@
 """From signature bands to verified links and classes of near-duplicates, for any signature and likeness.
 
 Equal texts are one node, named by the text's md5, so groups of exact copies never meet each other. Nodes that share a
-band are candidates. First each is held against the least node of its bucket, which joins the usual family of copies in
-time linear in its size; then, in buckets that still hold several components, all pairs across components are verified,
-so that no link between different texts is lost. Only pairs within one component are never expanded.
+band are candidates. First each is held against the leader of its bucket, which joins the usual family of copies in
+time linear in its size; then, in buckets that still hold several components, pairs across components are verified block
+by block, so that no link between different texts is lost. Pairs never become rows unless they are alike.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import map_columns, text_of, written
 
 LIKENESS = 0.8
+BLOCK_ROWS = 512
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, make: Callable, least: float) -> DataFrame:
+def _verified(pairs: DataFrame, texts: DataFrame, make_features: Callable, least: float) -> DataFrame:
     """pairs (a, b) whose texts are alike at least so much."""
-    one = texts.select(F.col("key").alias("a"), F.col("text").alias("text_a"))
-    two = texts.select(F.col("key").alias("b"), F.col("text").alias("text_b"))
-    both = pairs.join(one, "a").join(two, "b")
-    return map_columns(both, ["a", "b"], ["text_a", "text_b"], [("likeness", "double")], make).where(F.col("likeness") >= least)
+
+    def make():
+        features = make_features()
+
+        def f(left, right):
+            last, kept, out = None, None, []
+            for a, b in zip(left, right):
+                if last is None or b != last:  # pairs of one leader often follow each other
+                    last, kept = b, features(b)
+                own = features(a)
+                both = len(np.intersect1d(own, kept, assume_unique=True))
+                out.append(both / (len(own) + len(kept) - both) if both else 0.0)
+            return [out]
+
+        return f
+
+    one = texts.select(F.col("key").alias("b"), F.col("text").alias("text_b"))
+    two = texts.select(F.col("key").alias("a"), F.col("text").alias("text_a"))
+    both = pairs.join(one, "b").join(two, "a")
+    return map_columns(both, ["a", "b"], ["text_a", "text_b"], [("likeness", "double")], make).where(F.col("likeness") >= least).select("a", "b")
+
+
+def _verified_in_blocks(members: DataFrame, texts: DataFrame, make_features: Callable, least: float) -> DataFrame:
+    """(a, b) of all alike pairs across the roots of a bucket; members: (band, key, root).
+
+    A bucket is cut into blocks of about BLOCK_ROWS texts, and each pair of blocks is one group, held as a matrix of
+    features: memory is bounded, whatever the bucket's size, and pairs that are not alike never become rows.
+    """
+    blocks = members.groupBy("band").agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).cast("int").alias("blocks"))
+    dealt = members.join(blocks, "band").withColumn("own", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
+    dealt = dealt.select("band", "key", "root", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    dealt = dealt.select("band", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "key", "root").join(texts, "key")
+
+    def compare(table: pa.Table) -> pa.Table:
+        features = make_features()
+        keys, roots = table["key"].to_pylist(), table["root"].to_pylist()
+        found = [features(t) for t in table["text"].to_pylist()]
+        size = np.array([len(x) for x in found], np.float32)
+        column, seen = np.unique(np.concatenate(found), return_inverse=True, return_counts=True)[1:]
+        line = np.repeat(np.arange(len(found)), [len(x) for x in found])
+        shared = seen[column] > 1
+        line, column = line[shared], np.unique(column[shared], return_inverse=True)[1]
+        both = np.zeros((len(found), len(found)), np.float32)
+        order = np.argsort(column, kind="stable")
+        line, column = line[order], column[order]
+        for c in range(0, int(column.max(initial=-1)) + 1, 2048):
+            a, b = np.searchsorted(column, [c, c + 2048])
+            m = np.zeros((len(found), 2048), np.float32)
+            m[line[a:b], column[a:b] - c] = 1
+            both += m @ m.T
+        number = np.unique(np.array([r.hex() for r in roots]), return_inverse=True)[1]
+        alike = (both >= np.float32(least) * (size[:, None] + size - both) - 1e-3) & (number[:, None] < number) & (both > 0)
+        pairs = [(i, j) for i, j in np.argwhere(alike).tolist() if float(both[i, j]) / float(size[i] + size[j] - both[i, j]) >= least]
+        return pa.table({"a": pa.array([keys[i] for i, _ in pairs], pa.binary()), "b": pa.array([keys[j] for _, j in pairs], pa.binary())})
+
+    return dealt.groupBy("band", "low", "high").applyInArrow(compare, "a binary, b binary")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -47,35 +102,35 @@ def components(edges: DataFrame) -> DataFrame:
         before = state
 
 
-def classes(docs: DataFrame, make_bands: Callable, make_likeness: Callable, id_col: str = "doc_id", text_col: str = "text", likeness: float = LIKENESS) -> DataFrame:
+def classes(docs: DataFrame, make_bands: Callable, make_features: Callable, id_col: str = "doc_id", text_col: str = "text", likeness: float = LIKENESS) -> DataFrame:
     """One row per input row: id, `key` of its text, `class_id` (least id of its class), `class_size` (rows of it), `n_links`.
 
     make_bands() -> f(texts) -> (bands, sizes): band hashes of each text and its number of shingles; a text without
-    shingles has no bands and equals only its exact copies. make_likeness() -> f(texts, texts) -> [likeness].
+    shingles has no bands and equals only its exact copies. make_features() -> f(text) -> distinct hashes: the likeness of
+    two texts is the Jaccard likeness of these sets.
     n_links counts the verified links of a text that were needed to find its class. Null and empty texts are equal.
     """
     keyed = docs.select(F.col(id_col), F.unhex(F.md5(text_of(text_col))).alias("key"), text_of(text_col).alias("text"))
     nodes = written(map_columns(keyed, [id_col, "key"], ["text"], [("bands", "array<bigint>"), ("size", "bigint")], make_bands))
     rows = nodes.groupBy("key").agg(F.first("bands").alias("bands"), F.first("size").alias("size")).select("key", "size", F.explode("bands").alias("band"))
     rows = written(rows)
-    buckets = rows.groupBy("band").agg(F.min("key").alias("lead"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    shared = written(rows.join(buckets, "band").select("band", "key", "size", "lead"))
-    star = written(shared.where("key <> lead").select(F.col("lead").alias("a"), F.col("key").alias("b")).distinct())
+    buckets = rows.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    shared = written(rows.join(buckets, "band").select("band", "key", "size", "n"))
+    # The hub of a family shares more and larger buckets than its other members do: the leader is the node that meets most.
+    met = shared.groupBy("key").agg(F.sum("n").alias("met"))
+    lead = shared.join(met, "key").groupBy("band").agg(F.max(F.struct("met", "key")).alias("lead")).select("band", F.col("lead.key").alias("lead"))
+    star = shared.join(lead, "band").where("key <> lead").select(F.col("lead").alias("a"), F.col("key").alias("b"))
+    star = written(star.distinct())
     inside = shared.select("key").distinct()
     copies = written(keyed.select("key", "text").join(inside, "key", "left_semi"))
     texts = written(copies.groupBy("key").agg(F.first("text").alias("text")))
-    edges = written(_verified(star, texts, make_likeness, likeness))
+    edges = written(_verified(star, texts, make_features, likeness))
     roots = components(edges)
 
-    # What may still link two components: all pairs across components of a bucket, but those that have been verified.
-    placed = shared.join(roots, "key", "left").select("band", "key", "size", F.coalesce("root", "key").alias("root"))
+    # What may still link two components: pairs across the components of a bucket.
+    placed = shared.join(roots, "key", "left").select("band", "key", F.coalesce("root", "key").alias("root"))
     split = placed.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("band")
-    open_ = written(placed.join(split, "band"))
-    one, two = open_.select("band", F.col("key").alias("a"), F.col("size").alias("size_a"), F.col("root").alias("root_a")), open_.select("band", F.col("key").alias("b"), F.col("size").alias("size_b"), F.col("root").alias("root_b"))
-    near = (F.col("root_a") < F.col("root_b")) & (F.least("size_a", "size_b") >= likeness * F.greatest("size_a", "size_b"))
-    rest = one.join(two, "band").where(near).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    rest = written(rest.join(star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"))
-    late = written(_verified(rest, texts, make_likeness, likeness))
+    late = written(_verified_in_blocks(placed.join(split, "band"), texts, make_features, likeness).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     if late.limit(1).count():
         edges = edges.unionByName(late)
         roots = components(edges)
