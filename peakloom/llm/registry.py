@@ -69,14 +69,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 OP2_SQL = f"""
 WITH d AS (SELECT doc_id, text, coalesce(source, '') AS host, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
 c AS (SELECT host, l, count(*) AS n FROM (
-        SELECT host, unnest(list_distinct(list_transform(ls, x -> trim(x, ' ' || chr(9) || chr(13))))) AS l FROM d)
+        SELECT host, unnest(list_distinct(list_transform(ls, lambda x: trim(x, ' ' || chr(9) || chr(13))))) AS l FROM d)
       WHERE l <> '' GROUP BY host, l),
 t AS (SELECT host, count(*) AS pages FROM d GROUP BY host),
 f AS (SELECT c.host, list(c.l) AS bad FROM c JOIN t USING (host)
       WHERE c.n >= {line_dedup.MIN_PAGES} AND c.n > {line_dedup.RATIO} * t.pages GROUP BY c.host),
 k AS (SELECT d.doc_id, d.text, d.ls,
         CASE WHEN f.bad IS NULL THEN d.ls
-             ELSE list_filter(d.ls, x -> NOT list_contains(f.bad, trim(x, ' ' || chr(9) || chr(13)))) END AS kept
+             ELSE list_filter(d.ls, lambda x: NOT list_contains(f.bad, trim(x, ' ' || chr(9) || chr(13)))) END AS kept
       FROM d LEFT JOIN f USING (host))
 SELECT doc_id,
   CASE WHEN text IS NULL THEN 0 ELSE len(ls) END AS n_lines,
