@@ -1,9 +1,552 @@
-"""Registered queries of the engine."""
+"""Registered queries of the engine, each with its SQL where SQL can express it."""
 
+from __future__ import annotations
 
-def queries():
-    return {}
+from collections.abc import Callable
 
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
-def oracle_sql():
-    return {}
+from .functions import stats
+from .operators import intervals, labels, links, matrix, pairing
+from .plans import canonical as c
+from .sources import text
+from .streaming import sums
+
+_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+_SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def add(f):
+        _QUERIES[f.__name__] = f
+        if sql:
+            _SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return dict(_QUERIES)
+
+
+def oracle_sql() -> dict[str, str]:
+    return dict(_SQL)
+
+
+def r6(col, name: str):
+    return F.round(col, 6).alias(name)
+
+
+# --- regions -----------------------------------------------------------------------------------------------------
+
+_REGION_TEXT = "CASE WHEN l_linenumber = 5 THEN 'bad' ELSE ' chr' || l_suppkey || ':' || (l_partkey * 10) || '-' || (l_partkey * 10 + l_linenumber * 100 - 200) END"
+
+
+def _region_text():
+    s = F.concat(F.lit(" chr"), F.col("l_suppkey").cast("string"), F.lit(":"), (F.col("l_partkey") * 10).cast("string"), F.lit("-"), (F.col("l_partkey") * 10 + F.col("l_linenumber") * 100 - 200).cast("string"))
+    return F.when(F.col("l_linenumber") == 5, F.lit("bad")).otherwise(s)
+
+
+@query(f"""WITH t AS (SELECT {_REGION_TEXT} AS r FROM lineitem), p AS (SELECT regexp_extract(r, '^\\s*([^:\\s]+):([0-9]+)-([0-9]+)\\s*$', 1) AS ch, try_cast(regexp_extract(r, '^\\s*([^:\\s]+):([0-9]+)-([0-9]+)\\s*$', 2) AS BIGINT) AS s, try_cast(regexp_extract(r, '^\\s*([^:\\s]+):([0-9]+)-([0-9]+)\\s*$', 3) AS BIGINT) AS e FROM t)
+SELECT CASE WHEN e > s THEN ch END AS chrom, count(*) AS n, CAST(sum(CASE WHEN e > s THEN e - s END) AS BIGINT) AS width FROM p GROUP BY 1""")
+def parse_regions(spark, sf_dir):
+    p = c.table(spark, sf_dir, "lineitem").select(intervals.parse(_region_text()).alias("p"))
+    return p.groupBy(F.col("p.chrom").alias("chrom")).agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("p.end") - F.col("p.start")).alias("width"))
+
+
+@query(f"WITH p AS ({c.PEAKS_SQL}), t AS (SELECT chrom, s, CASE WHEN s % 7 = 0 THEN s - 5 ELSE e END AS e FROM p) SELECT chrom, count(*) AS n_lines, count(*) FILTER (WHERE e > s) AS n_ok FROM t GROUP BY chrom")
+def bed_filter(spark, sf_dir):
+    end = F.when(F.col("start") % 7 == 0, F.col("start") - 5).otherwise(F.col("end"))
+    sep = F.when(F.col("start") % 2 == 0, "\t").otherwise("  ")
+    lines = c.peaks(spark, sf_dir).select(F.concat("chrom", sep, F.col("start").cast("string"), sep, end.cast("string")).alias("value"))
+    junk = spark.createDataFrame([("# comment",), ("track name=x",), ("",)], "value string")
+    return text.bed_lines(lines.unionByName(junk)).groupBy("chrom").agg(F.count(F.lit(1)).alias("n_lines"), F.count_if("ok").alias("n_ok"))
+
+
+_AUDIT = f"""p AS ({c.PEAKS_SQL}), g AS ({c.DB_SQL}),
+j AS (SELECT p.chrom, p.s, p.e, g.s AS rs, g.e AS re, least(p.e, g.e) - greatest(p.s, g.s) AS ov FROM p JOIN g ON p.chrom = g.chrom AND p.s < g.e AND g.s < p.e),
+b AS (SELECT chrom, s, e, max(ov) AS best_ov, max(ov / (e - s)) AS fp, max(ov / (re - rs)) AS fr, count(*) AS n, count(*) FILTER (WHERE ov / (e - s) > 0.4 OR ov / (re - rs) > 0.4) AS np, arg_min(rs, (-ov, rs, re)) AS brs, arg_min(re, (-ov, rs, re)) AS bre FROM j GROUP BY ALL),
+a AS (SELECT p.chrom, p.s AS start, p.e AS "end", coalesce(best_ov, 0) AS best_ov, coalesce(fp, 0) AS best_frac_peak, coalesce(fr, 0) AS best_frac_region, coalesce(n, 0) AS n_overlapping, coalesce(np, 0) AS n_passing, CASE WHEN n IS NOT NULL THEN p.chrom || ':' || brs || '-' || bre END AS best_region, p.chrom IN (SELECT chrom FROM g) AS chrom_in_db, coalesce(np, 0) > 0 AS representable FROM p LEFT JOIN b USING (chrom, s, e))"""
+
+
+def _audit(spark, sf_dir):
+    return intervals.audit(c.peaks(spark, sf_dir), c.db_regions(spark, sf_dir))
+
+
+@query(f'WITH {_AUDIT} SELECT chrom, start, "end", best_ov, round(best_frac_peak, 6) AS best_frac_peak, round(best_frac_region, 6) AS best_frac_region, n_overlapping, n_passing, best_region, chrom_in_db, representable FROM a')
+def overlap_audit(spark, sf_dir):
+    return _audit(spark, sf_dir).withColumns({k: F.round(k, 6) for k in ("best_frac_peak", "best_frac_region")})
+
+
+@query(f"WITH {_AUDIT} SELECT chrom, count(*) AS n_peaks, count(*) FILTER (WHERE representable) AS n_representable, count(*) FILTER (WHERE NOT representable) AS n_dropped, round(count(*) FILTER (WHERE NOT representable) / count(*), 6) AS frac_dropped, CASE WHEN count(*) FILTER (WHERE NOT representable) / count(*) < 0.01 THEN 'negligible' WHEN count(*) FILTER (WHERE NOT representable) / count(*) < 0.05 THEN 'small' WHEN count(*) FILTER (WHERE NOT representable) / count(*) < 0.15 THEN 'moderate' WHEN count(*) FILTER (WHERE NOT representable) / count(*) < 0.3 THEN 'large' ELSE 'severe' END AS verdict FROM a GROUP BY chrom")
+def overlap_per_chrom(spark, sf_dir):
+    g = _audit(spark, sf_dir).groupBy("chrom").agg(F.count(F.lit(1)).alias("n_peaks"), F.count_if("representable").alias("n_representable"), F.count_if(~F.col("representable")).alias("n_dropped"))
+    f = F.col("n_dropped") / F.col("n_peaks")
+    return g.withColumn("frac_dropped", F.round(f, 6)).withColumn("verdict", F.when(f < 0.01, "negligible").when(f < 0.05, "small").when(f < 0.15, "moderate").when(f < 0.3, "large").otherwise("severe"))
+
+
+@query(f"WITH {_AUDIT} SELECT count(*) AS n_peaks, count(DISTINCT best_region) FILTER (WHERE representable) AS n_recruited, round(quantile_cont(best_frac_peak, 0.5), 6) AS p50, round(quantile_cont(best_frac_peak, 0.9), 6) AS p90, round(quantile_cont(best_frac_peak, 0.99), 6) AS p99, round(count(*) FILTER (WHERE representable) / count(DISTINCT best_region) FILTER (WHERE representable), 6) AS collapse FROM a")
+def overlap_summary(spark, sf_dir):
+    a = _audit(spark, sf_dir)
+    q = F.percentile("best_frac_peak", F.array(F.lit(0.5), F.lit(0.9), F.lit(0.99)))
+    s = a.agg(F.count(F.lit(1)).alias("n_peaks"), F.countDistinct(F.when(F.col("representable"), F.col("best_region"))).alias("n_recruited"), q.alias("q"), F.count_if("representable").alias("r"))
+    return s.select("n_peaks", "n_recruited", *(r6(F.col("q")[i], n) for i, n in enumerate(("p50", "p90", "p99"))), r6(F.col("r") / F.col("n_recruited"), "collapse"))
+
+
+@query(f"WITH {_AUDIT} SELECT CAST(least(floor(best_frac_peak * 10), 9) AS INTEGER) AS bin, count(*) AS n FROM a GROUP BY 1")
+def fraction_histogram(spark, sf_dir):
+    return _audit(spark, sf_dir).groupBy(stats.histogram10(F.col("best_frac_peak")).alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(f"WITH p AS ({c.PEAKS_SQL}), g AS ({c.DB_SQL}) SELECT chrom, count(*) AS n, CAST(sum(s) AS BIGINT) AS starts FROM p WHERE NOT EXISTS (SELECT 1 FROM g WHERE g.chrom = p.chrom AND g.s < p.e AND p.s < g.e) GROUP BY chrom")
+def blacklist_anti_join(spark, sf_dir):
+    return intervals.outside(c.peaks(spark, sf_dir), c.db_regions(spark, sf_dir)).groupBy("chrom").agg(F.count(F.lit(1)).alias("n"), F.sum("start").alias("starts"))
+
+
+_SITES_SQL = "SELECT s_suppkey AS site_id, 'chr' || (s_suppkey % 24 + 1) AS chrom, (s_suppkey * 37 % 2000) * 1000 AS tss FROM supplier"
+
+
+def _sites(spark, sf_dir):
+    return c.table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("site_id"), F.concat(F.lit("chr"), (F.col("s_suppkey") % 24 + 1).cast("string")).alias("chrom"), ((F.col("s_suppkey") * 37 % 2000) * 1000).alias("tss"))
+
+
+@query(f"WITH p AS ({c.PEAKS_SQL}), t AS ({_SITES_SQL}) SELECT site_id, count(*) AS n, CAST(sum(s) AS BIGINT) AS starts FROM p JOIN t ON p.chrom = t.chrom AND abs((s + e) / 2 - tss) <= 150000 GROUP BY site_id")
+def tss_window_join(spark, sf_dir):
+    return intervals.within(c.peaks(spark, sf_dir), _sites(spark, sf_dir), 150000).groupBy("site_id").agg(F.count(F.lit(1)).alias("n"), F.sum("start").alias("starts"))
+
+
+@query(f"WITH p AS ({c.PEAKS_SQL}), t AS ({_SITES_SQL}), b AS (SELECT *, tss - 2000 AS bs, tss + 8000 AS be FROM t) SELECT site_id, p.s AS start, CAST(greatest(0, bs - (s + e) // 2, (s + e) // 2 - be) AS BIGINT) AS distance FROM b JOIN p ON p.chrom = b.chrom AND p.s < be + 20000 AND bs - 20000 < p.e")
+def search_space(spark, sf_dir):
+    """Peaks within 20 kb of a gene body, with the distance of their middle to the body (0 inside)."""
+    body = _sites(spark, sf_dir).withColumns({"bs": F.col("tss") - 2000, "be": F.col("tss") + 8000})
+    wide = body.select("site_id", "chrom", "bs", "be", (F.col("bs") - 20000).alias("start"), (F.col("be") + 20000).alias("end"))
+    near = intervals.overlaps(c.peaks(spark, sf_dir), wide, 32768)
+    j = near.join(wide.select("site_id", "chrom", "bs", "be", F.col("start").alias("r_start"), F.col("end").alias("r_end")), ["chrom", "r_start", "r_end"])
+    mid = F.floor((F.col("start") + F.col("end")) / 2)
+    return j.select("site_id", "start", F.greatest(F.lit(0), F.col("bs") - mid, mid - F.col("be")).cast("bigint").alias("distance"))
+
+
+# --- matrix ------------------------------------------------------------------------------------------------------
+
+
+def _m(spark, sf_dir):
+    return c.entries(spark, sf_dir), c.obs(spark, sf_dir)
+
+
+@query(f"WITH {c.DENSE_SQL} SELECT var_id, grp, count(*) AS n_g, sum(value) AS total, round(avg(value), 6) AS mean, count(*) FILTER (WHERE value <> 0) AS nnz FROM d GROUP BY ALL")
+def sparse_group_mean(spark, sf_dir):
+    return matrix.group_means(*_m(spark, sf_dir)).withColumn("mean", F.round("mean", 6))
+
+
+@query(f"WITH {c.DENSE_SQL}, g AS (SELECT var_id, grp, avg(value) AS m FROM d GROUP BY ALL), s AS (SELECT var_id, max(m) / avg(m) AS sp FROM g GROUP BY 1) SELECT var_id, round(count(*) FILTER (WHERE value <> 0) / count(*), 6) AS prevalence, round(avg(value), 6) AS strength, round(any_value(sp), 6) AS specificity FROM d JOIN s USING (var_id) GROUP BY var_id")
+def prevalence_specificity(spark, sf_dir):
+    p = matrix.profile(*_m(spark, sf_dir))
+    return p.select("var_id", *(r6(F.col(k), k) for k in ("prevalence", "strength", "specificity")))
+
+
+@query(f"WITH {c.DENSE_SQL}, g AS (SELECT var_id, grp, sum(value) AS t, count(*) AS n FROM d GROUP BY ALL) SELECT var_id, grp, round(log2(t / n + 1e-6) - log2((sum(t) OVER w - t) / (sum(n) OVER w - n) + 1e-6), 5) AS eff FROM g WINDOW w AS (PARTITION BY var_id)")
+def fold_change(spark, sf_dir):
+    return matrix.fold_change(*_m(spark, sf_dir)).withColumn("eff", F.round("eff", 5))
+
+
+@query(f"WITH e AS ({c.ENTRIES_SQL}) SELECT obs_id, var_id, round(ln(1 + value / sum(value) OVER (PARTITION BY obs_id) * 1e4), 6) AS value FROM e")
+def log_cp10k(spark, sf_dir):
+    return matrix.log_cp10k(c.entries(spark, sf_dir)).withColumn("value", F.round("value", 6))
+
+
+@query(f"WITH {c.DENSE_SQL}, g AS (SELECT var_id, grp, avg(value) AS m FROM d GROUP BY ALL), r AS (SELECT *, rank() OVER (PARTITION BY var_id ORDER BY round(m, 9) DESC, grp) AS k FROM g) SELECT var_id, grp, k AS rank FROM r WHERE grp = length(var_id) % 5")
+def marker_rank(spark, sf_dir):
+    """The rank of the group that a variable is a marker of, by group means."""
+    g = matrix.group_means(*_m(spark, sf_dir))
+    k = F.row_number().over(Window.partitionBy("var_id").orderBy(F.desc(F.round("mean", 9)), "grp")).cast("bigint")
+    return g.withColumn("rank", k).where(F.col("grp") == F.length("var_id") % 5).select("var_id", "grp", "rank")
+
+
+_RANKS = f"{c.DENSE_SQL}, k AS (SELECT *, rank() OVER (PARTITION BY var_id ORDER BY value) + (count(*) OVER (PARTITION BY var_id, value) - 1) / 2 AS r FROM d)"
+
+
+@query(f"WITH {_RANKS} SELECT obs_id, var_id, round(r, 6) AS rank FROM k WHERE value <> 0")
+def average_ranks(spark, sf_dir):
+    e, o = _m(spark, sf_dir)
+    return matrix.ranks(e, o.agg(F.count(F.lit(1)).alias("n")), []).select("obs_id", "var_id", r6(F.col("rank"), "rank"))
+
+
+_U = f"{_RANKS}, t AS (SELECT var_id, sum(m * m * m - m) AS ties FROM (SELECT var_id, value, CAST(count(*) AS DOUBLE) AS m FROM d GROUP BY ALL) GROUP BY 1), n AS (SELECT count(*) AS n FROM o), g AS (SELECT var_id, grp, sum(r) AS s, CAST(count(*) AS DOUBLE) AS n1 FROM k GROUP BY ALL), u AS (SELECT g.var_id, grp, n1, n, s - n1 * (n1 + 1) / 2 AS u, n1 * (n - n1) / 12 * (n + 1 - ties / (n * (n - 1.0))) AS v FROM g JOIN t USING (var_id), n)"
+
+
+@query(f"WITH {_U} SELECT var_id, grp, CAST(n1 AS BIGINT) AS n1, round(u, 4) AS u, round((u - n1 * (n - n1) / 2 - 0.5) / sqrt(greatest(v, 1e-12)), 5) AS z FROM u")
+def mwu_u_z(spark, sf_dir):
+    return matrix.rank_sum_test(*_m(spark, sf_dir)).select("var_id", "grp", "n1", F.round("u", 4).alias("u"), F.round("z", 5).alias("z"))
+
+
+def _dar(spark, sf_dir):
+    e, o = _m(spark, sf_dir)
+    z = matrix.rank_sum_test(e, o).withColumn("p", stats.norm_sf("z"))
+    return matrix.benjamini_hochberg(z, "p", ["grp"]).join(matrix.fold_change(e, o), ["var_id", "grp"])
+
+
+@query()
+def mwu_pvalue_bh(spark, sf_dir):
+    return _dar(spark, sf_dir).select("var_id", "grp", "p", "q", "eff")
+
+
+_P = "SELECT l_orderkey * 8 + l_linenumber AS id, l_suppkey % 7 AS grp, ((l_orderkey * 31 + l_partkey * 17) % 9973 + 1) / 9974.0 AS p FROM lineitem"
+
+
+@query(f"WITH t AS ({_P}), r AS (SELECT *, rank() OVER w AS k, count(*) OVER (PARTITION BY grp) AS n, count(*) OVER (PARTITION BY grp, p) AS m FROM t WINDOW w AS (PARTITION BY grp ORDER BY p)), v AS (SELECT DISTINCT grp, p, n, p * n / (k + m - 1) AS v FROM r), q AS (SELECT grp, p, least(min(v) OVER (PARTITION BY grp ORDER BY p DESC ROWS UNBOUNDED PRECEDING), 1) AS q FROM v) SELECT grp, round(p, 8) AS p, round(q, 6) AS q FROM q")
+def bh_qvalues(spark, sf_dir):
+    l = c.table(spark, sf_dir, "lineitem")
+    t = l.select((F.col("l_suppkey") % 7).alias("grp"), (((F.col("l_orderkey") * 31 + F.col("l_partkey") * 17) % 9973 + 1) / 9974.0).alias("p"))
+    return matrix.benjamini_hochberg(t, "p", ["grp"]).groupBy("grp", F.round("p", 8).alias("p")).agg(F.round(F.min("q"), 6).alias("q"))
+
+
+@query()
+def dar_topn(spark, sf_dir):
+    """At most 10 variables a group with eff >= 0.1 and q <= 0.5, by effect, then by name."""
+    ok = _dar(spark, sf_dir).where("eff >= 0.1 and q <= 0.5")
+    return links.top_per(ok, "grp", [F.desc("eff"), F.asc("var_id")], 10).select("grp", "var_id", "eff", "q").orderBy("grp", "var_id")
+
+
+_EFF = f"{c.DENSE_SQL}, g AS (SELECT var_id, grp, sum(value) AS t, count(*) AS n FROM d GROUP BY ALL), f AS (SELECT var_id, grp, log2(t / n + 1e-6) - log2((sum(t) OVER w - t) / (sum(n) OVER w - n) + 1e-6) AS eff FROM g WINDOW w AS (PARTITION BY var_id))"
+
+
+@query(f"WITH {_EFF}, h AS (SELECT unnest(range(0, 101, 25)) AS t100), s AS (SELECT t100, grp, count(*) FILTER (WHERE eff >= t100 / 100) AS n FROM h CROSS JOIN f GROUP BY ALL), c AS (SELECT t100, count(DISTINCT var_id) FILTER (WHERE eff >= t100 / 100) AS covered FROM h CROSS JOIN f GROUP BY ALL) SELECT t100, min(n) AS fewest, max(n) AS most, count(*) FILTER (WHERE n < 3) AS starved, any_value(covered) AS covered FROM s JOIN c USING (t100) GROUP BY t100")
+def threshold_sweep(spark, sf_dir):
+    f = matrix.fold_change(*_m(spark, sf_dir))
+    grid = spark.range(0, 101, 25).select(F.col("id").alias("t100"))  # five thresholds
+    x = f.join(F.broadcast(grid))
+    ok = F.col("eff") >= F.col("t100") / 100
+    s = x.groupBy("t100", "grp").agg(F.count_if(ok).alias("n")).groupBy("t100").agg(F.min("n").alias("fewest"), F.max("n").alias("most"), F.count_if(F.col("n") < 3).alias("starved"))
+    return s.join(x.groupBy("t100").agg(F.countDistinct(F.when(ok, F.col("var_id"))).alias("covered")), "t100")
+
+
+@query(f"WITH {_EFF}, h AS (SELECT unnest(range(0, 101)) AS t100), s AS (SELECT t100, grp, count(*) FILTER (WHERE eff >= t100 / 100) AS n FROM h CROSS JOIN f GROUP BY ALL), m AS (SELECT t100, min(n) AS lo, max(n) AS hi FROM s GROUP BY 1) SELECT min(t100) FILTER (WHERE lo >= 1 AND hi <= 25) AS t100 FROM m")
+def threshold_refine(spark, sf_dir):
+    """The least threshold (hundredths) that leaves every group a variable and none more than 25."""
+    f = matrix.fold_change(*_m(spark, sf_dir))
+    x = f.join(F.broadcast(spark.range(0, 101).select(F.col("id").alias("t100"))))
+    s = x.groupBy("t100", "grp").agg(F.count_if(F.col("eff") >= F.col("t100") / 100).alias("n")).groupBy("t100").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
+    return s.agg(F.min(F.when((F.col("lo") >= 1) & (F.col("hi") <= 25), F.col("t100"))).alias("t100"))
+
+
+@query(f"WITH {_EFF}, k AS (SELECT *, row_number() OVER (PARTITION BY grp ORDER BY round(eff, 5) DESC, var_id) AS k, count(*) OVER (PARTITION BY grp) AS n FROM f) SELECT grp, n AS n_vars, round(eff, 5) AS cutoff FROM k WHERE k = least(12, n)")
+def topn_cutoffs(spark, sf_dir):
+    w = Window.partitionBy("grp")
+    f = matrix.fold_change(*_m(spark, sf_dir)).withColumns({"k": F.row_number().over(w.orderBy(F.desc(F.round("eff", 5)), "var_id")), "n": F.count(F.lit(1)).over(w)})
+    return f.where(F.col("k") == F.least(F.lit(12), F.col("n"))).select("grp", F.col("n").alias("n_vars"), F.round("eff", 5).alias("cutoff"))
+
+
+_PAIRS = "x AS (SELECT a.var_id AS a, b.var_id AS b FROM v a JOIN v b ON a.var_id < b.var_id AND right(a.var_id, 1) = right(b.var_id, 1))"
+_RHO = f"{c.DENSE_SQL}, {_PAIRS}, k AS (SELECT *, rank() OVER (PARTITION BY grp, var_id ORDER BY value) + (count(*) OVER (PARTITION BY grp, var_id, value) - 1) / 2 AS r FROM d), s AS (SELECT x.a, x.b, i.grp, count(*) AS n, CASE WHEN var_pop(i.r) > 1e-9 AND var_pop(j.r) > 1e-9 THEN corr(i.r, j.r) END AS rho FROM x JOIN k i ON i.var_id = x.a JOIN k j ON j.var_id = x.b AND j.obs_id = i.obs_id GROUP BY ALL)"
+
+
+def _pairs(e):
+    v = e.select("var_id").distinct()
+    a, b = v.select(F.col("var_id").alias("a"), F.right("var_id", F.lit(1)).alias("m")), v.select(F.col("var_id").alias("b"), F.right("var_id", F.lit(1)).alias("m"))
+    return a.join(b, "m").where("a < b").select("a", "b")
+
+
+def _rho(spark, sf_dir):
+    e, o = _m(spark, sf_dir)
+    return matrix.spearman(_pairs(e), e, o)
+
+
+@query(f"WITH {_RHO} SELECT a, b, grp, n, round(rho, 6) AS rho FROM s")
+def spearman_by_group(spark, sf_dir):
+    return _rho(spark, sf_dir).withColumn("rho", F.round("rho", 6))
+
+
+_Z = f"{_RHO}, z AS (SELECT *, round(atanh(greatest(least(rho, 0.999999), -0.999999)) * sqrt(greatest(n - 3, 1)), 6) AS z FROM s)"
+
+
+@query(f"WITH {_Z} SELECT a, b, grp, round(z, 4) AS z FROM z")
+def fisher_z(spark, sf_dir):
+    r = _rho(spark, sf_dir)
+    return r.select("a", "b", "grp", F.round(matrix.fisher_z(F.col("rho"), F.col("n")), 4).alias("z"))
+
+
+def _contrast(spark, sf_dir, where: str = "true"):
+    r = _rho(spark, sf_dir).where(where)
+    return matrix.contrast(r.withColumn("z", F.round(matrix.fisher_z(F.col("rho"), F.col("n")), 6)))
+
+
+_TOP2 = "k AS (SELECT *, abs(z) AS az, row_number() OVER (PARTITION BY a, b ORDER BY abs(z) DESC NULLS LAST, grp) AS k FROM z WHERE {w}), w AS (SELECT a, b, coalesce(max(grp) FILTER (WHERE k = 1 AND az IS NOT NULL), -1) AS best_grp, max(az) FILTER (WHERE k = 1) AS m1, max(az) FILTER (WHERE k = 2) AS m2, max(rho) FILTER (WHERE k = 1) AS r, count(az) AS n_scored FROM k GROUP BY ALL)"
+
+
+@query(f"WITH {_Z.replace('k AS (SELECT *, rank', 'k0 AS (SELECT *, rank').replace('JOIN k i', 'JOIN k0 i').replace('JOIN k j', 'JOIN k0 j')}, {_TOP2.format(w='true')} SELECT a, b, best_grp, round(m1, 4) AS best_abs_z, round(m2, 4) AS second_abs_z, round(m1 - m2, 4) AS specificity_z, round(r, 6) AS best_rho, n_scored FROM w")
+def specificity_top2(spark, sf_dir):
+    t = _contrast(spark, sf_dir)
+    return t.select("a", "b", "best_grp", *(F.round(k, 4).alias(k) for k in ("best_abs_z", "second_abs_z", "specificity_z")), r6(F.col("best_rho"), "best_rho"), "n_scored")
+
+
+@query(f"WITH {_Z.replace('k AS (SELECT *, rank', 'k0 AS (SELECT *, rank').replace('JOIN k i', 'JOIN k0 i').replace('JOIN k j', 'JOIN k0 j')}, {_TOP2.format(w='grp <> 4')} SELECT a, b, best_grp, round(m1 - m2, 4) AS specificity_z FROM w WHERE m1 - m2 >= 0.5 AND abs(r) >= 0.15")
+def usable_subset(spark, sf_dir):
+    """Contrasts recomputed over the usable groups, and only the specific, strong ones."""
+    t = _contrast(spark, sf_dir, "grp <> 4").where("specificity_z >= 0.5 and abs(best_rho) >= 0.15")
+    return t.select("a", "b", "best_grp", F.round("specificity_z", 4).alias("specificity_z"))
+
+
+@query(f"WITH o AS ({c.OBS_SQL}) SELECT grp, count(*) AS n, round(CASE WHEN count(*) > 3 THEN tanh(2.8015852180 / sqrt(count(*) - 3)) END, 6) AS min_detectable_rho, round(tanh(2.8015852180 / sqrt(greatest(count(*) // 8, 4) - 3)), 6) AS min_detectable_rho_indep FROM o GROUP BY grp")
+def detection_floors(spark, sf_dir):
+    g = c.obs(spark, sf_dir).groupBy("grp").agg(F.count(F.lit(1)).alias("n"))
+    indep = F.greatest(F.floor(F.col("n") / 8), F.lit(4))
+    return g.select("grp", "n", r6(stats.detectable_rho(F.col("n")), "min_detectable_rho"), r6(stats.detectable_rho(indep), "min_detectable_rho_indep"))
+
+
+@query(f"WITH {c.DENSE_SQL}, r AS (SELECT *, row_number() OVER (PARTITION BY obs_id ORDER BY value DESC, var_id) AS k FROM d) SELECT obs_id, right(var_id, 1) AS signature, CAST(sum(9 - k) AS BIGINT) AS auc FROM r WHERE k <= 8 AND value > 0 GROUP BY ALL")
+def signature_auc(spark, sf_dir):
+    """Recovery of signatures (variables of a day class) among the 8 top-ranked variables of each observation."""
+    e = c.entries(spark, sf_dir).where("value > 0")
+    k = e.withColumn("k", F.row_number().over(Window.partitionBy("obs_id").orderBy(F.desc("value"), "var_id"))).where("k <= 8")
+    return k.groupBy("obs_id", F.right("var_id", F.lit(1)).alias("signature")).agg(F.sum(9 - F.col("k")).cast("bigint").alias("auc"))
+
+
+# --- links -------------------------------------------------------------------------------------------------------
+
+
+@query(f"WITH l AS ({c.LINKS_SQL}) SELECT count(*) FILTER (WHERE rho > 0) AS n_positive, count(*) FILTER (WHERE rho < 0) AS n_negative, count(*) FILTER (WHERE rho = 0) AS n_zero, count(*) FILTER (WHERE rho IS NULL) AS n_undefined FROM l")
+def links_sign_counts(spark, sf_dir):
+    return links.sign_counts(c.links(spark, sf_dir))
+
+
+_STRONG = f"l AS ({c.LINKS_SQL}), k AS (SELECT *, row_number() OVER (PARTITION BY target ORDER BY importance DESC, region) AS k FROM l WHERE abs(rho) >= 0.05), s AS (SELECT * FROM k WHERE k <= 20)"
+
+
+@query(f"WITH {_STRONG} SELECT target, region, importance, rho FROM s")
+def links_top_per_gene(spark, sf_dir):
+    return links.strong(c.links(spark, sf_dir)).select("target", "region", "importance", "rho")
+
+
+@query(f"WITH {_STRONG} SELECT count(*) AS n_links, count(DISTINCT target) AS n_genes, count(DISTINCT region) AS n_peaks, (SELECT median(n) FROM (SELECT count(*) AS n FROM s GROUP BY target)) AS median_per_gene FROM s")
+def links_distinct_counts(spark, sf_dir):
+    s = links.strong(c.links(spark, sf_dir))
+    per = s.groupBy("target").agg(F.count(F.lit(1)).alias("n")).agg(F.median("n").alias("median_per_gene"))
+    return s.agg(F.count(F.lit(1)).alias("n_links"), F.countDistinct("target").alias("n_genes"), F.countDistinct("region").alias("n_peaks")).join(per)
+
+
+_TSS = "SELECT 'gene' || printf('%02d', s_suppkey % 40) AS target, s_suppkey AS row_idx, (s_suppkey * 7919 % 2000) * 1000 AS tss, 'chr' || (s_suppkey % 40 % 22 + 1) AS chrom, CASE WHEN s_suppkey % 2 = 0 THEN '+' ELSE '-' END AS strand FROM supplier WHERE s_suppkey % 40 <> 7"
+
+
+def _tss(spark, sf_dir):
+    k = F.col("s_suppkey")
+    return c.table(spark, sf_dir, "supplier").where(k % 40 != 7).select(F.format_string("gene%02d", k % 40).alias("target"), k.alias("row_idx"), (k * 7919 % 2000 * 1000).alias("tss"), F.concat(F.lit("chr"), (k % 40 % 22 + 1).cast("string")).alias("chrom"), F.when(k % 2 == 0, "+").otherwise("-").alias("strand"))
+
+
+@query(f"WITH {_STRONG}, t AS (SELECT target, arg_min(tss, row_idx) AS tss, arg_min(chrom, row_idx) AS chrom, arg_min(strand, row_idx) AS strand FROM ({_TSS}) GROUP BY 1) SELECT regexp_extract(region, '^(.*):', 1) AS chrom1, CAST(regexp_extract(region, ':([0-9]+)-', 1) AS BIGINT) AS start1, CAST(regexp_extract(region, '-([0-9]+)$', 1) AS BIGINT) AS end1, coalesce(chrom, '.') AS chrom2, coalesce(tss, -1) AS start2, target || '|' || region AS name, CAST(round_even(1000 * least(abs(rho), 1), 0) AS INTEGER) AS score, coalesce(strand, '.') AS strand2 FROM s LEFT JOIN t USING (target)")
+def links_bedpe(spark, sf_dir):
+    t = _tss(spark, sf_dir).groupBy("target").agg(F.min_by("tss", "row_idx").alias("tss"), F.min_by("chrom", "row_idx").alias("chrom"), F.min_by("strand", "row_idx").alias("strand"))
+    return links.bedpe(links.strong(c.links(spark, sf_dir)), t)
+
+
+@query(f"WITH l AS ({c.LINKS_SQL}), t AS ({_TSS}), d AS (SELECT target, region, TRY_CAST(trim(distance, '[]') AS BIGINT) AS d, (CAST(regexp_extract(region, ':([0-9]+)-', 1) AS BIGINT) + CAST(regexp_extract(region, '-([0-9]+)$', 1) AS BIGINT)) // 2 AS mid FROM l), j AS (SELECT d.*, tss, abs(abs(tss - mid) - abs(d)) AS err, row_number() OVER (PARTITION BY d.target, region ORDER BY abs(abs(tss - mid) - abs(d)), row_idx) AS k FROM d LEFT JOIN t USING (target) WHERE d IS NOT NULL) SELECT target, region, coalesce(tss, mid - abs(d)) AS anchor, err FROM j WHERE k = 1")
+def tss_anchor(spark, sf_dir):
+    return links.anchors(c.links(spark, sf_dir), _tss(spark, sf_dir).select("target", "row_idx", "tss"))
+
+
+@query(f"WITH l AS ({c.LINKS_SQL}), k AS (SELECT *, row_number() OVER (PARTITION BY target ORDER BY importance DESC, region, target) AS k FROM l), s AS (SELECT * FROM k WHERE k <= 30) SELECT target, region, CAST(round_even(importance / max(importance) OVER (PARTITION BY target) * 1000, 0) AS INTEGER) AS score, CASE WHEN rho > 0 THEN '#B2182B' WHEN rho < 0 THEN '#2166AC' ELSE '#888888' END AS color FROM s")
+def links_interact(spark, sf_dir):
+    l = c.links(spark, sf_dir).withColumn("g", F.col("target"))
+    return links.interact(l, "g", "importance", 30).drop("g")
+
+
+@query(f"WITH l AS ({c.LINKS_SQL}) SELECT TRY_CAST(trim(distance, '[]') AS BIGINT) AS distance, count(*) AS n FROM l GROUP BY 1")
+def distance_unwrap(spark, sf_dir):
+    return c.links(spark, sf_dir).groupBy(links.unwrap(F.col("distance")).alias("distance")).agg(F.count(F.lit(1)).alias("n"))
+
+
+_NAME = "p_brand || '_x_' || CASE WHEN p_size % 3 = 0 THEN '+/+' WHEN p_size % 3 = 1 THEN '-/+' ELSE 'none' END"
+
+
+@query(f"SELECT CASE WHEN contains(string_split({_NAME}, '_')[-1], '/') THEN string_split({_NAME}, '_')[-1] ELSE '?' END AS sign, count(*) AS n FROM part GROUP BY 1")
+def region_sign(spark, sf_dir):
+    return _regulons(spark, sf_dir).groupBy(links.sign_of_name(F.col("name")).alias("sign")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def _regulons(spark, sf_dir):
+    sign = F.when(F.col("p_size") % 3 == 0, "+/+").when(F.col("p_size") % 3 == 1, "-/+").otherwise("none")
+    return c.table(spark, sf_dir, "part").select(F.concat(F.col("p_brand"), F.lit("_x_"), sign).alias("name"), F.col("p_brand").alias("tf"), (F.col("p_partkey") % 50).alias("gene"), (F.col("p_partkey") % 90).alias("region"), F.col("p_retailprice").alias("rho"))
+
+
+@query("SELECT regexp_extract(p_brand || '_a_mc' || p_partkey, '^(.*)_mc[^_]*$', 1) AS grp, count(*) AS n FROM part GROUP BY 1")
+def metacell_group(spark, sf_dir):
+    p = c.table(spark, sf_dir, "part").select(F.concat(F.col("p_brand"), F.lit("_a_mc"), F.col("p_partkey").cast("string")).alias("m"))
+    return p.groupBy(links.group_of_metacell(F.col("m")).alias("grp")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(f"WITH r AS (SELECT {_NAME} AS name, p_brand AS tf, p_partkey % 50 AS gene, p_partkey % 90 AS region, p_retailprice AS rho FROM part) SELECT name, min(tf) AS tf, count(DISTINCT region) AS n_regions, count(DISTINCT gene) AS n_genes, count(*) AS size, round(median(rho), 6) AS median_rho FROM r GROUP BY name HAVING count(DISTINCT gene) >= 10")
+def regulon_summary(spark, sf_dir):
+    g = _regulons(spark, sf_dir).groupBy("name").agg(F.min("tf").alias("tf"), F.countDistinct("region").alias("n_regions"), F.countDistinct("gene").alias("n_genes"), F.count(F.lit(1)).alias("size"), r6(F.median("rho"), "median_rho"))
+    return g.where("n_genes >= 10")
+
+
+@query(f"WITH r AS (SELECT p_brand AS tf, string_split({_NAME}, '_')[-1] AS sign, p_partkey % 50 AS gene FROM part) SELECT tf, count(DISTINCT gene) FILTER (WHERE sign = '+/+') AS pp, count(DISTINCT gene) FILTER (WHERE sign = '-/+') AS mp FROM r GROUP BY tf")
+def sign_pivot(spark, sf_dir):
+    r = _regulons(spark, sf_dir).withColumn("sign", links.sign_of_name(F.col("name")))
+    p = r.groupBy("tf").pivot("sign", ["+/+", "-/+"]).agg(F.countDistinct("gene")).fillna(0)
+    return p.select("tf", F.col("`+/+`").alias("pp"), F.col("`-/+`").alias("mp"))
+
+
+@query()
+def chance_baseline(spark, sf_dir):
+    """Recovery of each brand among the top genes against the binomial tail of chance."""
+    g = _regulons(spark, sf_dir).groupBy("tf").agg(F.countDistinct("gene").alias("k"), F.count(F.lit(1)).alias("n"))
+    return g.withColumn("expected", F.col("n") * 0.05).withColumn("p", stats.binomial_tail("k", "n", F.lit(0.05)))
+
+
+@query("SELECT string_agg(l, chr(10) ORDER BY l) AS lines, grp FROM (SELECT s_nationkey AS grp, 'chr1' || chr(9) || s_suppkey || chr(9) || (s_suppkey + 10) || chr(9) || s_nationkey || '_' || row_number() OVER (PARTITION BY s_nationkey ORDER BY s_suppkey) || chr(9) || printf('%.4f', s_acctbal) || chr(9) || '.' AS l FROM supplier) GROUP BY grp")
+def bed_export(spark, sf_dir):
+    s = c.table(spark, sf_dir, "supplier").select(F.col("s_nationkey").alias("grp"), F.lit("chr1").alias("chrom"), F.col("s_suppkey").alias("start"), (F.col("s_suppkey") + 10).alias("end"), F.col("s_acctbal").alias("eff"))
+    return text.bed6(s).groupBy("grp").agg(F.array_join(F.array_sort(F.collect_list("line")), "\n").alias("lines"))
+
+
+# --- pairing -----------------------------------------------------------------------------------------------------
+
+
+def _anchors(spark, sf_dir):
+    """The 3 smallest ids of each group."""
+    z = c.latents(spark, sf_dir)
+    return z, links.top_per(z, "grp", [F.asc("obs_id")], 3)
+
+
+@query()
+def maximin_anchors(spark, sf_dir):
+    return pairing.maximin_anchors(c.latents(spark, sf_dir), 5)
+
+
+_KNN = f"z AS ({c.LATENTS_SQL}), a AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY grp ORDER BY obs_id) AS k FROM z) WHERE k <= 3), p AS (SELECT a.grp, a.obs_id AS anchor, z.obs_id, round(1 - list_dot_product(CAST(a.z AS DOUBLE[]), CAST(z.z AS DOUBLE[])) / sqrt(list_dot_product(CAST(a.z AS DOUBLE[]), CAST(a.z AS DOUBLE[])) * list_dot_product(CAST(z.z AS DOUBLE[]), CAST(z.z AS DOUBLE[]))), 9) AS dist FROM a JOIN z USING (grp)), n AS (SELECT *, row_number() OVER (PARTITION BY grp, anchor ORDER BY dist, obs_id) AS rank FROM p), m AS (SELECT * FROM n WHERE rank <= 5)"
+
+
+def _members(spark, sf_dir):
+    z, a = _anchors(spark, sf_dir)
+    return pairing.nearest(a, z, 5)
+
+
+@query(f"WITH {_KNN} SELECT grp, anchor, obs_id, CAST(rank AS INTEGER) AS rank FROM m")
+def knn_members(spark, sf_dir):
+    return _members(spark, sf_dir).select("grp", "anchor", "obs_id", "rank")
+
+
+@query(f"WITH {_KNN}, e AS (SELECT vec_id AS obs_id, 'v' || (vec_id % 6) AS var_id, CAST(vec_id % 11 AS DOUBLE) AS value FROM embeddings) SELECT anchor AS metacell, var_id, round(sum(value) / 5, 6) AS value FROM m JOIN e USING (obs_id) GROUP BY ALL")
+def metacell_mean(spark, sf_dir):
+    e = c.table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("obs_id"), F.concat(F.lit("v"), (F.col("vec_id") % 6).cast("string")).alias("var_id"), (F.col("vec_id") % 11).cast("double").alias("value"))
+    m = _members(spark, sf_dir).select(F.col("anchor").alias("metacell"), "obs_id")
+    return matrix.metacell_means(m, e).withColumn("value", F.round("value", 6))
+
+
+@query(f"WITH {_KNN}, u AS (SELECT grp, count(*) AS n_used, max(u) AS max_reuse FROM (SELECT grp, obs_id, count(*) AS u FROM m GROUP BY ALL) GROUP BY grp) SELECT grp, count(DISTINCT anchor) AS n_metacells, round(avg(dist) FILTER (WHERE rank = 1), 6) AS mean_nearest, round(quantile_cont(dist, 0.95), 6) AS p95_dist, any_value(n_used) AS n_used, any_value(max_reuse) AS max_reuse FROM m JOIN u USING (grp) GROUP BY grp")
+def pairing_diag(spark, sf_dir):
+    return pairing.diagnostics(_members(spark, sf_dir))
+
+
+@query("WITH g AS (SELECT label AS grp, least(count(*) FILTER (WHERE vec_id % 2 = 0), count(*) FILTER (WHERE vec_id % 2 = 1)) * 37 AS n FROM embeddings GROUP BY 1) SELECT grp, n AS n_limiting, CAST(CASE WHEN greatest(1, floor(n / 50 * 8)) < 60 THEN greatest(greatest(1, floor(n / 50 * 8)), least(60, floor(n / 50 * 16))) ELSE floor(n / 50 * 8) END AS BIGINT) AS metacells, CAST(greatest(1, floor(n / 50)) AS BIGINT) AS indep_equiv FROM g WHERE n >= 50")
+def pairing_counts(spark, sf_dir):
+    n = lambda m: F.count_if(F.col("modality") == m)
+    g = c.latents(spark, sf_dir).groupBy("grp").agg((F.least(n(0), n(1)) * 37).alias("n_limiting")).where("n_limiting >= 50")
+    return g.withColumns({"metacells": pairing.metacell_count(F.col("n_limiting")), "indep_equiv": pairing.independent_equivalent(F.col("n_limiting"))})
+
+
+# --- labels and gates --------------------------------------------------------------------------------------------
+
+
+@query("SELECT d.doc_id, source, quality FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id")
+def merge_left(spark, sf_dir):
+    side = c.table(spark, sf_dir, "labels").withColumn("source", F.lit("never"))
+    return labels.merge_left(c.table(spark, sf_dir, "documents").select("doc_id", "source"), side, "doc_id").select("doc_id", "source", "quality")
+
+
+@query("SELECT l.doc_id, quality, lang FROM labels l JOIN documents d ON d.doc_id = l.doc_id")
+def merge_strict(spark, sf_dir):
+    return labels.merge_strict(c.table(spark, sf_dir, "labels").select("doc_id", "quality"), c.table(spark, sf_dir, "documents").select("doc_id", "lang"), "doc_id")
+
+
+@query("SELECT 'lang' AS \"column\", count(*) AS n_rows, count(*) FILTER (WHERE doc_id % 10 = 0 AND lang <> 'xx') AS n_mismatch FROM documents UNION ALL SELECT 'n_chars', count(*), count(*) FILTER (WHERE doc_id % 4 = 0) FROM documents")
+def positional_agreement(spark, sf_dir):
+    d = c.table(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars")
+    other = d.select("doc_id", F.when(F.col("doc_id") % 10 == 0, "xx").otherwise(F.col("lang")).alias("lang"), F.when(F.col("doc_id") % 4 == 0, F.col("n_chars") + 1e6).otherwise(F.col("n_chars") * 1.00001).alias("n_chars"))
+    return labels.positional_agreement(d, other, "doc_id", ["lang", "n_chars"])
+
+
+@query("WITH n AS (SELECT source, lang, count(*) AS n, sum(count(*)) OVER (PARTITION BY source) AS t, row_number() OVER (PARTITION BY source ORDER BY count(*) DESC, lang) AS k FROM documents GROUP BY source, lang) SELECT source, lang, round(n / t, 6) AS purity FROM n WHERE k = 1")
+def modal_map(spark, sf_dir):
+    return labels.modal_map(c.table(spark, sf_dir, "documents"), "source", "lang").withColumn("purity", F.round("purity", 6))
+
+
+@query("WITH v AS (SELECT DISTINCT p_brand AS source, p_size AS level FROM part), s AS (SELECT source, list(level) AS x FROM v GROUP BY 1) SELECT a.source AS a, b.source AS b, len(list_intersect(a.x, b.x)) AS shared, len(list_distinct(list_concat(a.x, b.x))) AS either, round(len(list_intersect(a.x, b.x)) / greatest(len(list_distinct(list_concat(a.x, b.x))), 1), 6) AS jaccard, len(a.x) - len(list_intersect(a.x, b.x)) AS only_a, len(b.x) - len(list_intersect(a.x, b.x)) AS only_b FROM s a JOIN s b ON a.source < b.source")
+def label_jaccard(spark, sf_dir):
+    v = c.table(spark, sf_dir, "part").select(F.col("p_brand").alias("source"), F.col("p_size").alias("level"))
+    return labels.jaccard(v).withColumn("jaccard", F.round("jaccard", 6))
+
+
+@query("SELECT unnest(['o_orderstatus', 'o_orderpriority', 'o_custkey']) AS \"column\", unnest([count(DISTINCT o_orderstatus), count(DISTINCT o_orderpriority), count(DISTINCT o_custkey)]) AS n_unique, unnest([0, 0, 0])::BIGINT AS n_missing, unnest([count(DISTINCT o_orderstatus) BETWEEN 2 AND 60, count(DISTINCT o_orderpriority) BETWEEN 2 AND 60, count(DISTINCT o_custkey) BETWEEN 2 AND 60]) AS candidate FROM orders")
+def column_profile(spark, sf_dir):
+    return labels.column_profile(c.table(spark, sf_dir, "orders"), ["o_orderstatus", "o_orderpriority", "o_custkey"])
+
+
+@query("SELECT 'duplicate_line' AS \"check\", count(*) AS n FROM (SELECT l_orderkey, l_linenumber FROM lineitem GROUP BY ALL HAVING count(*) > 1) UNION ALL SELECT 'negative_balance', count(*) FROM supplier WHERE s_acctbal < 0 UNION ALL SELECT 'orphan_order', count(*) FROM orders WHERE o_custkey % 50 = 0 OR o_custkey NOT IN (SELECT c_custkey FROM customer) UNION ALL SELECT 'unlabelled', count(*) FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
+def violations(spark, sf_dir):
+    t = lambda n: c.table(spark, sf_dir, n)
+    dup = t("lineitem").groupBy("l_orderkey", "l_linenumber").count().where("count > 1")
+    orphans = t("orders").join(t("customer").where("c_custkey % 50 <> 0"), F.col("o_custkey") == F.col("c_custkey"), "left_anti")
+    return labels.violations([("duplicate_line", dup), ("negative_balance", t("supplier").where("s_acctbal < 0")), ("orphan_order", orphans), ("unlabelled", t("documents").join(t("labels"), "doc_id", "left_anti"))])
+
+
+@query("WITH t AS (SELECT o_orderstatus AS status, o_totalprice AS x FROM orders WHERE o_orderstatus IN ('F', 'O')), r AS (SELECT *, rank() OVER (ORDER BY x) + (count(*) OVER (PARTITION BY x) - 1) / 2 AS r FROM t) SELECT count(*) FILTER (WHERE status = 'F') AS n1, count(*) FILTER (WHERE status = 'O') AS n2, round((sum(r) FILTER (WHERE status = 'F') - count(*) FILTER (WHERE status = 'F') * (count(*) FILTER (WHERE status = 'F') + 1) / 2) / (count(*) FILTER (WHERE status = 'F') * count(*) FILTER (WHERE status = 'O')), 6) AS auroc FROM r")
+def auroc(spark, sf_dir):
+    """U / (n1 n2) of two classes, from counts of distinct values: the running sum is over values, not rows."""
+    t = c.table(spark, sf_dir, "orders").where("o_orderstatus in ('F', 'O')")
+    v = t.groupBy(F.col("o_totalprice").alias("x")).agg(F.count_if(F.col("o_orderstatus") == "F").alias("f"), F.count_if(F.col("o_orderstatus") == "O").alias("o"))
+    bucket = F.floor(F.col("x") / 1000)  # running sums in two levels: within buckets of x, then over the few buckets
+    inside = F.coalesce(F.sum("o").over(Window.partitionBy(bucket).orderBy("x").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    v = v.withColumns({"b": bucket, "below": inside})
+    b = v.groupBy("b").agg(F.sum("o").alias("bo"))
+    b = b.withColumn("before", F.coalesce(F.sum("bo").over(Window.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select("b", "before")
+    u = v.join(b, "b").agg(F.sum("f").alias("n1"), F.sum("o").alias("n2"), F.sum(F.col("f") * (F.col("below") + F.col("before") + F.col("o") / 2)).alias("u"))
+    return u.select("n1", "n2", r6(F.col("u") / F.col("n1") / F.col("n2"), "auroc"))
+
+
+@query("WITH f AS (SELECT p_partkey AS id, p_size AS x, p_retailprice AS y, p_partkey % 3 = 0 AS dropped FROM part), e AS (SELECT quantile_cont(x, [0.25, 0.5, 0.75]) AS q FROM f), s AS (SELECT f.*, (x >= q[1])::INT + (x >= q[2])::INT + (x >= q[3])::INT AS stratum FROM f, e), g AS (SELECT stratum, count(*) FILTER (WHERE dropped) AS n1, count(*) FILTER (WHERE NOT dropped) AS n2, avg(y) FILTER (WHERE dropped) - avg(y) FILTER (WHERE NOT dropped) AS eff FROM s GROUP BY 1) SELECT round(sum(least(n1, n2) * eff) / sum(least(n1, n2)), 5) AS pooled, CAST(sum(n1) AS BIGINT) AS n_dropped FROM g WHERE n1 + n2 >= 50")
+def strata_effect(spark, sf_dir):
+    """Size-weighted pooled effect over quantile strata of a covariate."""
+    f = c.table(spark, sf_dir, "part").select(F.col("p_size").alias("x"), F.col("p_retailprice").alias("y"), (F.col("p_partkey") % 3 == 0).alias("dropped"))
+    q = f.agg(F.percentile("x", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("q"))  # one row
+    s = f.join(F.broadcast(q)).withColumn("stratum", sum((F.col("x") >= F.col("q")[i]).cast("int") for i in range(3)))
+    side = lambda k: F.when(F.col("dropped") == k, F.col("y"))
+    g = s.groupBy("stratum").agg(F.count(side(True)).alias("n1"), F.count(side(False)).alias("n2"), (F.avg(side(True)) - F.avg(side(False))).alias("eff")).where("n1 + n2 >= 50")
+    w = F.least("n1", "n2")
+    return g.agg(F.round(F.sum(w * F.col("eff")) / F.sum(w), 5).alias("pooled"), F.sum("n1").alias("n_dropped"))
+
+
+@query()
+def permutation_null(spark, sf_dir):
+    """Mean difference of two classes under 50 relabellings by hash order within strata, and its central 95 %."""
+    f = c.table(spark, sf_dir, "part").select("p_partkey", (F.col("p_size") % 5).alias("stratum"), F.col("p_retailprice").alias("y"), (F.col("p_partkey") % 3 == 0).alias("dropped"))
+    draws = f.join(F.broadcast(spark.range(50).withColumnRenamed("id", "draw")))  # 50 rows
+    w = Window.partitionBy("draw", "stratum")
+    d = draws.withColumns({"k": F.row_number().over(w.orderBy(F.xxhash64("draw", "p_partkey"))), "n1": F.count_if("dropped").over(w)})
+    one = F.when(F.col("k") <= F.col("n1"), F.col("y"))
+    two = F.when(F.col("k") > F.col("n1"), F.col("y"))
+    e = d.groupBy("draw").agg((F.avg(one) - F.avg(two)).alias("eff"))
+    return e.agg(F.percentile("eff", F.lit(0.025)).alias("low"), F.percentile("eff", F.lit(0.975)).alias("high"), F.count(F.lit(1)).alias("n_draws"))
+
+
+@query("WITH g AS (SELECT unnest(range(1, 6)) AS slices), h AS (SELECT unnest([0.005, 0.01, 0.05]::DOUBLE[]) AS cut) SELECT slices, cut, CAST(round(cut * n) AS BIGINT) AS top_ranks, CAST(floor(0.05 * n) AS BIGINT) AS curve, CAST(slices * n * 4 AS BIGINT) AS bytes FROM g, h, (SELECT count(*) AS n FROM lineitem)")
+def cost_model(spark, sf_dir):
+    """Memory grid of ranking-based enrichment."""
+    n = c.table(spark, sf_dir, "lineitem").agg(F.count(F.lit(1)).alias("n"))
+    cuts = spark.createDataFrame([(x,) for x in (0.005, 0.01, 0.05)], "cut double")
+    g = spark.range(1, 6).select(F.col("id").alias("slices")).join(F.broadcast(cuts)).join(F.broadcast(n))
+    return g.select("slices", "cut", F.round(F.col("cut") * F.col("n")).cast("bigint").alias("top_ranks"), F.floor(F.lit(0.05) * F.col("n")).cast("bigint").alias("curve"), (F.col("slices") * F.col("n") * 4).cast("bigint").alias("bytes"))
+
+
+@query("SELECT DISTINCT p_brand AS name FROM part WHERE p_size < 10 UNION SELECT DISTINCT p_brand FROM part WHERE p_size > 45")
+def name_union(spark, sf_dir):
+    p = c.table(spark, sf_dir, "part")
+    return p.where("p_size < 10").select(F.col("p_brand").alias("name")).union(p.where("p_size > 45").select("p_brand")).distinct()
+
+
+@query("SELECT strftime(date_trunc('day', ts), '%Y-%m-%d') AS day, event_type, count(*) AS n, round(sum(value), 2) AS total FROM events GROUP BY ALL")
+def daily_sums(spark, sf_dir):
+    d = sums.daily_sums(c.table(spark, sf_dir, "events"))
+    return d.select(F.date_format("day", "yyyy-MM-dd").alias("day"), "event_type", "n", F.round("total", 2).alias("total"))
