@@ -8,15 +8,16 @@ from statistics import NormalDist
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def norm_sf(z: pd.Series) -> pd.Series:
     """P(Z > z); Spark has no erf, so an Arrow batch function."""
     return z.map(lambda x: None if x is None or x != x else 0.5 * math.erfc(x / math.sqrt(2)))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def binomial_tail(k: pd.Series, n: pd.Series, p: pd.Series) -> pd.Series:
     """P(X >= k) of a binomial, summed in logarithms."""
 
