@@ -4,8 +4,10 @@ For each host, a line's ratio is the number of its pages that contain the line o
 beyond `ratio` (and on `min_pages` pages at least) are boilerplate and are dropped from every page of that host.
 
 Everything is DataFrame operations. Lines are counted once a page and summed before the shuffle, so a hot line or host
-is a few partial sums; rare lines go before the join with host totals. Joins are plain sort-merge joins that Spark
-splits where a key is hot, or broadcasts where it finds the table small.
+is a few partial sums; rare lines go before the join with host totals. A line beyond the ratio takes a share of its
+host's pages, so a host's boilerplate is at most 1/ratio times the lines of its average page: texts stay where they are
+and meet their host's lines by a broadcast, as long as all hosts' lines are proven to fit `BROADCAST_BYTES`. Beyond that
+pages meet the lines found on them in plain joins, which Spark splits where a key is hot.
 """
 
 from __future__ import annotations
@@ -18,6 +20,7 @@ from .common import packed, text_of, written
 RATIO = 0.1
 MIN_PAGES = 3
 BLANKS = " \t\r"
+BROADCAST_BYTES = 64 << 20  # of all hosts' boilerplate; beyond it texts are joined with what was found on them
 
 
 def _lines(text):
@@ -44,10 +47,17 @@ def drop_boilerplate(docs: DataFrame, host, text_col: str = "text", ratio: float
     counts = lines.groupBy("_host", "_a", "_b").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= min_pages)
     pages = base.groupBy("_host").agg(F.count(F.lit(1)).alias("_pages"))
     boilerplate = written(counts.join(pages, "_host").where(F.col("_n") > ratio * F.col("_pages")).select("_host", "_a", "_b"))
-    hits = written(lines.join(boilerplate, ["_host", "_a", "_b"]).groupBy("_host", "_key").agg(F.collect_set("_a").alias("_bad")))
+    size = boilerplate.agg(F.sum(F.octet_length("_host") + 24).alias("n")).first()["n"] or 0
     keyed = docs.select(packed(docs), F.coalesce(host, F.lit("")).alias("_host"), F.unhex(F.md5(text_of(text_col))).alias("_key"), F.col(text_col).alias("_text"))
-    joined = keyed.join(hits, ["_host", "_key"], "left")
-    kept = F.filter(_lines(F.col("_text")), lambda x: ~F.array_contains(F.col("_bad"), F.xxhash64(_trimmed(x))))
+    if size <= BROADCAST_BYTES:
+        per_host = boilerplate.groupBy("_host").agg(F.collect_set("_a").alias("_bad"))
+        joined = keyed.join(F.broadcast(per_host), "_host", "left")
+    else:
+        hits = written(lines.join(boilerplate, ["_host", "_a", "_b"]).groupBy("_host", "_key").agg(F.collect_set("_a").alias("_bad")))
+        joined = keyed.join(hits, ["_host", "_key"], "left")
+    # The page's own boilerplate is found once by hash, then bound to a name that the filter of its lines sees.
+    found = F.array_intersect(F.transform(_lines(F.col("_text")), lambda x: F.xxhash64(_trimmed(x))), F.col("_bad"))
+    kept = F.transform(F.array(found), lambda bad: F.filter(_lines(F.col("_text")), lambda x: ~F.array_contains(bad, F.xxhash64(_trimmed(x)))))[0]
     joined = joined.withColumn("_lines", F.when(F.col("_bad").isNotNull(), kept))
     none = F.lit(0).cast("bigint")
     n = F.when(F.col("_text").isNull(), none).otherwise(F.size(_lines(F.col("_text"))).cast("bigint"))

@@ -122,7 +122,9 @@ def test_quality_gradients():
         assert abs((up - down) / 2e-5 - grad[k][i]) < 1e-6
 
 
-def test_line_dedup(spark):
+@pytest.mark.parametrize("broadcast_bytes", [line_dedup.BROADCAST_BYTES, -1])
+def test_line_dedup(spark, monkeypatch, broadcast_bytes):
+    monkeypatch.setattr(line_dedup, "BROADCAST_BYTES", broadcast_bytes)
     r = random.Random(9)
     texts = ["\n".join([r.choice(["menu", " menu\t", "home | about"])] * r.randint(0, 2) + [f"body {i}", "", r.choice(["x", "y"])]) for i in range(60)] + TEXTS
     docs = documents(spark, texts).withColumn("_bad", F.lit(1))
