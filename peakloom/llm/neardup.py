@@ -112,10 +112,10 @@ def classes(docs: DataFrame, make_bands: Callable, make_features: Callable, id_c
     """
     keyed = docs.select(F.col(id_col), F.unhex(F.md5(text_of(text_col))).alias("key"), text_of(text_col).alias("text"))
     nodes = written(map_columns(keyed, [id_col, "key"], ["text"], [("bands", "array<bigint>"), ("size", "bigint")], make_bands))
-    rows = nodes.groupBy("key").agg(F.first("bands").alias("bands"), F.first("size").alias("size")).select("key", "size", F.explode("bands").alias("band"))
+    rows = nodes.groupBy("key").agg(F.first("bands").alias("bands")).select("key", F.explode("bands").alias("band"))
     rows = written(rows)
     buckets = rows.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    shared = written(rows.join(buckets, "band").select("band", "key", "size", "n"))
+    shared = written(rows.join(buckets, "band").select("band", "key", "n"))
     # The hub of a family shares more and larger buckets than its other members do: the leader is the node that meets most.
     met = shared.groupBy("key").agg(F.sum("n").alias("met"))
     lead = shared.join(met, "key").groupBy("band").agg(F.max(F.struct("met", "key")).alias("lead")).select("band", F.col("lead.key").alias("lead"))
