@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .functions import stats
-from .operators import intervals, labels, links, matrix, pairing
+from .operators import controls, intervals, labels, links, matrix, pairing, runs
 from .plans import canonical as c
 from .sources import text
 from .streaming import sums
@@ -550,3 +550,63 @@ def name_union(spark, sf_dir):
 def daily_sums(spark, sf_dir):
     d = sums.daily_sums(c.table(spark, sf_dir, "events"))
     return d.select(F.date_format("day", "yyyy-MM-dd").alias("day"), "event_type", "n", F.round("total", 2).alias("total"))
+
+
+_LEVELS = "SELECT 'status' AS key, o_orderstatus AS level, o_orderkey % 3 AS side FROM orders UNION ALL SELECT 'priority', o_orderpriority, o_orderkey % 3 FROM orders WHERE o_orderkey % 3 = 0 OR o_orderpriority < '4' UNION ALL SELECT 'account', CAST(o_custkey % 37 AS VARCHAR), o_orderkey % 3 FROM orders WHERE o_custkey % 4 <> o_orderkey % 3"
+
+
+@query(f"WITH v AS ({_LEVELS}), c AS (SELECT key, level, nullif(count(*) FILTER (WHERE side = 0), 0) AS l, nullif(count(*) FILTER (WHERE side <> 0), 0) AS r FROM v GROUP BY ALL), g AS (SELECT key, count(l) AS n_left, count(r) AS n_right, count(l + r) AS n_shared, round(count(l + r) / count(*), 3) AS frac_shared, coalesce(min(CASE WHEN l + r IS NOT NULL THEN least(l, r) END), 0) AS min_rows, coalesce(array_to_string(list_sort(list(level) FILTER (WHERE r IS NULL))[1:12], ','), '') AS only_left, coalesce(array_to_string(list_sort(list(level) FILTER (WHERE l IS NULL))[1:12], ','), '') AS only_right, coalesce(array_to_string(list_sort(list(level) FILTER (WHERE l + r IS NOT NULL AND least(l, r) < 50))[1:20], ','), '') AS few_rows FROM c GROUP BY key) SELECT *, CAST(row_number() OVER (ORDER BY frac_shared DESC, n_shared DESC, key) AS INTEGER) AS rank FROM g WHERE n_left > 0 AND n_right > 0")
+def shared_keys(spark, sf_dir):
+    side = F.col("o_orderkey") % 3
+    o = c.table(spark, sf_dir, "orders").select(
+        side.alias("side"),
+        F.col("o_orderstatus").alias("status"),
+        F.when((side == 0) | (F.col("o_orderpriority") < "4"), F.col("o_orderpriority")).alias("priority"),
+        F.when(F.col("o_custkey") % 4 != side, F.col("o_custkey") % 37).alias("account"),
+    )
+    keys = ["status", "priority", "account"]
+    return labels.shared_keys(labels.level_counts(o.where("side = 0"), keys), labels.level_counts(o.where("side <> 0"), keys))
+
+
+# --- controls and runs -------------------------------------------------------------------------------------------
+
+
+@query()
+def matched_pairs(spark, sf_dir):
+    """Effect of a class on price in pairs matched on size, per brand: 2 U / (n1 n2) - 1 is left to `auroc`."""
+    p = c.table(spark, sf_dir, "part").select(F.col("p_brand").alias("stratum"), F.col("p_partkey").alias("id"), F.col("p_size").alias("x"), (F.col("p_partkey") % 3 == 0).alias("is_dropped"), F.col("p_retailprice").alias("y"))
+    pairs = controls.greedy_pairs(p.drop("y"))
+    y = p.select("id", "y")
+    both = pairs.join(y.toDF("dropped", "yd"), "dropped").join(y.toDF("kept", "yk"), "kept")
+    return both.groupBy("stratum").agg(F.count(F.lit(1)).alias("n_pairs"), r6(F.avg(F.col("yd") - F.col("yk")), "effect"))
+
+
+@query()
+def decoy_null(spark, sf_dir):
+    """Markers at every variable's place: nearby variables against decoys, the target being the day's total."""
+    e = c.entries(spark, sf_dir)
+    day = F.right("var_id", F.lit(1)).cast("int")
+    v = e.select("var_id").distinct()
+    features = v.select("var_id", F.concat(F.lit("chr"), (day % 4).cast("string")).alias("chrom"), (day * 1000 + F.length("var_id")).cast("bigint").alias("mid"))
+    markers = spark.createDataFrame([(f"day{d}", f"chr{d % 4}", d * 1000) for d in range(8)], "marker string, chrom string, tss bigint")
+    targets = e.groupBy(F.concat(F.lit("day"), F.right("var_id", F.lit(1))).alias("marker"), "obs_id").agg(F.sum("value").alias("y"))
+    return controls.decoy_null(markers, features, e, targets, c.obs(spark, sf_dir).select("obs_id"), 500)
+
+
+@query("WITH m AS (SELECT o_custkey AS run, o_orderpriority AS stage, CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE o_orderdate END AS mtime FROM orders WHERE o_orderpriority NOT LIKE '1%'), i AS (SELECT o_custkey AS run, max(o_orderdate) AS newest, count(*) AS n FROM orders WHERE o_orderpriority LIKE '1%' GROUP BY 1) SELECT run, CASE WHEN any_value(newest) IS NULL THEN 'no_inputs' ELSE 'checked' END AS status, coalesce(any_value(n), 0) AS n_inputs, count(*) AS n_outputs, count(*) FILTER (WHERE mtime < newest) AS n_stale, count(*) FILTER (WHERE mtime IS NULL) AS n_missing, min(stage) FILTER (WHERE mtime IS NULL OR mtime < newest) AS resume_at FROM m LEFT JOIN i USING (run) GROUP BY run")
+def stage_staleness(spark, sf_dir):
+    o = c.table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("run"), F.col("o_orderpriority").alias("stage"), F.col("o_orderkey").alias("name"), F.col("o_orderdate").alias("mtime"))
+    first = F.startswith("stage", F.lit("1"))
+    outputs = o.where(~first).withColumn("mtime", F.when(F.col("name") % 11 != 0, F.col("mtime")))
+    return runs.staleness(outputs, o.where(first).drop("stage"))
+
+
+_LOG = "SELECT user_id % 9 AS log, event_id AS line_no, CASE WHEN event_id % 7 = 0 THEN 'Error in rule r' || (event_id % 40) || ':' WHEN event_id % 5 = 1 THEN 'command returned non-zero exit status ' || CASE WHEN event_id % 3 = 0 THEN 137 ELSE event_id % 4 END || '.' WHEN event_id % 31 = 2 THEN 'OSError: [Errno 12] Cannot allocate memory' ELSE 'ok' END AS line FROM events"
+
+
+@query(f"WITH t AS ({_LOG}), b AS (SELECT log, line_no, line, CASE WHEN line LIKE 'Error in rule %' THEN rtrim(line[15:], ':') END AS rule, TRY_CAST(regexp_extract(line, 'exit status ([0-9]+)', 1) AS INTEGER) AS code, count(*) FILTER (WHERE line LIKE 'Error in rule %') OVER (PARTITION BY log ORDER BY line_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS block FROM t), k AS (SELECT log, block, max(rule) AS rule, arg_max(code, line_no) FILTER (WHERE code IS NOT NULL) AS exit, bool_or(line LIKE '%[Errno 12]%') AS refused FROM b GROUP BY ALL), o AS (SELECT log, rule, arg_min(exit, block) FILTER (WHERE exit IS NOT NULL) AS exit, arg_min(refused, block) AS enomem FROM k WHERE rule IS NOT NULL GROUP BY ALL) SELECT log, rule, exit, coalesce(exit IN (9, 137), false) AS oom, enomem FROM o")
+def failure_log(spark, sf_dir):
+    i = F.col("event_id")
+    code = F.when(i % 3 == 0, F.lit(137)).otherwise(i % 4).cast("string")
+    line = F.when(i % 7 == 0, F.concat(F.lit("Error in rule r"), (i % 40).cast("string"), F.lit(":"))).when(i % 5 == 1, F.concat(F.lit("command returned non-zero exit status "), code, F.lit("."))).when(i % 31 == 2, "OSError: [Errno 12] Cannot allocate memory").otherwise("ok")
+    return runs.failures(c.table(spark, sf_dir, "events").select((F.col("user_id") % 9).alias("log"), i.alias("line_no"), line.alias("line")))

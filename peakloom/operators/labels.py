@@ -65,6 +65,35 @@ def jaccard(vocab: DataFrame) -> DataFrame:
     return j.select("a", "b", inter.cast("bigint").alias("shared"), union.cast("bigint").alias("either"), (inter / F.greatest(union, F.lit(1))).alias("jaccard"), F.size(F.array_except("xa", "xb")).cast("bigint").alias("only_a"), F.size(F.array_except("xb", "xa")).cast("bigint").alias("only_b"))
 
 
+def level_counts(df: DataFrame, columns: list[str]) -> DataFrame:
+    """(key, level, n) of several columns in one pass; missing labels are left out."""
+    pairs = F.array(*(F.struct(F.lit(c).alias("key"), F.col(c).cast("string").alias("level")) for c in columns))
+    return df.select(F.inline(pairs)).where(~is_missing(F.col("level"))).groupBy("key", "level").agg(F.count(F.lit(1)).alias("n"))
+
+
+def shared_keys(left: DataFrame, right: DataFrame, few: int = 50) -> DataFrame:
+    """Grouping keys of two sources ranked by the share, then the number, of their common levels.
+
+    left, right: (key, level, n). Keys that only one source has are left out. Lists are sorted: levels of one side only
+    (12 at most) and common levels of fewer than `few` rows on a side (20 at most).
+    """
+    j = left.withColumnRenamed("n", "l").join(right.withColumnRenamed("n", "r"), ["key", "level"], "full")
+    least = F.when(F.col("l").isNotNull() & F.col("r").isNotNull(), F.least("l", "r"))
+    levels = lambda when: F.array_join(F.slice(F.array_sort(F.collect_set(F.when(when, F.col("level")))), 1, 12), ",")
+    g = j.groupBy("key").agg(
+        F.count("l").alias("n_left"),
+        F.count("r").alias("n_right"),
+        F.count(least).alias("n_shared"),
+        F.round(F.count(least) / F.count(F.lit(1)), 3).alias("frac_shared"),
+        F.coalesce(F.min(least), F.lit(0)).alias("min_rows"),
+        levels(F.col("r").isNull()).alias("only_left"),
+        levels(F.col("l").isNull()).alias("only_right"),
+        F.array_join(F.slice(F.array_sort(F.collect_set(F.when(least < few, F.col("level")))), 1, 20), ",").alias("few_rows"),
+    )
+    order = Window.orderBy(F.desc("frac_shared"), F.desc("n_shared"), "key")  # one row a key
+    return g.where("n_left > 0 and n_right > 0").withColumn("rank", F.row_number().over(order))
+
+
 def column_profile(df: DataFrame, columns: list[str], most: int = 60) -> DataFrame:
     """(column, n_unique, n_missing, candidate): a grouping key has 2 to `most` levels and none missing. One pass."""
     aggs = [a for c in columns for a in (F.countDistinct(c).alias(f"u_{c}"), F.count_if(is_missing(F.col(c).cast("string"))).alias(f"m_{c}"))]

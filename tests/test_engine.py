@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from peakloom import catalog
 from peakloom.functions import stats
-from peakloom.operators import intervals, labels, links, matrix, pairing
+from peakloom.operators import controls, intervals, labels, links, matrix, pairing
 from peakloom.sources import text
 from peakloom.streaming import sums
 
@@ -115,3 +115,32 @@ def test_distance_and_names(spark):
     df = spark.createDataFrame([("[-12]", "a_+/+"), ("", "b_x"), (None, "c")], "d string, n string")
     got = df.select(links.unwrap(F.col("d")), links.sign_of_name(F.col("n"))).collect()
     assert [tuple(r) for r in got] == [(-12, "+/+"), (None, "?"), (None, "?")]
+
+
+def test_greedy_pairs_are_near_and_used_once(spark):
+    r = random.Random(3)
+    rows = [(i % 2, i, r.choice([0.0, None, r.uniform(1, 3), r.uniform(1, 3)]), r.random() < 0.4) for i in range(300)]
+    got = controls.greedy_pairs(spark.createDataFrame(rows, "stratum int, id bigint, x double, is_dropped boolean"), window=300).collect()
+    of = {i: (s, x, d) for s, i, x, d in rows}
+    assert got and len({p["kept"] for p in got}) == len({p["dropped"] for p in got}) == len(got)
+    for p in got:
+        (s, x, d), (t, y, e) = of[p["dropped"]], of[p["kept"]]
+        assert s == t == p["stratum"] and d and not e and (x == 0 or abs(x - y) <= 0.02 * x)
+    used = {p["dropped"] for p in got} | {p["kept"] for p in got}
+    left = [(s, x) for i, (s, x, d) in of.items() if d and x and i not in used]
+    free = [(s, x) for i, (s, x, d) in of.items() if not d and x is not None and i not in used]
+    assert not any(s == t and abs(x - y) <= 0.02 * x for s, x in left for t, y in free)
+
+
+def test_decoy_null_finds_the_linked_marker(spark):
+    r = random.Random(8)
+    y = [r.randint(0, 20) for _ in range(60)]
+    entries = [(o, f"near{k}", float(y[o] + r.randint(0, 3))) for o in range(60) for k in range(3)]
+    entries += [(o, f"far{k}", float(r.randint(0, 23))) for o in range(60) for k in range(40)]
+    entries = [e for e in entries if e[2]]
+    features = [(f"near{k}", "chr1", 100 + k) for k in range(3)] + [(f"far{k}", "chr2", k) for k in range(40)]
+    markers = [("linked", "chr1", 100), ("alone", "chr3", 5)]
+    df = spark.createDataFrame
+    rows = controls.decoy_null(df(markers, "marker string, chrom string, tss bigint"), df(features, "var_id string, chrom string, mid bigint"), df(entries, "obs_id int, var_id string, value double"), df([("linked", o, float(v)) for o, v in enumerate(y)], "marker string, obs_id int, y double"), df([(o,) for o in range(60)], "obs_id int"), 50).collect()
+    assert [x["marker"] for x in rows] == ["linked"] and rows[0]["n_near"] == 3
+    assert rows[0]["rho_true"] > 0.9 and (rows[0]["n_null"] == 0 or rows[0]["beats"])
