@@ -2,38 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from .functions import stats
 from .operators import controls, intervals, labels, links, matrix, pairing, runs
 from .plans import canonical as c
+from .registered import oracle_sql, queries, query  # noqa: F401
 from .sources import text
 from .streaming import sums
 
-_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-_SQL: dict[str, str] = {}
-
-
-def query(sql: str | None = None):
-    def add(f):
-        _QUERIES[f.__name__] = f
-        if sql:
-            _SQL[f.__name__] = sql
-        return f
-
-    return add
-
-
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(_QUERIES)
-
-
-def oracle_sql() -> dict[str, str]:
-    return dict(_SQL)
-
 
 def r6(col, name: str):
     return F.round(col, 6).alias(name)
@@ -610,3 +588,6 @@ def failure_log(spark, sf_dir):
     code = F.when(i % 3 == 0, F.lit(137)).otherwise(i % 4).cast("string")
     line = F.when(i % 7 == 0, F.concat(F.lit("Error in rule r"), (i % 40).cast("string"), F.lit(":"))).when(i % 5 == 1, F.concat(F.lit("command returned non-zero exit status "), code, F.lit("."))).when(i % 31 == 2, "OSError: [Errno 12] Cannot allocate memory").otherwise("ok")
     return runs.failures(c.table(spark, sf_dir, "events").select((F.col("user_id") % 9).alias("log"), i.alias("line_no"), line.alias("line")))
+
+
+from . import catalog_profiles, catalog_regulons  # noqa: E402, F401  (they register their queries)

@@ -7,6 +7,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import stats
+
 
 def greedy_pairs(df: DataFrame, tol: float = 0.02, window: int = 40) -> DataFrame:
     """(stratum, dropped, kept): one-to-one matches on a covariate, without replacement; df: (stratum, id, x, is_dropped).
@@ -69,3 +71,27 @@ def decoy_null(markers: DataFrame, features: DataFrame, entries: DataFrame, targ
     out = rho.groupBy("marker").agg(F.max(F.when(F.col("draw") == 0, F.col("rho"))).alias("rho_true"), F.count(null).alias("n_null"), F.median(null).alias("null_median"), F.percentile(null, F.lit(0.95)).alias("null_p95"))
     out = range_.select("marker", "n_near").join(out, "marker", "left")
     return out.withColumn("beats", F.coalesce(F.col("rho_true") > F.col("null_p95"), F.lit(False)))
+
+
+def rank_biserial(df: DataFrame, least: int = 5) -> DataFrame:
+    """(stratum, n1, n2, effect, z): two-sided rank test of dropped against kept; df: (stratum, x, is_dropped).
+
+    effect = 2 U / (n1 n2) - 1, z with tie correction; null where a side has fewer than `least` rows. Ranks come from
+    counts of distinct values, which meet in one window a stratum. Rows of null or NaN x take no part.
+    """
+    v = df.where(F.col("x").isNotNull() & ~F.isnan(F.col("x").cast("double"))).groupBy("stratum", "x").agg(F.count_if("is_dropped").alias("f"), F.count_if(~F.col("is_dropped")).alias("o"))
+    below = F.coalesce(F.sum("o").over(Window.partitionBy("stratum").orderBy("x").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    m = (F.col("f") + F.col("o")).cast("double")
+    g = v.withColumn("below", below).groupBy("stratum").agg(F.sum("f").alias("n1"), F.sum("o").alias("n2"), F.sum(F.col("f") * (F.col("below") + F.col("o") / 2)).alias("u"), F.sum(m * m * m - m).alias("ties"))
+    n = F.col("n1") + F.col("n2")
+    pairs = (F.col("n1") * F.col("n2")).cast("double")
+    ok = (F.col("n1") >= least) & (F.col("n2") >= least)
+    var = pairs / 12 * (n + 1 - F.try_divide(F.col("ties"), (n * (n - 1)).cast("double")))
+    return g.select("stratum", "n1", "n2", F.when(ok, 2 * F.try_divide(F.col("u"), pairs) - 1).alias("effect"), F.when(ok, F.try_divide(F.col("u") - pairs / 2, F.sqrt(var))).alias("z"))
+
+
+def linkage_verdict(null: DataFrame, chance: float = 0.05) -> DataFrame:
+    """(n, beats, share, p, verdict) over markers with a null: pass at p < 1e-4 and a share of 0.15, warn at p < 0.05, else fail."""
+    g = null.where("n_null > 0").agg(F.count(F.lit(1)).alias("n"), F.count_if("beats").alias("beats"))
+    g = g.withColumns({"share": F.try_divide("beats", "n"), "p": stats.binomial_tail("beats", "n", F.lit(chance))})
+    return g.withColumn("verdict", F.when((F.col("p") < 1e-4) & (F.col("share") >= 0.15), "pass").when((F.col("n") > 0) & (F.col("p") < 0.05), "warn").otherwise("fail"))

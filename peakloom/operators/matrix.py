@@ -123,3 +123,19 @@ def contrast(z: DataFrame) -> DataFrame:
     first = lambda c, k: F.max(F.when((F.col("_k") == k) & F.col("_az").isNotNull(), F.col(c)))
     out = r.groupBy("a", "b").agg(first("grp", 1).alias("g"), first("_az", 1).alias("best_abs_z"), first("_az", 2).alias("second_abs_z"), first("rho", 1).alias("best_rho"), F.count("_az").alias("n_scored"))
     return out.select("a", "b", F.coalesce("g", F.lit(-1)).alias("best_grp"), "best_abs_z", "second_abs_z", (F.col("best_abs_z") - F.col("second_abs_z")).alias("specificity_z"), "best_rho", "n_scored")
+
+
+def tie_terms(entries: DataFrame, obs: DataFrame) -> DataFrame:
+    """(var_id, ties): the sum of t^3 - t over each variable's values, its zeros included."""
+    n = F.broadcast(obs.agg(F.count(F.lit(1)).alias("n")))  # one row
+    cube = lambda c: c.cast("double") * c * c - c
+    v = entries.where("value <> 0").groupBy("var_id", "value").agg(F.count(F.lit(1)).alias("t"))
+    g = v.groupBy("var_id").agg(F.sum(cube(F.col("t"))).alias("s"), F.sum("t").alias("m")).join(n)
+    return g.select("var_id", (F.col("s") + cube(F.col("n") - F.col("m"))).alias("ties"))
+
+
+def group_tracks(entries: DataFrame, obs: DataFrame, least: int = 400) -> DataFrame:
+    """(grp, var_id, value): means of groups of at least so many observations, where they are not zero."""
+    size = group_sizes(obs).where(F.col("n_g") >= least)
+    s = entries.join(obs, "obs_id").groupBy("grp", "var_id").agg(F.sum("value").alias("s"))
+    return s.join(size, "grp").where("s > 0").select("grp", "var_id", (F.col("s") / F.col("n_g")).alias("value"))

@@ -58,3 +58,16 @@ def diagnostics(members: DataFrame) -> DataFrame:
     use = members.groupBy("grp", "obs_id").agg(F.count(F.lit(1)).alias("u")).groupBy("grp").agg(F.count(F.lit(1)).alias("n_used"), F.max("u").alias("max_reuse"))
     d = members.groupBy("grp").agg(F.countDistinct("anchor").alias("n_metacells"), F.round(F.avg(F.when(F.col("rank") == 1, F.col("dist"))), 6).alias("mean_nearest"), F.round(F.expr("percentile(dist, 0.95)"), 6).alias("p95_dist"))
     return d.join(use, "grp")
+
+
+def plan(groups: DataFrame, n_vars: int, k: int = 25, least: int = 50) -> DataFrame:
+    """groups (grp, n0, n1) with metacells = max(1, 2 round(limiting / k)), halves to even, bytes when dense, and whether dropped."""
+    limiting = F.least("n0", "n1")
+    cells = F.greatest(F.lit(1), F.bround(limiting / k) * 2).cast("bigint")
+    return groups.withColumns({"metacells": cells, "bytes": cells * n_vars * 8, "dropped": limiting < least})
+
+
+def worst(groups: DataFrame, gap: str, n: int) -> DataFrame:
+    """The n groups of the largest gap, ties by group, each with the total of metacells."""
+    total = F.broadcast(groups.agg(F.sum("n_metacells").alias("total")))  # one row
+    return groups.join(total).orderBy(F.desc(gap), "grp").limit(n)

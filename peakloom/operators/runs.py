@@ -40,3 +40,31 @@ def failures(lines: DataFrame) -> DataFrame:
     block = told.groupBy("log", "block").agg(F.max("rule").alias("rule"), F.max_by("code", F.when(F.col("code").isNotNull(), F.col("line_no"))).alias("exit"), F.bool_or("refused").alias("refused"))
     one = block.where("rule is not null").groupBy("log", "rule").agg(F.min_by("exit", F.when(F.col("exit").isNotNull(), F.col("block"))).alias("exit"), F.min_by("refused", "block").alias("enomem"))
     return one.select("log", "rule", "exit", F.coalesce(F.col("exit").isin(9, 137), F.lit(False)).alias("oom"), "enomem")
+
+
+def config_gaps(config: dict, needed: list[str], placeholder: str = "CHANGE_ME") -> dict[str, str]:
+    """Dotted keys that are absent ("missing") or still hold the placeholder ("placeholder"); empty when all is set."""
+    out = {}
+    for key in needed:
+        at: object = config
+        for part in key.split("."):
+            at = at.get(part) if isinstance(at, dict) else None
+        if at is None or at == "":
+            out[key] = "missing"
+        elif placeholder in str(at):
+            out[key] = "placeholder"
+    return out
+
+
+def claims(df: DataFrame) -> DataFrame:
+    """(name, fault) of summaries that contradict themselves; df: (name, least, median, most, part, rest, whole, percent).
+
+    A median lies within its range, parts sum to the whole, a percentage agrees with its counts to half of its last place
+    (one decimal). Nulls are not claimed and are not judged.
+    """
+    faults = F.array(
+        F.when((F.col("median") < F.col("least")) | (F.col("median") > F.col("most")), "median out of range"),
+        F.when(F.col("part") + F.col("rest") != F.col("whole"), "parts do not sum"),
+        F.when(F.abs(F.try_divide(F.col("part") * 100.0, F.col("whole")) - F.col("percent")) > 0.05 + 1e-9, "percentage off"),
+    )
+    return df.select("name", F.explode(F.array_compact(faults)).alias("fault"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators.links import safe_name
@@ -41,10 +41,47 @@ def read_sidecar(spark: SparkSession, path: str, key: str) -> DataFrame:
     return df
 
 
+def read_region_names(spark: SparkSession, path: str) -> DataFrame:
+    """(region) of a list or BED file: the only field, or the fourth, or chrom:start-end of the first three."""
+    p = spark.read.text(path).where(F.btrim("value") != "").select(F.split(F.btrim("value"), r"\s+").alias("p"))
+    joined = F.concat(F.col("p")[0], F.lit(":"), F.get("p", F.lit(1)), F.lit("-"), F.get("p", F.lit(2)))
+    return p.select(F.when(F.size("p") == 1, F.col("p")[0]).when(F.size("p") >= 4, F.get("p", F.lit(3))).when(F.size("p") == 3, joined).alias("region"))
+
+
+def read_positional(spark: SparkSession, path: str, sep: str = "\t") -> DataFrame:
+    """A table with `row_idx`, its rows' places from 0. Rows one field wider than the header begin with `__rowname__`.
+
+    Places follow the file: the ids of Spark's rows rise along it, and their rank needs one sort by range, not one task.
+    """
+    two = [r[0].rstrip("\r\n") for r in spark.read.text(path).limit(2).collect()]
+    if not two:
+        return spark.createDataFrame([], "row_idx bigint")
+    names = two[0].split(sep)
+    if len(two) > 1 and len(two[1].split(sep)) == len(names) + 1:
+        names = ["__rowname__", *names]
+    lines = spark.read.text(path).select("value", F.monotonically_increasing_id().alias("_i"))
+    part = F.shiftright("_i", 33)
+    per = lines.groupBy(part.alias("_p")).agg(F.count(F.lit(1)).alias("_n"))  # one row a file split
+    before = per.select("_p", F.coalesce(F.sum("_n").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_b"))
+    placed = lines.withColumns({"_p": part, "_o": F.col("_i").bitwiseAND((1 << 33) - 1)}).join(before, "_p").withColumn("row_idx", F.col("_b") + F.col("_o") - 1).where("row_idx >= 0")
+    fields = F.split(F.col("value"), sep, -1)
+    return placed.select("row_idx", *(F.get(fields, F.lit(i)).alias(n.strip('"')) for i, n in enumerate(names)))
+
+
+def decode(df: DataFrame, column: str, categories: DataFrame, empty: str | None = None) -> DataFrame:
+    """A column of category codes made labels; codes below 0, unknown and null ones become `empty`. categories: (code, label)."""
+    named = categories.select(F.col("code").alias(column), F.col("label").alias("_label"))
+    return df.join(named, column, "left").withColumn(column, F.coalesce("_label", F.lit(empty))).drop("_label")
+
+
+def line_counts(spark: SparkSession, path: str) -> DataFrame:
+    """(file, n_lines) of every file of a folder or glob that has lines."""
+    name = F.element_at(F.split(F.input_file_name(), "/"), -1)
+    return spark.read.text(path).select(name.alias("file")).groupBy("file").agg(F.count(F.lit(1)).alias("n_lines"))
+
+
 def bed6(regions: DataFrame, group: str = "grp", effect: str = "eff") -> DataFrame:
     """(group, line) of BED6: name {group}_{number}, effect to 4 places, sorted by place within the group."""
-    from pyspark.sql import Window
-
     k = F.row_number().over(Window.partitionBy(group).orderBy("chrom", "start", "end"))
     name = F.concat_ws("_", safe_name(F.col(group).cast("string")), k.cast("string"))
     return regions.select(F.col(group), F.concat_ws("\t", "chrom", F.col("start").cast("string"), F.col("end").cast("string"), name, F.format_string("%.4f", effect), F.lit(".")).alias("line"))

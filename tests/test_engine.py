@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from peakloom import catalog
 from peakloom.functions import stats
-from peakloom.operators import controls, intervals, labels, links, matrix, pairing
+from peakloom.operators import controls, draws, intervals, labels, links, matrix, pairing, profiles, regulons, runs, topics
 from peakloom.sources import text
 from peakloom.streaming import sums
 
@@ -144,3 +144,75 @@ def test_decoy_null_finds_the_linked_marker(spark):
     rows = controls.decoy_null(df(markers, "marker string, chrom string, tss bigint"), df(features, "var_id string, chrom string, mid bigint"), df(entries, "obs_id int, var_id string, value double"), df([("linked", o, float(v)) for o, v in enumerate(y)], "marker string, obs_id int, y double"), df([(o,) for o in range(60)], "obs_id int"), 50).collect()
     assert [x["marker"] for x in rows] == ["linked"] and rows[0]["n_near"] == 3
     assert rows[0]["rho_true"] > 0.9 and (rows[0]["n_null"] == 0 or rows[0]["beats"])
+
+
+def test_more_files(spark, tmp_path):
+    (tmp_path / "names.txt").write_text("chr1:1-2\n\nchr2 3 9\nchr3\t4\t5\tmine\n")
+    assert {r["region"] for r in text.read_region_names(spark, f"{tmp_path}/names.txt").collect()} == {"chr1:1-2", "chr2:3-9", "mine"}
+    (tmp_path / "wide.tsv").write_text("a\tb\nr1\t1\t2\nr2\t3\t\n")
+    assert [tuple(r) for r in text.read_positional(spark, f"{tmp_path}/wide.tsv").orderBy("row_idx").collect()] == [(0, "r1", "1", "2"), (1, "r2", "3", "")]
+    codes = spark.createDataFrame([(0,), (-1,), (None,), (1,)], "c int")
+    got = text.decode(codes, "c", spark.createDataFrame([(0, "x"), (1, "y")], "code int, label string"), "NA")
+    assert sorted(r["c"] for r in got.collect()) == ["NA", "NA", "x", "y"]
+    assert {tuple(r) for r in text.line_counts(spark, f"{tmp_path}/*.*").collect()} == {("names.txt", 4), ("wide.tsv", 3)}
+
+
+def test_config_and_claims(spark):
+    assert runs.config_gaps({"a": {"b": 1, "c": "CHANGE_ME/x"}, "d": ""}, ["a.b", "a.c", "d", "e.f"]) == {"a.c": "placeholder", "d": "missing", "e.f": "missing"}
+    rows = [("good", 1, 2, 3, 1, 3, 4, 25.0), ("bad", 1, 9, 3, 1, 2, 4, 30.0), ("silent", *[None] * 7)]
+    got = runs.claims(spark.createDataFrame(rows, "name string, least int, median int, most int, part int, rest int, whole int, percent double")).collect()
+    assert sorted(tuple(r) for r in got) == [("bad", "median out of range"), ("bad", "parts do not sum"), ("bad", "percentage off")]
+
+
+def test_running_enrichment_brute_force(spark):
+    r = random.Random(5)
+    items = [(i, r.choice([-2.0, -1.0, 0.5, 3.0, r.uniform(-4, 4)])) for i in range(60)]
+    sets = [(s, i) for s in range(4) for i in range(60) if r.random() < 0.2]
+    got = {x["set"]: x["score"] for x in regulons.running_enrichment(spark.createDataFrame(items, "item int, weight double"), spark.createDataFrame(sets, "set int, item int")).collect()}
+    for s in range(4):
+        inside = {i for t, i in sets if t == s}
+        order = sorted(items, key=lambda x: (-x[1], x[0]))
+        total, at, steps = sum(abs(w) for i, w in items if i in inside), 0.0, []
+        for i, w in order:
+            at += abs(w) / total if i in inside else -1 / (60 - len(inside))
+            steps.append(at)
+        want = max(steps) if max(steps) >= -min(steps) else min(steps)
+        assert abs(got[s] - want) < 1e-9
+
+
+def test_model_choice_and_topics(spark):
+    assert topics.choose_model({5: {"perplexity": 9.0, "c": 0.1}, 10: {"perplexity": 2.0, "c": 0.4}, 20: {"perplexity": 1.9, "c": 0.0}}) == 10
+    assert topics.choose_model({7: {"c": 1.0}}) == 7
+    with pytest.raises(ValueError):
+        topics.choose_model({})
+    cells = spark.createDataFrame([(o, f"{'ab'[o % 2]}{k}") for o in range(40) for k in range(6)], "obs_id int, var_id string")
+    words, model, _ = topics.fit_topics(cells, 2)
+    tops = [{words.vocabulary[i][0] for i in t["termIndices"]} for t in model.describeTopics(6).collect()]
+    assert sorted(map(sorted, tops)) == [["a"], ["b"]]
+
+
+def test_otsu_splits_two_clumps(spark):
+    rows = [("t", i, 1.0 + i % 5 / 10) for i in range(50)] + [("t", 50 + i, 9.0 + i % 5 / 10) for i in range(10)] + [("flat", i, 2.0) for i in range(5)]
+    got = topics.otsu(spark.createDataFrame(rows, "topic string, region int, weight double")).collect()
+    assert [x["topic"] for x in got] == ["t"] and 1.4 < got[0]["threshold"] < 9
+
+
+def test_label_random_draws_are_distinct(spark):
+    cells = spark.createDataFrame([("g", m, i) for m in (0, 1) for i in range(7 if m else 3)], "grp string, modality int, obs_id int")
+    got = draws.label_random(cells, spark.createDataFrame([("g", k) for k in range(6)], "grp string, metacell int"), 5).collect()
+    for k in range(6):
+        for m, n in ((0, 3), (1, 5)):
+            own = [x["obs_id"] for x in got if x["metacell"] == k and x["modality"] == m]
+            assert len(own) == len(set(own)) == n
+
+
+def test_linkage_verdict(spark):
+    null = lambda k, n: spark.createDataFrame([(20, i < k) for i in range(n)] + [(0, True)], "n_null int, beats boolean")
+    assert [controls.linkage_verdict(null(k, 40)).first()["verdict"] for k in (2, 6, 20)] == ["fail", "warn", "pass"]
+    assert controls.linkage_verdict(null(0, 0)).first()["verdict"] == "fail"
+
+
+def test_numeric_ids_are_scores(spark):
+    df = spark.createDataFrame([(f"c{i}", f"{i}.5", "T") for i in range(20)], "barcode string, cell_score string, celltype string")
+    assert {r["column"]: r["role"] for r in profiles.column_roles(df).collect()} == {"barcode": "id", "cell_score": "score", "celltype": "label"}
+    assert profiles.column_roles(df.select(F.lit(1).alias("z"))).count() == 0
