@@ -19,6 +19,22 @@ from .common import map_columns, text_of, written
 
 LIKENESS = 0.8
 BLOCK_ROWS = 512
+HOT_SHARE = 1024  # a key of more than 1 / HOT_SHARE of the rows is hot; there can be no more than HOT_SHARE of them
+
+
+def spread_join(big: DataFrame, small: DataFrame, on: str, counts: DataFrame, how: str = "inner") -> DataFrame:
+    """big joined with small, whose keys are unique, without one task for all rows of a hot key.
+
+    counts: (on, n), the rows of big of each key. A hot key's rows are dealt to as many parts as it has shares, by their
+    hash (so that a task that runs again deals alike), and its row of small is repeated for each part. The table of hot
+    keys has at most HOT_SHARE rows of one key and one number, whatever the input.
+    """
+    total = counts.agg(F.ceil(F.sum("n") / HOT_SHARE).alias("_share"))  # one row
+    hot = counts.join(F.broadcast(total)).where(F.col("n") > F.col("_share")).select(on, F.ceil(F.col("n") / F.col("_share")).cast("int").alias("_parts"))
+    parts = F.coalesce("_parts", F.lit(1))
+    dealt = big.join(F.broadcast(hot), on, "left").withColumn("_part", F.pmod(F.xxhash64(*big.columns), parts).cast("int")).drop("_parts")
+    every = small.join(F.broadcast(hot), on, "left").withColumn("_part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("_parts")
+    return dealt.join(every, [on, "_part"], how).drop("_part")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, make_features: Callable, least: float) -> DataFrame:
@@ -41,7 +57,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, make_features: Callable, least
 
     one = texts.select(F.col("key").alias("b"), F.col("text").alias("text_b"))
     two = texts.select(F.col("key").alias("a"), F.col("text").alias("text_a"))
-    both = pairs.join(one, "b").join(two, "a")
+    both = spread_join(pairs, one, "b", pairs.groupBy("b").agg(F.count(F.lit(1)).alias("n"))).join(two, "a")
     return map_columns(both, ["a", "b"], ["text_a", "text_b"], [("likeness", "double")], make).where(F.col("likeness") >= least).select("a", "b")
 
 
@@ -51,8 +67,9 @@ def _verified_in_blocks(members: DataFrame, texts: DataFrame, make_features: Cal
     A bucket is cut into blocks of about BLOCK_ROWS texts, and each pair of blocks is one group, held as a matrix of
     features: memory is bounded, whatever the bucket's size, and pairs that are not alike never become rows.
     """
-    blocks = members.groupBy("band").agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).cast("int").alias("blocks"))
-    dealt = members.join(blocks, "band").withColumn("own", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
+    sizes = members.groupBy("band").agg(F.count(F.lit(1)).alias("n"))
+    blocks = sizes.select("band", F.ceil(F.col("n") / BLOCK_ROWS).cast("int").alias("blocks"))
+    dealt = spread_join(members, blocks, "band", sizes).withColumn("own", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
     dealt = dealt.select("band", "key", "root", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
     dealt = dealt.select("band", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "key", "root").join(texts, "key")
 
@@ -114,12 +131,12 @@ def classes(docs: DataFrame, make_bands: Callable, make_features: Callable, id_c
     nodes = written(map_columns(keyed, [id_col, "key"], ["text"], [("bands", "array<bigint>"), ("size", "bigint")], make_bands))
     rows = nodes.groupBy("key").agg(F.first("bands").alias("bands")).select("key", F.explode("bands").alias("band"))
     rows = written(rows)
-    buckets = rows.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    shared = written(rows.join(buckets, "band").select("band", "key", "n"))
+    buckets = written(rows.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
+    shared = written(spread_join(rows, buckets, "band", buckets).select("band", "key", "n"))
     # The hub of a family shares more and larger buckets than its other members do: the leader is the node that meets most.
     met = shared.groupBy("key").agg(F.sum("n").alias("met"))
     lead = shared.join(met, "key").groupBy("band").agg(F.max(F.struct("met", "key")).alias("lead")).select("band", F.col("lead.key").alias("lead"))
-    star = shared.join(lead, "band").where("key <> lead").select(F.col("lead").alias("a"), F.col("key").alias("b"))
+    star = spread_join(shared.drop("n"), lead, "band", buckets).where("key <> lead").select(F.col("lead").alias("a"), F.col("key").alias("b"))
     star = written(star.distinct())
     inside = shared.select("key").distinct()
     copies = written(keyed.select("key", "text").join(inside, "key", "left_semi"))
@@ -130,13 +147,15 @@ def classes(docs: DataFrame, make_bands: Callable, make_features: Callable, id_c
     # What may still link two components: pairs across the components of a bucket.
     placed = shared.join(roots, "key", "left").select("band", "key", F.coalesce("root", "key").alias("root"))
     split = placed.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("band")
-    late = written(_verified_in_blocks(placed.join(split, "band"), texts, make_features, likeness).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    late = written(_verified_in_blocks(spread_join(placed, split, "band", buckets), texts, make_features, likeness).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     if late.limit(1).count():
         edges = edges.unionByName(late)
         roots = components(edges)
 
     links = edges.select(F.col("a").alias("key")).union(edges.select(F.col("b").alias("key"))).groupBy("key").agg(F.count(F.lit(1)).alias("n_links"))
-    placed = nodes.select(id_col, "key").join(roots, "key", "left").join(links, "key", "left")
+    of_key = written(links.join(roots, "key", "full"))
+    repeats = written(nodes.groupBy("key").agg(F.count(F.lit(1)).alias("n")))
+    placed = spread_join(nodes.select(id_col, "key"), of_key, "key", repeats, "left")
     placed = written(placed.select(id_col, "key", F.coalesce("root", "key").alias("root"), F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links")))
-    of = placed.groupBy("root").agg(F.min(id_col).alias("class_id"), F.count(F.lit(1)).alias("class_size"))
-    return placed.join(of, "root").select(id_col, "key", "class_id", "class_size", "n_links")
+    of = written(placed.groupBy("root").agg(F.min(id_col).alias("class_id"), F.count(F.lit(1)).alias("n")))
+    return spread_join(placed, of, "root", of).select(id_col, "key", "class_id", F.col("n").alias("class_size"), "n_links")

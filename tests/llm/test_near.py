@@ -141,3 +141,16 @@ def test_linked_fingerprints(spark):
                 root[max(find(i), find(j))] = min(find(i), find(j))
     got = {r["doc_id"]: r["class_id"] for r in fingerprints.link_fingerprints(docs.withColumn("key", F.lit(1))).collect()}
     assert got == {i: find(i) for i in sets}
+
+
+def test_spread_join_splits_hot_keys_and_keeps_all_rows(spark):
+    from peakloom.llm.neardup import spread_join
+
+    rows = [(i, 0 if i % 3 else i) for i in range(9000)]
+    big = spark.createDataFrame(rows, "i int, k int")
+    small = spark.createDataFrame([(k, k * 2) for k in range(0, 9000, 2)], "k int, v int")
+    counts = big.groupBy("k").count().withColumnRenamed("count", "n")
+    have = set(range(0, 9000, 2))
+    assert sorted(tuple(r) for r in spread_join(big, small, "k", counts).select("i", "k", "v").collect()) == sorted((i, k, 2 * k) for i, k in rows if k in have)
+    assert sorted(tuple(r) for r in spread_join(big, small, "k", counts, "left").select("i", "v").collect() if r["v"] is None) == sorted((i, None) for i, k in rows if k not in have)
+    assert spread_join(big.where("false"), small, "k", counts.where("false")).count() == 0
