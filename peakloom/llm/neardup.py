@@ -139,8 +139,8 @@ def classes(docs: DataFrame, make_bands: Callable, make_features: Callable, id_c
     star = spread_join(shared.drop("n"), lead, "band", buckets).where("key <> lead").select(F.col("lead").alias("a"), F.col("key").alias("b"))
     star = written(star.distinct())
     inside = shared.select("key").distinct()
-    copies = written(keyed.select("key", "text").join(inside, "key", "left_semi"))
-    texts = written(copies.groupBy("key").agg(F.first("text").alias("text")))
+    # Copies are folded before anything moves: one text of a key leaves a map task, however many copies there are.
+    texts = written(keyed.groupBy("key").agg(F.first("text").alias("text")).join(inside, "key", "left_semi"))
     edges = written(_verified(star, texts, make_features, likeness))
     roots = components(edges)
 
