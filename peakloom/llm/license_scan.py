@@ -1,7 +1,8 @@
 """Licence scan: matching statistics of each text against a generalised suffix automaton of licence templates.
 
 The automaton is over words. Streaming a text through it gives, at each word, the longest run ending there that occurs
-in some template. Runs of at least `MIN_RUN` words are chained, template by template, in text order and template order,
+in some template. Where such a run can't go on, each template has the longest suffix of it that it holds, and where a
+template ends, the words up to there. Runs of at least `MIN_RUN` words are chained, template by template, in text order and template order,
 into covered spans; a span that covers enough of a template is reported with its label. The base phrases are strings
 of the same automaton: a phrase stands at a word when its state is on the suffix-link path of the current match.
 """
@@ -98,6 +99,16 @@ class Automaton:
             self.link[new] = q
         return new
 
+    def suffixes(self, v: int, n: int) -> dict[int, tuple[int, int]]:
+        """Of a match (state, length): template -> (end in it, words) of the longest suffix of the match that it holds."""
+        found: dict[int, tuple[int, int]] = {}
+        while n >= MIN_RUN:
+            for t, e in self.ends[v].items():
+                found.setdefault(t, (e, n))
+            v = self.link[v]
+            n = self.len[v]
+        return found
+
     def statistics(self, tokens: list[bytes]):
         """(position, state, length) at each word where the match is two words or longer."""
         vocabulary, nxt, link, length = self.vocabulary, self.next, self.link, self.len
@@ -118,19 +129,27 @@ class Automaton:
 
 
 def _cover(runs: list[tuple[int, int, int]], size: int) -> list[tuple[int, int, float]]:
-    """runs: (text start, template start, words), by text start. Chains runs that advance in both; gives covered spans."""
+    """runs: (text start, template start, words), by text start. Chains runs that advance in both; gives covered spans.
+
+    A run that fits several spans goes to the one that covers most, so that an overlapping run never parts a chain.
+    """
     spans: list[list[int]] = []  # text start, text end, template end, words covered
+    near: list[list[int]] = []  # of these, the ones that a run can still reach
     for s, t, n in runs:
-        if spans and s - spans[-1][1] <= MAX_GAP and t >= spans[-1][2] and s >= spans[-1][1]:
-            spans[-1][1:] = [s + n, t + n, spans[-1][3] + n]
+        near = [x for x in near if s - x[1] <= MAX_GAP]
+        last = max((x for x in near if s >= x[1] and t >= x[2]), key=lambda x: x[3], default=None)
+        if last:
+            last[1:] = [s + n, t + n, last[3] + n]
         else:
             spans.append([s, s + n, t + n, n])
+            near.append(spans[-1])
     return [(a, b, c / size) for a, b, _, c in spans if c >= MIN_COVER * size]
 
 
 def scan(tokens: list[bytes], a: Automaton, labels: list[str], base: list[str]) -> tuple:
     starts, found = [], set()
     runs: list[tuple[int, int, int]] = []  # maximal matches: end, state, length
+    ended: dict[int, list[tuple[int, int, int]]] = {}  # matches to a template's last word, which a longer match may go on from
     for i, v, n in a.statistics(tokens):
         for p in a.phrases[v]:
             if a.phrase_len[p] <= n:
@@ -141,11 +160,14 @@ def scan(tokens: list[bytes], a: Automaton, labels: list[str], base: list[str])
                 runs[-1] = (i + 1, v, n)
             else:
                 runs.append((i + 1, v, n))
-    by_template: dict[int, list[tuple[int, int, int]]] = {}
+            for t, (e, m) in a.suffixes(v, n).items():
+                if e == a.sizes[t]:
+                    ended.setdefault(t, []).append((i + 1 - m, e - m, m))
+    by_template: dict[int, set[tuple[int, int, int]]] = {t: set(r) for t, r in ended.items()}
     for end, v, n in runs:
-        for t, e in a.ends[v].items():
-            by_template.setdefault(t, []).append((end - n, e - n, n))
-    spans = sorted({(s, e, labels[t], round(c, 6)) for t, r in by_template.items() for s, e, c in _cover(r, a.sizes[t])})
+        for t, (e, m) in a.suffixes(v, n).items():
+            by_template.setdefault(t, set()).add((end - m, e - m, m))
+    spans = sorted({(s, e, labels[t], round(c, 6)) for t, r in by_template.items() for s, e, c in _cover(sorted(r), a.sizes[t])})
     score = max([1.0 if starts else 0.0, *(min(1.0, c) for *_, c in spans)])
     return len(tokens), len(starts), min(starts, default=None), max(starts, default=None), ",".join(sorted(found)), ",".join(sorted(found | {x[2] for x in spans})), score, [f"{k}:{s}:{e}" for s, e, k, _ in spans]
 

@@ -131,3 +131,36 @@ def test_automaton_matching_statistics():
                 assert {p for p in a.phrases[v] if a.phrase_len[p] <= n} == {p for p, s in enumerate(phrases) if text[i + 1 - len(s) : i + 1] == s}
                 for t, e in a.ends[v].items():
                     assert strings[t][e - n : e] == text[i + 1 - n : i + 1]
+
+
+def test_license_of_a_shorter_suffix():
+    """The long Apache template holds the whole line, the short one all but its first word."""
+    labels, base = [x for x, _ in license_scan.TEMPLATES], [x for _, x in license_scan.BASE_PHRASES]
+    a = license_scan.Automaton([license_scan.words(x) for _, x in license_scan.TEMPLATES], [license_scan.words(x) for x, _ in license_scan.BASE_PHRASES])
+    got = license_scan.scan(license_scan.words("Licensed under the Apache License, Version 2.0."), a, labels, base)
+    assert got[5:] == ("apache-2.0", 0.875, ["apache-2.0:1:8"])
+
+
+def test_license_of_a_template_that_a_longer_one_begins_with():
+    a = license_scan.Automaton([license_scan.words("a b c d e f g h i j k l"), license_scan.words("b c d e")], [])
+    got = license_scan.scan(license_scan.words("a b c d e f"), a, ["long", "short"], [])
+    assert got[5:] == ("short", 1.0, ["short:1:5"])
+
+
+def test_suffixes_of_matches():
+    """Each template's longest suffix of a match against all substrings of the template."""
+    import random
+
+    r = random.Random(4)
+    for _ in range(60):
+        strings = [[bytes([r.choice(b"abc")]) for _ in range(r.randint(1, 12))] for _ in range(3)]
+        text = [bytes([r.choice(b"abcd")]) for _ in range(40)]
+        a = license_scan.Automaton(strings, [])
+        for i, v, n in a.statistics(text):
+            want = {}
+            for t, s in enumerate(strings):
+                ends = [(m, e) for m in range(license_scan.MIN_RUN, n + 1) for e in range(m, len(s) + 1) if s[e - m : e] == text[i + 1 - m : i + 1]]
+                if ends:
+                    m = max(ends)[0]
+                    want[t] = (min(e for k, e in ends if k == m), m)
+            assert a.suffixes(v, n) == want
