@@ -1,63 +1,50 @@
 """Licence scan: matching statistics of each text against a generalised suffix automaton of licence templates.
 
 The automaton is over words. Streaming a text through it gives, at each word, the longest run ending there that occurs
-in some template. Where such a run can't go on, each template has the longest suffix of it that it holds, and where a
-template ends, the words up to there. Runs of at least `MIN_RUN` words are chained, template by template, in text order and template order,
-into covered spans; a span that covers enough of a template is reported with its label. The base phrases are strings
-of the same automaton: a phrase stands at a word when its state is on the suffix-link path of the current match.
+in some template; the suffix-link path from there gives, for every place in every template, the longest run that ends at
+both. Such matches of at least `MIN_RUN` words that go no further are chained, template by template, into the chain of
+greatest cover: text order and template order both advance, overlaps count once, and no more than `MAX_GAP` words of
+text lie between two matches. A chain that covers enough of its template, and of the words that tell its label from all
+others, is a span; a span inside another one that covers more words gives way to it. The base phrases are strings of the
+same automaton: a phrase stands at a word when its state is on the suffix-link path of the current match.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_right
+
 from pyspark.sql import DataFrame
 
 from .common import map_columns, words
+from .license_texts import TEMPLATES
 
 # Base phrases with their labels.
 BASE_PHRASES = (("cc by", "cc-by"), ("general public license", "gpl"), ("all rights reserved", "reserved"))
 
-# Openings and key sentences of public licence notices, by label.
-TEMPLATES = (
-    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction"),
-    ("mit", "released under the mit license"),
-    ("mit", "licensed under the mit license"),
-    ("apache-2.0", "licensed under the apache license version 2.0 the license you may not use this file except in compliance with the license"),
-    ("apache-2.0", "released under the apache license version 2.0"),
-    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met"),
-    ("gpl", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation"),
-    ("gpl", "this work is licensed under the gnu general public license version 3"),
-    ("lgpl", "under the terms of the gnu lesser general public license as published by the free software foundation"),
-    ("cc-by", "this work is licensed under a creative commons attribution 4.0 international license"),
-    ("cc-by-nc", "licensed under cc by nc 4.0"),
-    ("cc-by-sa", "licensed under cc by sa 4.0"),
-    ("cc-by", "licensed under cc by 4.0"),
-    ("cc0", "to the extent possible under law the author has waived all copyright and related or neighboring rights to this work"),
-    ("reserved", "copyright all rights reserved"),
-)
-
 MIN_RUN = 3  # words of a match that is long enough to chain
 MAX_GAP = 6  # words of text between two chained matches
-MIN_COVER = 0.6  # share of a template's words that a span must cover
+SHORT = 14  # words of a template that must be covered whole and without gaps
+MIN_COVER, MIN_TELLING = 0.75, 0.5  # shares of a longer template's words, and of its telling words, that a span covers
 
 
 class Automaton:
-    """Generalised suffix automaton; each state knows, per template, the end of its first occurrence."""
+    """Generalised suffix automaton; a state of MIN_RUN words or more knows all (template, end) of its occurrences."""
 
     def __init__(self, strings: list[list[bytes]], phrases: list[list[bytes]]) -> None:
         self.next: list[dict[bytes, int]] = [{}]
         self.link, self.len = [-1], [0]
-        self.ends: list[dict[int, int]] = [{}]
-        self.sizes = [len(s) for s in strings]
+        self.strings = strings
+        ends: dict[int, set[tuple[int, int]]] = {}
         for t, s in enumerate([*strings, *phrases]):
             last = 0
             for i, w in enumerate(s):
                 last = self._extend(last, w)
                 if t < len(strings):
-                    self.ends[last].setdefault(t, i + 1)
+                    ends.setdefault(last, set()).add((t, i + 1))
         for v in sorted(range(1, len(self.len)), key=lambda v: -self.len[v]):  # occurrences pass to shorter suffixes
-            for t, e in self.ends[v].items():
-                mine = self.ends[self.link[v]]
-                mine[t] = min(mine.get(t, e), e)
+            if self.len[self.link[v]] >= MIN_RUN:
+                ends.setdefault(self.link[v], set()).update(ends.get(v, ()))
+        self.ends = [tuple(sorted(ends.get(v, ()))) if self.len[v] >= MIN_RUN else () for v in range(len(self.len))]
         own: dict[int, list[int]] = {}
         for p, s in enumerate(phrases):
             v = 0
@@ -70,17 +57,16 @@ class Automaton:
             self.phrases[v] = (*own.get(v, ()), *self.phrases[self.link[v]])
         self.vocabulary = frozenset(w for s in [*strings, *phrases] for w in s)
 
-    def _state(self, length: int, moves: dict[bytes, int], link: int, ends: dict[int, int]) -> int:
+    def _state(self, length: int, moves: dict[bytes, int], link: int) -> int:
         self.len.append(length)
         self.next.append(moves)
         self.link.append(link)
-        self.ends.append(ends)
         return len(self.len) - 1
 
     def _split(self, p: int, q: int, w: bytes) -> int:
         if self.len[q] == self.len[p] + 1:
             return q
-        copy = self._state(self.len[p] + 1, dict(self.next[q]), self.link[q], {})
+        copy = self._state(self.len[p] + 1, dict(self.next[q]), self.link[q])
         self.link[q] = copy
         while p >= 0 and self.next[p].get(w) == q:
             self.next[p][w] = copy
@@ -90,7 +76,7 @@ class Automaton:
     def _extend(self, last: int, w: bytes) -> int:
         if w in self.next[last]:
             return self._split(last, self.next[last][w], w)
-        new, p = self._state(self.len[last] + 1, {}, 0, {}), last
+        new, p = self._state(self.len[last] + 1, {}, 0), last
         while p >= 0 and w not in self.next[p]:
             self.next[p][w] = new
             p = self.link[p]
@@ -99,16 +85,6 @@ class Automaton:
             self.link[new] = q
         return new
 
-    def suffixes(self, v: int, n: int) -> dict[int, tuple[int, int]]:
-        """Of a match (state, length): template -> (end in it, words) of the longest suffix of the match that it holds."""
-        found: dict[int, tuple[int, int]] = {}
-        while n >= MIN_RUN:
-            for t, e in self.ends[v].items():
-                found.setdefault(t, (e, n))
-            v = self.link[v]
-            n = self.len[v]
-        return found
-
     def statistics(self, tokens: list[bytes]):
         """(position, state, length) at each word where the match is two words or longer."""
         vocabulary, nxt, link, length = self.vocabulary, self.next, self.link, self.len
@@ -127,63 +103,133 @@ class Automaton:
             if n >= 2:
                 yield i, v, n
 
+    def ending(self, v: int, n: int, after: bytes | None) -> list[tuple[int, int, int]]:
+        """(template, end in it, words) of the matches that end here, as long as they can be, and don't go on with `after`."""
+        found, seen = [], set()
+        while n >= MIN_RUN:
+            for t, e in self.ends[v]:
+                if (t, e) not in seen:
+                    seen.add((t, e))
+                    s = self.strings[t]
+                    if e == len(s) or s[e] != after:
+                        found.append((t, e, n))
+            v = self.link[v]
+            n = self.len[v]
+        return found
 
-def _cover(runs: list[tuple[int, int, int]], size: int) -> list[tuple[int, int, float]]:
-    """runs: (text start, template start, words), by text start. Chains runs that advance in both; gives covered spans.
 
-    A run that fits several spans goes to the one that covers most, so that an overlapping run never parts a chain.
+class Template:
+    """What chaining needs of a template: its label, and how much of it and of its telling words a span must cover."""
+
+    def __init__(self, label: str, tokens: list[bytes], telling: set[bytes]) -> None:
+        self.label, self.size = label, len(tokens)
+        self.least = self.size if self.size < SHORT else MIN_COVER * self.size
+        self.told = [0]
+        for w in tokens:
+            self.told.append(self.told[-1] + (w in telling))
+        self.gap = 0 if self.size < SHORT else MAX_GAP
+        self.least_told = 0 if self.size < SHORT else MIN_TELLING * self.told[-1]
+
+
+def templates_of(pairs) -> list[Template]:
+    """Telling words of a label stand in no template of another label."""
+    labels: dict[bytes, set[str]] = {}
+    split = [(label, words(text)) for label, text in pairs]
+    for label, tokens in split:
+        for w in tokens:
+            labels.setdefault(w, set()).add(label)
+    return [Template(label, tokens, {w for w in tokens if len(labels[w]) == 1}) for label, tokens in split]
+
+
+def chains(runs: list[tuple[int, int, int]], told: list[int], gap: int = MAX_GAP) -> list[tuple[int, int, int, int]]:
+    """For each run the chain of greatest cover that ends with it: (text start, text end, words covered, telling words).
+
+    runs: (text start, template start, words), sorted. In a chain starts and ends advance both in the text and in the
+    template; what a run shares with the one before it counts once. Of equal chains the one that begins last counts.
     """
-    spans: list[list[int]] = []  # text start, text end, template end, words covered
-    near: list[list[int]] = []  # of these, the ones that a run can still reach
-    for s, t, n in runs:
-        near = [x for x in near if s - x[1] <= MAX_GAP]
-        last = max((x for x in near if s >= x[1] and t >= x[2]), key=lambda x: x[3], default=None)
-        if last:
-            last[1:] = [s + n, t + n, last[3] + n]
+    out: list[tuple[int, int, int, int]] = []
+    near: list[int] = []  # runs that one still to come can follow
+    for k, (s, p, n) in enumerate(runs):
+        best = (s, s + n, n, told[p + n] - told[p])
+        near = [j for j in near if s - (runs[j][0] + runs[j][2]) <= gap]
+        for j in near:
+            a, b, m = runs[j]
+            if a < s and b < p and a + m < s + n and b + m < p + n:
+                shared = max(0, a + m - s, b + m - p)
+                if shared < n:
+                    start, _, covered, telling = out[j]
+                    new = (start, s + n, covered + n - shared, telling + told[p + n] - told[p + shared])
+                    if (new[2], new[0]) > (best[2], best[0]):
+                        best = new
+        out.append(best)
+        near.append(k)
+    return out
+
+
+def apart(spans: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """Of (start, end, worth) those that don't overlap and are worth most together; by end."""
+    spans = sorted(spans, key=lambda x: (x[1], x[0], x[2]))
+    ends = [e for _, e, _ in spans]
+    worth, before = [0], []
+    for k, (s, _, w) in enumerate(spans):
+        before.append(bisect_right(ends, s, 0, k))
+        worth.append(max(worth[k], worth[before[k]] + w))
+    out, k = [], len(spans)
+    while k:
+        if worth[k] == worth[k - 1]:
+            k -= 1
         else:
-            spans.append([s, s + n, t + n, n])
-            near.append(spans[-1])
-    return [(a, b, c / size) for a, b, _, c in spans if c >= MIN_COVER * size]
+            out.append(spans[k - 1])
+            k = before[k - 1]
+    return out[::-1]
+
+
+def covered(runs: list[tuple[int, int, int]], t: Template) -> list[tuple[int, int, int]]:
+    """Spans (text start, text end, words covered) of one template, apart from each other."""
+    return apart([(a, b, n) for a, b, n, told in chains(runs, t.told, t.gap) if n >= t.least and told >= t.least_told])
+
+
+def outermost(spans: list[tuple[int, int, int, str, float]]) -> list[tuple[int, int, int, str, float]]:
+    """Spans (start, end, covered, label, share) without those inside a kept one that covers more words or has their label."""
+    out: list[tuple[int, int, int, str, float]] = []
+    open_: list[tuple[int, int, int, str, float]] = []  # spans that reach beyond the present start
+    for x in sorted(set(spans), key=lambda x: (x[0], -x[1], -x[2], x[3], -x[4])):
+        open_ = [y for y in open_ if y[1] > x[0]]
+        if not any(y[1] >= x[1] and (y[2] > x[2] or y[3] == x[3]) for y in open_):
+            open_.append(x)
+            out.append(x)
+    return out
 
 
-def scan(tokens: list[bytes], a: Automaton, labels: list[str], base: list[str]) -> tuple:
+def scan(tokens: list[bytes], a: Automaton, templates: list[Template], base: list[str]) -> tuple:
     starts, found = [], set()
-    runs: list[tuple[int, int, int]] = []  # maximal matches: end, state, length
-    ended: dict[int, list[tuple[int, int, int]]] = {}  # matches to a template's last word, which a longer match may go on from
+    runs: dict[int, list[tuple[int, int, int]]] = {}
     for i, v, n in a.statistics(tokens):
         for p in a.phrases[v]:
             if a.phrase_len[p] <= n:
                 starts.append(i + 1 - a.phrase_len[p])
                 found.add(base[p])
         if n >= MIN_RUN:
-            if runs and runs[-1][0] == i and n == runs[-1][2] + 1:
-                runs[-1] = (i + 1, v, n)
-            else:
-                runs.append((i + 1, v, n))
-            for t, (e, m) in a.suffixes(v, n).items():
-                if e == a.sizes[t]:
-                    ended.setdefault(t, []).append((i + 1 - m, e - m, m))
-    by_template: dict[int, set[tuple[int, int, int]]] = {t: set(r) for t, r in ended.items()}
-    for end, v, n in runs:
-        for t, (e, m) in a.suffixes(v, n).items():
-            by_template.setdefault(t, set()).add((end - m, e - m, m))
-    spans = sorted({(s, e, labels[t], round(c, 6)) for t, r in by_template.items() for s, e, c in _cover(sorted(r), a.sizes[t])})
-    score = max([1.0 if starts else 0.0, *(min(1.0, c) for *_, c in spans)])
-    return len(tokens), len(starts), min(starts, default=None), max(starts, default=None), ",".join(sorted(found)), ",".join(sorted(found | {x[2] for x in spans})), score, [f"{k}:{s}:{e}" for s, e, k, _ in spans]
+            for t, e, m in a.ending(v, n, tokens[i + 1] if i + 1 < len(tokens) else None):
+                runs.setdefault(t, []).append((i + 1 - m, e - m, m))
+    spans = outermost([(s, e, n, templates[t].label, n / templates[t].size) for t, r in runs.items() for s, e, n in covered(sorted(r), templates[t])])
+    score = max([1.0 if starts else 0.0, *(x[4] for x in spans)])
+    return len(tokens), len(starts), min(starts, default=None), max(starts, default=None), ",".join(sorted(found)), ",".join(sorted(found | {x[3] for x in spans})), score, [f"{x}:{s}:{e}" for s, e, _, x, _ in spans]
 
 
 def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates=TEMPLATES, phrases=BASE_PHRASES) -> DataFrame:
     """One row per input row: word and base-phrase counts, labels, score and the covered template spans (words).
 
     Null and empty texts have no words, no labels and score 0. Repeated rows give repeated results; other columns are
-    ignored. Ties between templates are all reported. A long text is streamed word by word, no shuffle.
+    ignored. Templates that cover equally much of the same place are all reported. A long text is streamed word by word,
+    no shuffle.
     """
-    labels, base = [x for x, _ in templates], [x for _, x in phrases]
+    known, base = templates_of(templates), [x for _, x in phrases]
     strings, short = [words(x) for _, x in templates], [words(x) for x, _ in phrases]
 
     def make():
         a = Automaton(strings, short)
-        return lambda texts: list(zip(*(scan(words(t), a, labels, base) for t in texts), strict=True)) or [[]] * 8
+        return lambda texts: list(zip(*(scan(words(t), a, known, base) for t in texts), strict=True)) or [[]] * 8
 
     out = [("n_words", "bigint"), ("n_base", "bigint"), ("first_word", "bigint"), ("last_word", "bigint"), ("base_labels", "string"), ("labels", "string"), ("score", "double"), ("template_spans", "array<string>")]
     return map_columns(docs, [id_col], [text_col], out, make)

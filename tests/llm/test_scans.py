@@ -1,11 +1,12 @@
 """Secret scan, personal data and licence scan against plain regular expressions."""
 
 import hashlib
+import random
 import re
 
 import pytest
 
-from peakloom.llm import license_scan, pii, secrets_scan
+from peakloom.llm import license_scan, license_texts, pii, secrets_scan
 from tests.llm.data import TEXTS, documents
 
 
@@ -111,15 +112,17 @@ def test_license_base(spark, texts):
     assert license_scan.scan_licenses(documents(spark, [])).count() == 0
 
 
+def random_words(r, letters, least, most):
+    return [bytes([r.choice(letters)]) for _ in range(r.randint(least, most))]
+
+
 def test_automaton_matching_statistics():
     """Lengths of the longest matches against all substrings of the templates."""
-    import random
-
     r = random.Random(3)
     for _ in range(60):
-        strings = [[bytes([r.choice(b"abc")]) for _ in range(r.randint(1, 8))] for _ in range(3)]
-        phrases = [[bytes([r.choice(b"abc")]) for _ in range(2)] for _ in range(2)]
-        text = [bytes([r.choice(b"abcd")]) for _ in range(30)]
+        strings = [random_words(r, b"abc", 1, 8) for _ in range(3)]
+        phrases = [random_words(r, b"abc", 2, 2) for _ in range(2)]
+        text = random_words(r, b"abcd", 30, 30)
         a = license_scan.Automaton(strings, phrases)
         subs = {tuple(s[i:j]) for s in [*strings, *phrases] for i in range(len(s)) for j in range(i + 1, len(s) + 1)}
         got = {i: (v, n) for i, v, n in a.statistics(text)}
@@ -129,38 +132,105 @@ def test_automaton_matching_statistics():
             if best >= 2:
                 v, n = got[i]
                 assert {p for p in a.phrases[v] if a.phrase_len[p] <= n} == {p for p, s in enumerate(phrases) if text[i + 1 - len(s) : i + 1] == s}
-                for t, e in a.ends[v].items():
-                    assert strings[t][e - n : e] == text[i + 1 - n : i + 1]
-
-
-def test_license_of_a_shorter_suffix():
-    """The long Apache template holds the whole line, the short one all but its first word."""
-    labels, base = [x for x, _ in license_scan.TEMPLATES], [x for _, x in license_scan.BASE_PHRASES]
-    a = license_scan.Automaton([license_scan.words(x) for _, x in license_scan.TEMPLATES], [license_scan.words(x) for x, _ in license_scan.BASE_PHRASES])
-    got = license_scan.scan(license_scan.words("Licensed under the Apache License, Version 2.0."), a, labels, base)
-    assert got[5:] == ("apache-2.0", 0.875, ["apache-2.0:1:8"])
 
 
-def test_license_of_a_template_that_a_longer_one_begins_with():
-    a = license_scan.Automaton([license_scan.words("a b c d e f g h i j k l"), license_scan.words("b c d e")], [])
-    got = license_scan.scan(license_scan.words("a b c d e f"), a, ["long", "short"], [])
-    assert got[5:] == ("short", 1.0, ["short:1:5"])
+def brute_runs(text, s):
+    """Matches of MIN_RUN words that can't be made longer on either side, by comparing all places."""
+    out = set()
+    for i in range(len(text)):
+        for j in range(len(s)):
+            n = 0
+            while i + n < len(text) and j + n < len(s) and text[i + n] == s[j + n]:
+                n += 1
+            if n >= license_scan.MIN_RUN and (i == 0 or j == 0 or text[i - 1] != s[j - 1]):
+                out.add((i, j, n))
+    return sorted(out)
 
 
-def test_suffixes_of_matches():
-    """Each template's longest suffix of a match against all substrings of the template."""
-    import random
-
+def test_matches_of_every_template():
     r = random.Random(4)
     for _ in range(60):
-        strings = [[bytes([r.choice(b"abc")]) for _ in range(r.randint(1, 12))] for _ in range(3)]
-        text = [bytes([r.choice(b"abcd")]) for _ in range(40)]
+        strings = [random_words(r, b"abc", 1, 12) for _ in range(3)]
+        text = random_words(r, b"abc", 40, 40)
         a = license_scan.Automaton(strings, [])
+        found = [[] for _ in strings]
         for i, v, n in a.statistics(text):
-            want = {}
-            for t, s in enumerate(strings):
-                ends = [(m, e) for m in range(license_scan.MIN_RUN, n + 1) for e in range(m, len(s) + 1) if s[e - m : e] == text[i + 1 - m : i + 1]]
-                if ends:
-                    m = max(ends)[0]
-                    want[t] = (min(e for k, e in ends if k == m), m)
-            assert a.suffixes(v, n) == want
+            for t, e, m in a.ending(v, n, text[i + 1] if i + 1 < len(text) else None):
+                found[t].append((i + 1 - m, e - m, m))
+        assert [sorted(x) for x in found] == [brute_runs(text, s) for s in strings]
+
+
+def brute_chain(runs, k):
+    """The cover of the best chain that ends with run k, by trying all chains."""
+    s, p, n = runs[k]
+    best = n
+    for j in range(k):
+        a, b, m = runs[j]
+        if a < s and b < p and a + m < s + n and b + m < p + n and s - (a + m) <= license_scan.MAX_GAP and (new := n - max(0, a + m - s, b + m - p)) > 0:
+            best = max(best, brute_chain(runs, j) + new)
+    return best
+
+
+def test_chains_of_greatest_cover():
+    r, chained = random.Random(5), 0
+    for _ in range(150):
+        s = random_words(r, b"abcd", 6, 16)
+        text = [w for _ in range(3) for w in [*s[: r.randint(2, len(s))], *random_words(r, b"abx", 0, 8), *s[r.randint(0, len(s)) :]]]
+        runs = brute_runs(text, s)[:14]
+        got = license_scan.chains(runs, [0] * (len(s) + 1))
+        assert [x[2] for x in got] == [brute_chain(runs, k) for k in range(len(runs))]
+        chained += any(x[2] > n for x, (_, _, n) in zip(got, runs))
+        spans = [(a, b, n) for a, b, n, _ in got][:10]
+        best = 0
+        for pick in range(1 << len(spans)):
+            mine = sorted(x for k, x in enumerate(spans) if pick >> k & 1)
+            if all(x[1] <= y[0] for x, y in zip(mine, mine[1:])):
+                best = max(best, sum(x[2] for x in mine))
+        chosen = license_scan.apart(spans)
+        assert sum(x[2] for x in chosen) == best and all(x[1] <= y[0] for x, y in zip(chosen, chosen[1:]))
+    assert chained > 50
+
+
+def brute_outermost(spans):
+    kept = []
+    for x in sorted(set(spans), key=lambda x: (x[0], -x[1], -x[2], x[3], -x[4])):
+        if not any(y[0] <= x[0] and x[1] <= y[1] and (y[2] > x[2] or y[3] == x[3]) for y in kept):
+            kept.append(x)
+    return kept
+
+
+def test_outermost():
+    r = random.Random(6)
+    for _ in range(200):
+        spans = [(s := r.randint(0, 12), s + r.randint(1, 8), r.randint(1, 8), r.choice("ab"), 1.0) for _ in range(9)]
+        assert license_scan.outermost(spans) == brute_outermost(spans)
+
+
+@pytest.fixture(scope="module")
+def licences():
+    known = license_scan.templates_of(license_scan.TEMPLATES)
+    a = license_scan.Automaton([license_scan.words(x) for _, x in license_scan.TEMPLATES], [license_scan.words(x) for x, _ in license_scan.BASE_PHRASES])
+    return lambda text: license_scan.scan(license_scan.words(text), a, known, [x for _, x in license_scan.BASE_PHRASES])[5:]
+
+
+def test_notices_name_their_licence_only(licences):
+    assert licences("Licensed under the Apache License, Version 2.0.") == ("apache-2.0", 1.0, ["apache-2.0:0:8"])
+    assert licences("Licensed under the Mozilla Public License Version 2.0")[0] == "mpl-2.0"
+    assert licences("Licensed under the Foo Public License Version 2.0") == ("", 0.0, [])
+    assert licences("Released under the terms of the lease") == ("", 0.0, [])
+    assert licences("released under the MIT license " * 3)[2] == ["mit:0:5", "mit:5:10", "mit:10:15"]
+    assert licences("This work is licensed under the GNU General Public License version 3")[0] == "gpl,gpl-3.0"
+    assert licences("SPDX-License-Identifier: BSD-3-Clause") == ("bsd-3-clause", 1.0, ["bsd-3-clause:0:6"])
+    assert licences("// Licensed under CC BY-SA 4.0")[0] == "cc-by,cc-by-sa"
+
+
+def test_passages_with_changes(licences):
+    """Passages of licence texts are found with words changed, and are not taken for their neighbours."""
+    r = random.Random(7)
+    for label, text in license_texts.PASSAGES:
+        if len(text.split()) > 20:
+            w = text.split()
+            w[r.randrange(8, len(w) - 8)] = "CHANGED"
+            labels = set(licences("Some words first. " + " ".join(w) + " And some more.")[0].split(","))
+            assert label in labels and labels <= {label, "gpl"}, (label, labels)
+    assert licences("permission is hereby granted free of charge to any person who asks") == ("", 0.0, [])
