@@ -1,8 +1,9 @@
 """Secret scan with multipart credential linking.
 
-Strong parts (the base kinds) are reported on sight. Weak parts - identifiers, secrets and endpoints that mean little
-alone - are interval-joined inside their scope and reported only when complementary parts co-occur there: a weak
-identifier next to a secret, a weak secret next to an identifier or endpoint, an endpoint next to a secret.
+Strong parts (the base kinds) are reported on sight. Weak parts - identifiers (accounts, mail addresses), secrets and
+endpoints (addresses of hosts) that mean little alone - are interval-joined inside their scope and reported only when
+complementary parts co-occur there: an identifier next to a secret, a weak secret next to an identifier or endpoint, an
+endpoint next to a secret. A strong part is a complement too, but for hex that is digits only, which may be any number.
 
 A scope is a block of consecutive non-blank lines. Each part's interval is widened by `reach` characters; the nearest
 complementary part whose interval it meets inside the scope is its link. Both sides are sorted by start, so the join
@@ -31,6 +32,9 @@ WEAK = ("weak_id", "weak_secret", "endpoint")
 WEAK_ID = re.compile(r"""(?<![A-Za-z0-9])(?:access_?key(?:_?id)?|client_?id|account(?:_?id)?|user(?:name)?|login)["']?\x20*[:=]\x20*["']?([A-Za-z0-9_.@-]{3,})""", re.I | re.A)
 WEAK_ASSIGN = re.compile(r"""(?<![A-Za-z0-9])(?:pass(?:word|wd|phrase)|pwd|secret|token|credential|signature|private_?key|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=!@#$%^&*-]{6,})""", re.I | re.A)
 WEAK_BARE = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{20,}+={0,2}")
+MAIL = re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
+ADDRESS = re.compile(r"(?<![A-Za-z0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?::[0-9]{2,5})?+(?![0-9A-Za-z]|\.[0-9])")
+HOST_PORT = re.compile(r"(?<![A-Za-z0-9.@-])[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++:[0-9]{2,5}(?![0-9])")
 ENDPOINT = re.compile(r"""(?<![A-Za-z0-9+.-])[A-Za-z][A-Za-z0-9+.-]{1,20}+://[^\s"'<>]+|(?<![A-Za-z0-9_])(?:host|endpoint|server|url)["']?\x20*[:=]\x20*["']?([A-Za-z0-9.:/_-]{4,})""", re.I | re.A)
 BLANK_LINES = re.compile(r"\n[^\S\n]*\n")
 ID_WORDS, SECRET_WORDS = ("key", "client", "account", "user", "login"), ("pass", "pwd", "secret", "token", "credential", "signature", "key")
@@ -76,6 +80,11 @@ def weak_parts(text: str, base: list[tuple[int, int, str]]) -> list[tuple[int, i
             found += [(m.start(), m.end(), "weak_id") for m in WEAK_ID.finditer(text)]
         if "://" in text or any(w in low for w in ("host", "endpoint", "server", "url")):
             found += [(m.start(), m.end(), "endpoint") for m in ENDPOINT.finditer(text)]
+        if ":" in text:
+            found += [(m.start(), m.end(), "endpoint") for m in HOST_PORT.finditer(text)]
+    if "@" in text:
+        found += [(m.start(), m.end(), "weak_id") for m in MAIL.finditer(text)]
+    found += [(m.start(), m.end(), "endpoint") for m in ADDRESS.finditer(text)]
     if not found:
         return found
     out, j, top = [], 0, 0
@@ -94,20 +103,24 @@ _NEEDS = {"weak_id": ("secret",), "weak_secret": ("id", "endpoint"), "endpoint":
 
 
 def link(text: str, base: list[tuple[int, int, str]], weak: list[tuple[int, int, str]], reach: int = REACH) -> list[tuple[tuple, tuple]]:
-    """(weak part, its nearest complementary part) for every weak part that has one in its scope and reach."""
+    """(weak part, its nearest complementary part) for every weak part that has one in its scope and reach.
+
+    Of equally near parts the first counts.
+    """
     if not weak:
         return []
     cuts = [m.start() for m in BLANK_LINES.finditer(text)]
     sides: dict[str, list[tuple[int, int, str]]] = {"id": [], "secret": [], "endpoint": []}
     for p in sorted([*base, *weak]):
-        sides[_CLASS[p[2]]].append(p)
+        if p[2] != "hex" or not text[p[0] : p[1]].isdigit():
+            sides[_CLASS[p[2]]].append(p)
     starts = {k: [p[0] for p in v] for k, v in sides.items()}
     # The running maximum of ends finds the nearest part that starts before.
     upto: dict[str, list[int]] = {}
     for k, v in sides.items():
         best, at = [], -1
         for i, p in enumerate(v):
-            at = i if at < 0 or p[1] >= v[at][1] else at
+            at = i if at < 0 or p[1] > v[at][1] else at
             best.append(at)
         upto[k] = best
     links = []
@@ -136,14 +149,14 @@ def scan(text: str | None) -> tuple:
     order = (*BASE, *WEAK)
     both = sorted([*base, *added], key=lambda x: (x[0], order.index(x[2]), x[1]))
     n = Counter(k for _, _, k in base)
-    return n["assign"], n["access"], n["hex"], hashlib.sha256(digest(base).encode()).hexdigest(), digest(both), [f"{digest([p])}~{digest([q])}" for p, q in links]
+    return n["assign"], n["access"], n["hex"], hashlib.sha256(digest(base).encode()).hexdigest(), digest(both), [f"{digest([p])}~{digest([q])}" for p, q in links], len(links)
 
 
 def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: counts of base kinds, the digest of base spans, all spans, and the links.
+    """One row per input row: counts of base kinds, the digest of base spans, all spans, the links and their number.
 
     Null and empty texts give zero counts, the hash of the empty string and no spans. Repeated rows give repeated
     results. Columns other than the two named ones are ignored. No shuffle: memory is a slice of rows.
     """
-    out = [("n_assign", "bigint"), ("n_access", "bigint"), ("n_hex", "bigint"), ("base_sha256", "string"), ("spans", "string"), ("links", "array<string>")]
-    return map_columns(docs, [id_col], [text_col], out, lambda: lambda texts: list(zip(*map(scan, texts), strict=True)) or [[]] * 6)
+    out = [("n_assign", "bigint"), ("n_access", "bigint"), ("n_hex", "bigint"), ("base_sha256", "string"), ("spans", "string"), ("links", "array<string>"), ("n_links", "bigint")]
+    return map_columns(docs, [id_col], [text_col], out, lambda: lambda texts: list(zip(*map(scan, texts), strict=True)) or [[]] * 7)

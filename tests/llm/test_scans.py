@@ -75,6 +75,75 @@ def test_secret_links_need_complements(spark):
     assert secrets_scan.scan_secrets(documents(spark, [])).count() == 0
 
 
+def credentials(r):
+    """A text of multipart credentials: parts of all classes in shuffled order, with filler, blank lines and lone parts."""
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+    token = lambda n: "".join(r.choice(letters) for _ in range(n))
+    parts = [
+        lambda: f"user: {token(6)}",
+        lambda: f"client_id={token(9)}",
+        lambda: f"{token(5)}@{token(4)}.org",
+        lambda: f"pwd = {token(8)}",
+        lambda: f"signature: {token(10)}",
+        lambda: token(28) + "7x",
+        lambda: f"https://{token(5)}.example.org/{token(4)}",
+        lambda: f"{r.randint(1, 255)}.{r.randint(0, 255)}.{r.randint(0, 255)}.7:5432",
+        lambda: f"db.{token(4)}.net:8080",
+        lambda: f"password = '{token(14)}'",
+        lambda: "AKIA" + token(16).upper(),
+        lambda: "".join(r.choice("0123456789abcdef") for _ in range(20)),
+        lambda: "".join(r.choice("0123456789") for _ in range(17)),
+    ]
+    filler = lambda: r.choice([" ", "\n", "\n\n", "\n \t\n", " and then ", " " + "word " * r.randint(1, 120)])
+    return "".join(r.choice(parts)() + filler() for _ in range(r.randint(1, 14)))
+
+
+def brute_links(text, base, weak):
+    """Every weak part against every other part: of complements in its scope and reach, the nearest of each class."""
+    blanks = [m.start() for m in secrets_scan.BLANK_LINES.finditer(text)]
+    scope = lambda p: sum(b < p[0] for b in blanks)
+    gap = lambda p, q: max(q[0] - p[1], p[0] - q[1], 0)
+    kind = {"assign": "secret", "hex": "secret", "access": "id", "weak_id": "id", "weak_secret": "secret", "endpoint": "endpoint"}
+    needs = {"id": ["secret"], "secret": ["id", "endpoint"], "endpoint": ["secret"]}
+    out = []
+    for p in weak:
+        for need in needs[kind[p[2]]]:
+            near = [q for q in [*base, *weak] if kind[q[2]] == need and scope(q) == scope(p) and gap(p, q) <= secrets_scan.REACH and not (q[2] == "hex" and re.fullmatch("[0-9]+", text[q[0] : q[1]]))]
+            if near:
+                out.append((p, min(near, key=lambda q: (gap(p, q), q))))
+    return out
+
+
+def test_links_against_all_pairs(spark):
+    r = random.Random(12)
+    made = [credentials(r) for _ in range(600)]
+    linked = alone = 0
+    for t in made:
+        base = secrets_scan.base_spans(t)
+        weak = secrets_scan.weak_parts(t, base)
+        want = brute_links(t, base, weak)
+        assert sorted(secrets_scan.link(t, base, weak)) == sorted(want)
+        linked, alone = linked + len({p for p, _ in want}), alone + len(weak) - len({p for p, _ in want})
+    assert linked > 500 and alone > 500
+    df = spark.createDataFrame(list(enumerate(made)), "doc_id bigint, text string")
+    for row in secrets_scan.scan_secrets(df).collect():
+        t = made[row["doc_id"]]
+        base = secrets_scan.base_spans(t)
+        links = brute_links(t, base, secrets_scan.weak_parts(t, base))
+        added = {f"{k}:{s}:{e}" for (s, e, k), _ in links}
+        assert set(filter(None, row["spans"].split(","))) == added | {f"{k}:{s}:{e}" for s, e, k in base}
+        assert row["n_links"] == len(links) == len(row["links"])
+
+
+def test_long_secret_texts_are_linear():
+    import time
+
+    for t in ("a.b@" * 20000, "1.2.3." * 20000, "user:x " * 20000, "a-" * 40000 + ":", "pwd=" * 20000, "user=bob pwd=hunter22x " * 8000, "x" * 100000 + "://"):
+        began = time.perf_counter()
+        secrets_scan.scan(t)
+        assert time.perf_counter() - began < 5, t[:20]
+
+
 def test_pii_base_and_spans(spark, texts):
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id bigint, text string")
     rows = {r["doc_id"]: r for r in pii.find_pii(df).collect()}
