@@ -1,10 +1,12 @@
 """Secret scan, personal data and licence scan against plain regular expressions."""
 
 import hashlib
+import math
 import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from peakloom.llm import license_scan, license_texts, pii, secrets_scan
 from tests.llm.data import TEXTS, documents
@@ -161,6 +163,67 @@ def test_pii_spans_do_not_overlap(spark):
     for r in rows:
         added = sorted((x["s"], x["e"]) for x in r["added"])
         assert all(a[1] <= b[0] for a, b in zip(added, added[1:]))
+        assert r["n_added"] == len(added)
+
+
+def test_pii_model_on_sentences_it_has_not_seen(spark):
+    """What the trees add on passages of a third set of sentences; every generator but one or two earns a threshold."""
+    precision, recall = pii.quality(spark)
+    assert precision >= 0.9 and recall >= 0.75, (precision, recall)
+    (_, trees), (slope, _), thresholds = pii.fit(spark)
+    assert len(trees) == pii.TREES and slope > 0 and sum(t <= 1 for t in thresholds.values()) >= 5
+
+
+def test_pii_scores_are_those_of_the_trees(spark):
+    """The compiled trees against walking them, on candidates of the third set."""
+    fitted = pii.fit(spark)
+    (bias, trees), (slope, shift), _ = fitted
+    made = pii.passages(2, 150, 11)
+    df = spark.createDataFrame([(i, t) for i, t, _ in made], "i int, t string").withColumn("c", F.expr(pii.candidates("t")))
+    df = df.select("c", F.expr(pii._scored("c", fitted)).alias("scored"))
+    rows = df.withColumn("f", F.expr(f"transform(c, x -> array({', '.join(f'double({v})' for v in pii.FEATURES.values())}))")).collect()
+    n = 0
+    for r in rows:
+        for f, x in zip(r["f"], r["scored"]):
+            margin = bias + sum(pii.value(t, f) for t in trees)
+            assert abs(x["score"] - 1 / (1 + math.exp(-(slope * margin + shift)))) < 1e-9
+            n += 1
+    assert n > 100
+
+
+def test_pii_clear_and_best_against_all_pairs(spark):
+    r = random.Random(9)
+    rows = []
+    for i in range(150):
+        make = lambda n, width: [(s := r.randint(0, 400), s + r.randint(1, width)) for _ in range(n)]
+        rows.append((i, [(s, e, "k", "", "", "") for s, e in make(r.randint(0, 150), 9)], [(s, e, "b", "", "", "") for s, e in make(r.randint(0, 12), 30)], [(s, e, r.choice("xy"), r.randint(0, 8) / 8) for s, e in make(r.randint(0, 150), 9)]))
+    span = "array<struct<s:int,e:int,kind:string,m:string,before:string,after:string>>"
+    df = spark.createDataFrame(rows, f"i int, found {span}, base {span}, scored array<struct<s:int,e:int,kind:string,score:double>>")
+    got = df.select("i", F.expr(pii._clear("found", "base")).alias("clear"), F.expr(pii._best("scored")).alias("best"), F.expr(pii._running("transform(found, x -> x.e)", 0, "acc + x")).alias("sums")).collect()
+    for g in got:
+        _, found, base, scored = rows[g["i"]]
+        assert sorted((x["s"], x["e"]) for x in g["clear"]) == sorted((s, e) for s, e, *_ in found if not any(s < f and b < e for b, f, *_ in base))
+        assert g["sums"] == [sum(x[1] for x in found[:k]) for k in range(len(found))]
+        clusters: list = []
+        for x in sorted(scored):
+            if clusters and x[0] < max(y[1] for y in clusters[-1]):
+                clusters[-1].append(x)
+            else:
+                clusters.append([x])
+        want = [min(c, key=lambda x: (-x[3], x[0], -x[1], x[2])) for c in clusters]
+        assert sorted((x["s"], x["e"], x["kind"], x["score"]) for x in g["best"]) == sorted(want)
+
+
+def test_pii_time_is_linear_in_spans(spark):
+    import time
+
+    took = []
+    for n in (5000, 5000, 20000):
+        df = spark.createDataFrame([(1, "mail a@b.org ssn 123-45-6789; " * n)], "doc_id int, text string")
+        began = time.perf_counter()
+        assert [tuple(x) for x in pii.find_pii(df).select("n_email", "n_added").collect()] == [(n, n)]
+        took.append(time.perf_counter() - began)
+    assert took[2] < 8 * took[1] + 2
 
 
 def brute_base(t):
