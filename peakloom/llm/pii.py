@@ -158,7 +158,7 @@ def _best(found: str) -> str:
     new = _let(_running("transform(a_, y -> y.e)", 0, "greatest(acc, x)"), "r_", "transform(a_, (y, i) -> if(r_[i] <= y.s, 1, 0))")
     number = _let(_running("n_", 0, "acc + x"), "c_", "array_sort(transform(a_, (y, i) -> struct(c_[i] + n_[i] as c, -y.score as score, y.s as s, -y.e as e, y.kind as kind)))")
     first = "filter(z_, (y, i) -> i = 0 or z_[greatest(i - 1, 0)].c <> y.c)"
-    best = _let(_let(_let(found, "a_", _let(new, "n_", number)), "z_", first), "w_", "array_sort(transform(w_, y -> struct(y.kind as kind, y.s as s, -y.e as e, round(-y.score, 6) as score)))")
+    best = _let(_let(_let(f"array_sort({found})", "a_", _let(new, "n_", number)), "z_", first), "w_", "array_sort(transform(w_, y -> struct(y.kind as kind, y.s as s, -y.e as e, round(-y.score, 6) as score)))")
     return f"if(size({found}) > 0, {best}, cast(array() as array<struct<kind:string,s:int,e:int,score:double>>))"
 
 
