@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -116,11 +117,15 @@ def shingles(hashes: np.ndarray, k: int = SHINGLE_WORDS) -> np.ndarray:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that the cluster names in spark.checkpoint.dir; one of our own only where none is set (tests)."""
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    """The folder that the cluster names in spark.checkpoint.dir, or the one the session was given for checkpoints.
+
+    One of our own only where neither is set and driver and executors are one process (tests); a cluster must name one.
+    """
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.sparkContext.getCheckpointDir()
     if not named:
-        if spark.sparkContext.getCheckpointDir() is None:
-            spark.sparkContext.setCheckpointDir(f"{tempfile.gettempdir()}/peakloom-checkpoints")
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        spark.sparkContext.setCheckpointDir(f"{tempfile.gettempdir()}/peakloom-checkpoints")
         named = spark.sparkContext.getCheckpointDir()
     return named.rstrip("/")
 
@@ -128,13 +133,21 @@ def shared_folder(spark: SparkSession) -> str:
 def written(df: DataFrame) -> DataFrame:
     """df as a Parquet table in the shared folder, read again: cuts lineage, and lost executors cost no earlier step.
 
-    The table is removed when the driver's Python ends; a DataFrame built on it is lazy and may be run later.
+    The table is removed by `discard`, or when the driver's Python ends; a DataFrame built on it is lazy and may run later.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/peakloom-{uuid.uuid4().hex}"
     df.write.parquet(path)
     atexit.register(_remove, spark, path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_at = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Removes written tables that nothing will read any more."""
+    for df in tables:
+        _remove(df.sparkSession, df.written_at)
 
 
 def _remove(spark: SparkSession, path: str) -> None:

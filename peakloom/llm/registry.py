@@ -31,13 +31,18 @@ def op3_chat_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_dedup.near_duplicates(_table(spark, sf_dir, "documents")).select("doc_id", "class_id", "class_size", "n_links", "kept")
+    return near_dedup.near_duplicates(_table(spark, sf_dir, "documents")).select("doc_id", "class_id", "class_size", "class_key", "kept")
 
 
 def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprints(_table(spark, sf_dir, "documents"))
 
 
+def fingerprint_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The other half of op5: classes of documents by joined signature bands and verified Jaccard likeness."""
+    return fingerprints.link_fingerprints(_table(spark, sf_dir, "documents")).select("doc_id", "class_id", "class_size")
+
+
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_pii(_table(spark, sf_dir, "documents")).drop("added")
 
@@ -62,7 +67,7 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (op1_secret_scan, op2_line_dedup, op3_chat_repair, op4_near_dedup, op5_fingerprints, op6_pii, op7_decontamination, op8_quality, op9_bpe, op10_license_scan)
+    own = (op1_secret_scan, op2_line_dedup, op3_chat_repair, op4_near_dedup, op5_fingerprints, op6_pii, op7_decontamination, op8_quality, op9_bpe, op10_license_scan, fingerprint_links)
     return {f.__name__: f for f in own}
 
 

@@ -80,20 +80,59 @@ def near_texts():
     return out
 
 
-def test_near_duplicates(spark):
-    docs = documents(spark, near_texts() + TEXTS)
-    rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
-    want = brute_classes(rows)
-    classes: dict = {}
-    for (i, _), c in zip(rows, want):
-        classes.setdefault(c, []).append(i)
+def check_classes(docs, one=True):
+    """near_duplicates and keep_one against all pairs; rows are told apart by the column `row`."""
+    rows = [(r["row"], r["doc_id"], r["text"]) for r in docs.collect()]
+    want = brute_classes([(i, t) for _, i, t in rows])
+    members: dict = {}
+    for (_, i, t), c in zip(rows, want):
+        members.setdefault(c, []).append((i is None, i or 0, hashlib.md5((t or "").encode()).digest()))
     got = near_dedup.near_duplicates(docs).collect()
-    low = {c: min((i for i in ids if i is not None), default=None) for c, ids in classes.items()}
-    assert plain((r["doc_id"], r["class_id"], r["class_size"], r["kept"]) for r in got) == plain((i, low[c], len(classes[c]), i == low[c]) for (i, _), c in zip(rows, want))
+    low = {c: min(m) for c, m in members.items()}
+    found: dict = {}
+    for r in got:
+        found.setdefault(r["class_key"], []).append((r["doc_id"] is None, r["doc_id"] or 0, bytes(r["key"])))
+        assert r["kept"] == (found[r["class_key"]][-1] in low.values())
+    assert sorted(map(sorted, found.values())) == sorted(map(sorted, members.values()))
+    least = {k: min((i for none, i, _ in m if not none), default=None) for k, m in found.items()}
+    assert all((r["class_id"], r["class_size"]) == (least[r["class_key"]], len(found[r["class_key"]])) for r in got)
+    if not one:
+        return None
     kept = near_dedup.keep_one(docs)
     assert kept.columns == docs.columns
-    assert sorted((r["doc_id"] for r in kept.collect()), key=repr) == sorted(low.values(), key=repr)
-    assert near_dedup.near_duplicates(docs.where("false")).count() == 0
+    kept = kept.collect()
+    assert sorted((r["doc_id"] is None, r["doc_id"] or 0, hashlib.md5((r["text"] or "").encode()).digest()) for r in kept) == sorted(low.values())
+    return kept
+
+
+def test_near_duplicates(spark):
+    docs = documents(spark, near_texts() + TEXTS).withColumn("row", F.lit(1))
+    check_classes(docs)
+    assert near_dedup.keep_one(docs.where("false")).count() == 0
+
+
+def test_unlike_rows_without_ids_or_with_one_id_all_stay(spark):
+    texts = [f"this is document number {k} and it says {'x' * k} at some length to be unlike" for k in range(12)]
+    rows = [(k, None if k < 5 else 7, t) for k, t in enumerate(texts)] + [(20, None, texts[0]), (21, 7, texts[6]), (22, 3, texts[6]), (23, 3, texts[6])]
+    docs = spark.createDataFrame(rows, "row int, doc_id bigint, text string")
+    assert len(check_classes(docs)) == 12
+
+
+def test_blocks_and_hot_leaders(spark, monkeypatch):
+    """Families that meet in few bands, cut into many small blocks and dealt to many parts, are classed alike."""
+    monkeypatch.setattr(neardup, "BLOCK_ROWS", 3)
+    monkeypatch.setattr(neardup, "HOT_SHARE", 4)
+    r = random.Random(15)
+    word = lambda: "".join(r.choices("abcdefgh", k=4))
+    texts = []
+    for _ in range(6):
+        base = [word() for _ in range(60)]
+        for _ in range(14):  # a chain: neighbours are alike, far ones are not
+            base = list(base)
+            for _ in range(2):
+                base[r.randrange(len(base))] = word()
+            texts.append(" ".join(base))
+    check_classes(spark.createDataFrame([(i, i, t) for i, t in enumerate(texts)], "row int, doc_id bigint, text string"), one=False)
 
 
 def test_fingerprints(spark):
@@ -111,6 +150,9 @@ def test_fingerprints(spark):
             a, b = set(bag(t)), set(bag(other))
             true = len(a & b) / len(a | b) if a | b else 1.0
             assert abs(got[i][name] - true) < 0.2
+            which = name.removeprefix("near_")
+            assert got[i][f"jaccard_{which}"] == (true if got[i][f"bands_{which}"] or not a or not b else 0.0)
+            assert 0 <= got[i][f"bands_{which}"] <= fingerprints.BANDS and (got[i][f"bands_{which}"] or true < 0.8 or not a)
     assert len({r["fingerprint"] for r in got.values() if texts[r["doc_id"]] in (None, "", " \n\t ", "!!! ??? ...")}) == 1
     assert fingerprints.fingerprints(docs.where("false")).count() == 0
     assert fingerprints.fingerprints(docs.where("doc_id = 3")).collect()[0]["near_next"] == 1.0
@@ -125,6 +167,20 @@ def test_fingerprint_ranges(spark, monkeypatch):
     assert plain(fingerprints.fingerprints(docs).collect()) == one
 
 
+def test_fingerprints_of_any_ids(spark, monkeypatch):
+    """Text ids, fractions, nulls, repeated ids and rows, in one range and in many, against rows in descending order."""
+    monkeypatch.setattr(fingerprints, "RANGE_BYTES", 60)
+    texts = [f"row {i} says " + "w " * (i % 5) for i in range(40)]
+    kinds = {"string": [f"id{i % 13:02d}" for i in range(36)] + [None] * 4, "double": [i / 7 for i in range(38)] + [None] * 2, "bigint": [(1 << 60) + i // 3 for i in range(39)] + [None], "int": [None] * 40}
+    for kind, ids in kinds.items():
+        rows = list(zip(ids, texts)) + [(ids[0], texts[0]), (ids[-1], texts[-1])]
+        docs = spark.createDataFrame(rows, f"doc_id {kind}, text string")
+        tie = {r["text"]: r["h"] for r in docs.withColumn("h", F.xxhash64("text")).collect()}
+        order = sorted(rows, key=lambda x: (x[0] is not None, x[0] if x[0] is not None else 0, tie[x[1]]), reverse=True)
+        want = sorted((repr(i), hashlib.sha256(fingerprints.edited(t, n).encode()).hexdigest()) for (i, t), (_, n) in zip(order, order[1:] + order[:1]))
+        assert sorted((repr(r["doc_id"]), r["edited_sha256"]) for r in fingerprints.fingerprints(docs).collect()) == want
+
+
 def test_linked_fingerprints(spark):
     texts = near_texts()
     docs = documents(spark, texts, clash=False).where("doc_id is not null").dropDuplicates(["doc_id"])
