@@ -6,7 +6,8 @@ least as long as the shortest window lose nothing. Over these runs a suffix arra
 wavelet matrix of ranks and sampled suffix positions are built. All windows are searched backwards at once, occurrences
 are located by walking to the next sampled position, and their word spans are merged into removal spans.
 
-The benchmark travels to executors in blocks of bounded size; more blocks are more maps in the same pass, no shuffle.
+The benchmark travels to executors in blocks of bounded size, one after the other; each is one map over the documents,
+without a shuffle.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import SLICE_ROWS, packed, text_of, unpacked, words
+from .common import SLICE_ROWS, discard, packed, text_of, unpacked, words, written
 
 WINDOW = 13  # words
 BLOCK_BYTES = 16 << 20  # of benchmark text broadcast at once
@@ -224,13 +225,14 @@ def excise(text: str | None, spans: list[int] | None) -> str | None:
     return "".join([*out, text[from_:]])
 
 
-def _blocks(benchmark: DataFrame, item_col: str, text_col: str) -> list[list[tuple[str, str]]]:
-    """The benchmark in blocks of about BLOCK_BYTES, each a list of (item, text)."""
+def _blocks(benchmark: DataFrame, item_col: str, text_col: str) -> Iterator[tuple[list[tuple[str, str]], bool]]:
+    """The benchmark in blocks of about BLOCK_BYTES, one at a time: a list of (item, text), and whether it is the last."""
     rows = benchmark.select(F.coalesce(F.col(item_col).cast("string"), F.lit("")).alias("item"), text_of(text_col).alias("words"))
     size = rows.agg(F.coalesce(F.sum(F.octet_length("words")), F.lit(0)).alias("n")).first()["n"]
     n = max(1, math.ceil(size / BLOCK_BYTES))
     rows = rows.withColumn("block", F.pmod(F.xxhash64("item"), F.lit(n)))
-    return [[(r["item"], r["words"]) for r in rows.where(F.col("block") == b).select("item", "words").toLocalIterator()] for b in range(n)]
+    for b in range(n):
+        yield [(r["item"], r["words"]) for r in rows.where(F.col("block") == b).select("item", "words").toLocalIterator()], b == n - 1
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
@@ -249,11 +251,20 @@ def clean_documents(docs: DataFrame, benchmark: DataFrame, text_col: str = "text
     return unpacked(_all_passes(rows, ["row"], "text", _blocks(benchmark, item_col, item_text_col)).where("not contaminated"))
 
 
-def _all_passes(docs: DataFrame, keep: list[str], text_col: str, blocks: list) -> DataFrame:
+def _all_passes(docs: DataFrame, keep: list[str], text_col: str, blocks: Iterator) -> DataFrame:
+    """One pass a block; between passes the rows are written out, so that one block is in memory and one worker in a task."""
     sc = docs.sparkSession.sparkContext
     out = docs.select(*keep, F.col(text_col).alias("_text"), F.lit(None).cast("array<int>").alias("_spans"), F.lit(None).cast("array<string>").alias("_items"))
-    for k, block in enumerate(blocks):
-        out = _pass(out, keep, sc.broadcast(block), k == len(blocks) - 1)
+    before = None
+    for block, last in blocks:
+        shared = sc.broadcast(block)
+        out = _pass(out, keep, shared, last)
+        if not last:
+            out = written(out)
+            shared.destroy()
+            if before is not None:
+                discard(before)
+            before = out
     return out
 
 

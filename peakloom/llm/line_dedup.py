@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from .common import packed, text_of, written
 
-RATIO = 0.1
+RATIO = 0.05  # on more than one page in twenty
 MIN_PAGES = 3
 BLANKS = " \t\r"
 BROADCAST_BYTES = 64 << 20  # of all hosts' boilerplate; beyond it texts are joined with what was found on them
@@ -32,7 +32,8 @@ def _trimmed(line):
 
 
 def drop_boilerplate(docs: DataFrame, host, text_col: str = "text", ratio: float = RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
-    """The input's rows and columns with `text_col` rid of boilerplate lines, and counts `_n_lines` and `_n_dropped`.
+    """(row, n_lines, n_dropped) of every input row: `row` is a struct of the input's columns with `text_col` rid of
+    boilerplate lines, so that no column of the input can clash with the counts or with ours.
 
     host: a column expression; null counts as the host "". Lines are compared without surrounding blanks; blank lines
     are neither counted nor dropped. A line that repeats on a page counts once there and all its places are dropped.
@@ -64,4 +65,4 @@ def drop_boilerplate(docs: DataFrame, host, text_col: str = "text", ratio: float
     dropped = F.when(F.col("_lines").isNull(), none).otherwise(n - F.size("_lines"))
     cleaned = F.when(F.col("_lines").isNull(), F.col("_text")).otherwise(F.array_join("_lines", "\n"))
     columns = [cleaned.alias(c) if c == text_col else F.col("row").getField(c).alias(c) for c in docs.columns]
-    return joined.select(*columns, n.alias("_n_lines"), dropped.alias("_n_dropped"))
+    return joined.select(F.struct(*columns).alias("row"), n.alias("n_lines"), dropped.alias("n_dropped"))

@@ -2,7 +2,8 @@
 
 A document is a bag of passages of 64 words. Each passage is encoded from its bytes and words; a gated attention layer,
 learned from document labels only, weighs the passages, and the weighted representation is scored. Training runs on the
-driver over at most `train_rows` labelled documents, chosen by the hash of their id; scoring maps over whole texts.
+driver over at most `TRAIN_ROWS` labelled documents, chosen by the hash of their id, and `TRAIN_PASSAGES` passages of
+each; scoring maps over whole texts.
 """
 
 from __future__ import annotations
@@ -11,10 +12,11 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHashes, map_columns, packed, unpacked
+from .common import WordHashes, map_columns, packed, text_of, unpacked
 
 PASSAGE = 64  # words
 TRAIN_ROWS = 4000  # labelled documents that a model is fitted on, at most
+TRAIN_PASSAGES = 256  # passages of a document that a model is fitted on, at most; scores are of all passages
 HIDDEN, ATTENTION = 24, 12
 EPOCHS, BATCH, RATE, DECAY = 40, 128, 0.01, 1e-4
 THRESHOLD = 0.3
@@ -153,8 +155,10 @@ def held_out(id_col: str):
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", train_rows: int = TRAIN_ROWS, seed: int = 7) -> Model:
     """Fits on labelled documents that are not held out, at most `train_rows`, the first by the hash of their id.
 
-    Rows without an id or a label are left out; of several labels for an id the least counts. Without labels of both
-    kinds the model gives their mean (0.5 if there are none).
+    Rows without an id or a label are left out; of several labels for an id the least counts, and of several documents
+    the one of the least text by hash. Of a document of more than TRAIN_PASSAGES passages as many are taken, evenly
+    spaced, so what reaches the driver is bounded. Without labels of both kinds the model gives their mean (0.5 if there
+    are none).
     """
     chosen = (
         labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull() & ~held_out(id_col))
@@ -163,14 +167,16 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         .orderBy(F.xxhash64("_id"), "_id")
         .limit(train_rows)
     )
-    texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).join(F.broadcast(chosen), "_id")
+    texts = docs.select(F.col(id_col).alias("_id"), text_of(text_col).alias("_text")).join(F.broadcast(chosen), "_id")
+    texts = texts.groupBy("_id", "_label").agg(F.min_by("_text", F.xxhash64("_text")).alias("_text"))
 
     def make():
         hashes = WordHashes()
-        return lambda texts: [[encode(t, hashes).ravel().tolist() for t in texts]]
+        spaced = lambda x: x if len(x) <= TRAIN_PASSAGES else x[np.linspace(0, len(x) - 1, TRAIN_PASSAGES).astype(int)]
+        return lambda texts: [[spaced(encode(t, hashes)).ravel().tolist() for t in texts]]
 
     rows = map_columns(texts, ["_id", "_label"], ["_text"], [("bag", "array<float>")], make).toPandas()
-    rows = rows.assign(_n=[len(b) for b in rows["bag"]]).sort_values(["_id", "_n"], kind="stable")
+    rows = rows.sort_values("_id", kind="stable")
     bags = [np.asarray(b, np.float32).reshape(-1, N_FEATURES) for b in rows["bag"]]
     rng = np.random.default_rng(seed)
     return Model(rng).fit(bags, rows["_label"].to_numpy(np.float64), rng)

@@ -23,7 +23,7 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup.drop_boilerplate(_table(spark, sf_dir, "documents"), F.col("source"))
-    return out.select("doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_dropped").alias("n_dropped"), F.sha2("text", 256).alias("text_sha256"))
+    return out.select("row.doc_id", "n_lines", "n_dropped", F.sha2("row.text", 256).alias("text_sha256"))
 
 
 def op3_chat_repair(spark: SparkSession, sf_dir: str) -> DataFrame:

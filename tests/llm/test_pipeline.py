@@ -3,6 +3,7 @@
 import corpus_pipeline
 from peakloom.llm import line_dedup, quality_mil
 from pyspark.sql import functions as F
+from tests.llm.data import documents
 from tests.llm.test_near import brute_classes
 from tests.llm.test_texts import brute_hits
 from peakloom.llm.common import words
@@ -25,7 +26,7 @@ def test_stages(spark, sf, tmp_path):
     assert after.count() == quality_mil.score_quality(before, model).where("predicted = 1").count() < before.count()
     before, after = kept["lines"]
     assert before.count() == after.count()
-    assert line_dedup.drop_boilerplate(before, F.col("source")).where("_n_dropped > 0").count() > 0
+    assert line_dedup.drop_boilerplate(before, F.col("source")).where("n_dropped > 0").count() > 0
     before, after = kept["near_duplicates"]
     rows = sorted((r["doc_id"], r["text"]) for r in before.collect())
     want = {}
@@ -40,5 +41,16 @@ def test_stages(spark, sf, tmp_path):
     assert plain_ids(after) == plain_ids(corpus_pipeline.run(spark, sf))
 
 
+def test_stages_take_awkward_documents(spark, sf):
+    """Nulls, empties, repeats, an empty table, and columns that bear the names of ours."""
+    docs = documents(spark).withColumns({c: F.lit(1) for c in ("_n_lines", "_n_dropped", "n_dropped", "row", "_key", "root", "first", "_text", "_spans")})
+    for name, stage in corpus_pipeline.STAGES:
+        if name != "near_duplicates":  # its rows are tested by test_near
+            assert stage(spark, docs.where("false"), sf).count() == 0
+            out = stage(spark, docs, sf)
+            assert name == "tokens" or out.columns == docs.columns
+            assert out.count() <= docs.count()
+
+
 def plain_ids(df):
     return sorted((r["doc_id"], r["ids_sha256"]) for r in df.collect())

@@ -22,7 +22,8 @@ def test_bpe_equals_the_library(spark, sf):
     ranks = bpe.read_ranks(PATH)
     library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=dict(ranks), special_tokens={})
     odd = ["aaaa" * 200, "abab" * 300, "  \n\n  x \t", "<|endoftext|>", "é" * 500, "".join(random.Random(1).choices("abcdefghij", k=4000))]
-    docs = documents(spark, TEXTS + odd).select("doc_id", "text").union(spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text"))
+    docs = documents(spark, TEXTS + odd).withColumns({c: F.lit("clash") for c in ("n_tokens", "ids_sha256", "ids")})
+    docs = docs.unionByName(spark.read.parquet(f"{sf}/documents.parquet"), allowMissingColumns=True)
     texts = {hashlib.sha256((r["text"] or "").encode()).hexdigest(): r["text"] or "" for r in docs.collect()}
     rows = bpe.encode_decode(docs, ranks, public_tokenizers.PATTERN).collect()
     for r in rows:
@@ -106,6 +107,20 @@ def test_quality(spark):
     assert quality_mil.score_quality(odd.where("false"), model).count() == 0
 
 
+def test_quality_training_is_bounded(spark, monkeypatch):
+    """Repeated ids train once, whichever row comes first, and long documents give so many passages at most."""
+    seen = []
+    monkeypatch.setattr(quality_mil, "TRAIN_PASSAGES", 5)
+    monkeypatch.setattr(quality_mil.Model, "fit", lambda self, bags, labels, rng: seen.append((bags, labels)) or self)
+    docs = documents(spark)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(len(TEXTS))] + [(10, 1), (10, 0), (None, 1), (3, None)], "doc_id bigint, quality int")
+    for d in (docs, docs.unionByName(docs).repartition(3), docs.unionByName(docs.withColumn("text", F.lit("other"))).orderBy(F.desc("text"))):
+        quality_mil.train(d, labels)
+    ids = docs.select("doc_id").where(f"doc_id is not null and doc_id < {len(TEXTS)}").distinct().where(~quality_mil.held_out("doc_id")).count()
+    assert [len(bags) for bags, _ in seen] == [ids] * 3 and max(len(b) for bags, _ in seen for b in bags) == 5
+    assert all((a == b).all() for a, b in zip(seen[0][0], seen[1][0]))
+
+
 def test_quality_gradients():
     r = np.random.default_rng(0)
     m = quality_mil.Model(r)
@@ -127,7 +142,7 @@ def test_line_dedup(spark, monkeypatch, broadcast_bytes):
     monkeypatch.setattr(line_dedup, "BROADCAST_BYTES", broadcast_bytes)
     r = random.Random(9)
     texts = ["\n".join([r.choice(["menu", " menu\t", "home | about"])] * r.randint(0, 2) + [f"body {i}", "", r.choice(["x", "y"])]) for i in range(60)] + TEXTS
-    docs = documents(spark, texts).withColumn("_bad", F.lit(1))
+    docs = documents(spark, texts).withColumns({c: F.lit(1) for c in ("_bad", "_lines", "_n_lines", "n_lines", "n_dropped", "row", "_host", "_key", "_text")})
     host = F.when(F.col("doc_id") % 3 == 0, F.lit(None)).otherwise(F.concat(F.lit("h"), (F.col("doc_id") % 3).cast("string")))
     rows = docs.withColumn("h", host).collect()
     per: dict = {}
@@ -140,8 +155,8 @@ def test_line_dedup(spark, monkeypatch, broadcast_bytes):
         kept = [y for y in ls if y.strip(" \t\r") not in bad[x["h"] or ""]]
         want.append((x["doc_id"], "\n".join(kept) if x["text"] is not None else None, len(ls), len(ls) - len(kept)))
     got = line_dedup.drop_boilerplate(docs, host)
-    assert got.columns == [*docs.columns, "_n_lines", "_n_dropped"]
-    assert plain(got.select("doc_id", "text", "_n_lines", "_n_dropped").collect()) == plain(want)
+    assert got.columns == ["row", "n_lines", "n_dropped"] and got.select("row.*").columns == docs.columns
+    assert plain(got.select("row.doc_id", "row.text", "n_lines", "n_dropped").collect()) == plain(want)
     assert any(w[3] for w in want)
     assert line_dedup.drop_boilerplate(docs.where("false"), host).count() == 0
 
