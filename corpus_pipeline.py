@@ -2,6 +2,10 @@
 
 Each stage takes the documents its predecessor kept and returns the columns of documents; the last returns token counts
 and hashes. `run` applies them to the documents of a folder, writing every stage's result to the shared folder.
+
+Every stage takes null as the empty text and a null source as a host of its own; an empty table goes through as one. Rows
+without an id are kept as others are, and further columns travel along unread, whatever their names. Repeated rows are
+one class of near duplicates, of which one row stays.
 """
 
 from __future__ import annotations
@@ -24,8 +28,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, rid of the boilerplate lines of their source; n_chars follows the text."""
     out = line_dedup.drop_boilerplate(docs, F.col("source"))
-    n = F.when(F.col("_n_dropped") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
-    return out.withColumn("n_chars", n).select(*docs.columns)
+    n = F.when(F.col("n_dropped") > 0, F.length("row.text")).otherwise(F.col("row.n_chars")).cast(docs.schema["n_chars"].dataType)
+    return out.select(*((n if c == "n_chars" else F.col("row").getField(c)).alias(c) for c in docs.columns))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
