@@ -5,6 +5,8 @@ band are candidates. First each is held against the leader of its bucket, which
 time linear in its size; then, in buckets that still hold several components, pairs across components are verified block
 by block, so that no link between different texts is lost. Pairs never become rows unless they are alike, and then one
 for each pair of components.
+
+Joins with texts or features are merge joins by hint: the plan, and so what is moved, is the same at every size.
 """
 
 from __future__ import annotations
@@ -57,8 +59,8 @@ def _verified(star: DataFrame, texts: DataFrame, make_features: Callable, least:
     hot = _hot(star.groupBy("a").agg(F.count(F.lit(1)).alias("n")), "a")
     dealt = written(_dealt(star, hot, "a"))
     texts = texts.select(F.col("key").alias("b"), "text")
-    leaders = dealt.select("a", "_part").distinct().join(texts.withColumnRenamed("b", "a"), "a").select("a", "_part", F.lit(None).cast("binary").alias("b"), "text")
-    rows = leaders.union(dealt.join(texts, "b").select("a", "_part", "b", "text")).repartition("a", "_part").sortWithinPartitions("a", "_part", F.asc_nulls_first("b"))
+    leaders = dealt.select("a", "_part").distinct().join(texts.withColumnRenamed("b", "a").hint("merge"), "a").select("a", "_part", F.lit(None).cast("binary").alias("b"), "text")
+    rows = leaders.union(dealt.join(texts.hint("merge"), "b").select("a", "_part", "b", "text")).repartition("a", "_part").sortWithinPartitions("a", "_part", F.asc_nulls_first("b"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features, lead, own = make_features(), None, None
@@ -85,7 +87,7 @@ def _verified_in_blocks(members: DataFrame, texts: DataFrame, make_features: Cal
     BLOCK_FEATURES features, whichever gives more blocks, and each pair of blocks is one group, held as a matrix of
     features: memory is bounded by a block, whatever the bucket's size. Features are made once a text.
     """
-    of_texts = texts.join(members.select("key").distinct(), "key", "left_semi")
+    of_texts = texts.join(members.select("key").distinct().hint("merge"), "key", "left_semi")
 
     def make():
         features = make_features()
@@ -98,7 +100,7 @@ def _verified_in_blocks(members: DataFrame, texts: DataFrame, make_features: Cal
     blocks = sizes.select("band", F.greatest(F.ceil(F.col("n") / BLOCK_ROWS), F.ceil(F.col("f") / BLOCK_FEATURES)).cast("int").alias("blocks"))
     dealt = spread_join(members, blocks, "band", sizes.select("band", "n")).withColumn("own", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
     dealt = dealt.select("band", "key", "root", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    dealt = dealt.select("band", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "key", "root").join(features, "key")
+    dealt = dealt.select("band", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "key", "root").join(features.hint("merge"), "key")
 
     def compare(table: pa.Table) -> pa.Table:
         keys, size = table["key"].to_pylist(), pc.list_value_length(table["features"]).to_numpy().astype(np.float32)
@@ -171,7 +173,7 @@ def classes(docs: DataFrame, make_bands: Callable, make_features: Callable, id_c
     lead = shared.join(met, "key").groupBy("band").agg(F.max(F.struct("met", "key")).alias("lead")).select("band", F.col("lead.key").alias("lead"))
     star = written(spread_join(shared.drop("n"), lead, "band", buckets).where("key <> lead").select(F.col("lead").alias("a"), F.col("key").alias("b")).distinct())
     # Copies are folded before anything moves: one text of a key leaves a map task, however many copies there are.
-    texts = written(keyed.groupBy("key").agg(F.first("text").alias("text")).join(met.select("key"), "key", "left_semi"))
+    texts = written(keyed.groupBy("key").agg(F.first("text").alias("text")).join(met.select("key").hint("merge"), "key", "left_semi"))
     discard(met)
     edges = written(_verified(star, texts, make_features, likeness))
     discard(star)
