@@ -63,13 +63,13 @@ def regulon_assembly(spark, sf_dir):
 _LIST = "SELECT o_orderkey AS item, o_totalprice AS weight FROM orders"
 
 
-@query(f"""WITH r AS ({_LIST}), t AS (SELECT o_custkey % 8 AS set, o_orderkey AS item FROM orders WHERE o_orderkey % 9 = 0),
+@query(f"""WITH r AS ({_LIST}), t AS (SELECT o_custkey % 8 AS set, o_orderkey AS item FROM orders),
 x AS (SELECT s.set, r.item, abs(weight) AS w, row_number() OVER (PARTITION BY s.set ORDER BY weight DESC, r.item) AS p, t.item IS NOT NULL AS hit FROM (SELECT DISTINCT set FROM t) s CROSS JOIN r LEFT JOIN t ON t.set = s.set AND t.item = r.item),
 c AS (SELECT set, p, hit, sum(CASE WHEN hit THEN w ELSE 0 END) OVER (PARTITION BY set ORDER BY p) / sum(CASE WHEN hit THEN w ELSE 0 END) OVER (PARTITION BY set) - count(*) FILTER (WHERE NOT hit) OVER (PARTITION BY set ORDER BY p) / count(*) FILTER (WHERE NOT hit) OVER (PARTITION BY set) AS v FROM x)
 SELECT set, count(*) FILTER (WHERE hit) AS n_hits, round(CASE WHEN max(v) >= -min(v) THEN max(v) ELSE min(v) END, 6) AS score FROM c GROUP BY set""")
 def running_enrichment(spark, sf_dir):
     o = c.table(spark, sf_dir, "orders")
-    sets = o.where("o_orderkey % 9 = 0").select((F.col("o_custkey") % 8).alias("set"), F.col("o_orderkey").alias("item"))
+    sets = o.select((F.col("o_custkey") % 8).alias("set"), F.col("o_orderkey").alias("item"))
     return regulons.running_enrichment(o.select(F.col("o_orderkey").alias("item"), F.col("o_totalprice").alias("weight")), sets).withColumn("score", F.round("score", 6))
 
 
@@ -119,8 +119,7 @@ def variable_features(spark, sf_dir):
 def topic_model(spark, sf_dir):
     """Topics of the accessible matrix: each topic's five heaviest variables."""
     words, model, _ = topics.fit_topics(topics.accessible(c.entries(spark, sf_dir), 5), 3, iterations=5)
-    names = F.array(*map(F.lit, words.vocabulary))
-    return model.describeTopics(5).select("topic", F.transform("termIndices", lambda i: F.element_at(names, i + 1)).alias("vars"), F.col("termWeights").alias("weights"))
+    return topics.heaviest(model, words, 5)
 
 
 # --- controls and thresholds -------------------------------------------------------------------------------------

@@ -11,10 +11,27 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-@F.pandas_udf(T.DoubleType())
-def norm_sf(z: pd.Series) -> pd.Series:
-    """P(Z > z); Spark has no erf, so an Arrow batch function."""
-    return z.map(lambda x: None if x is None or x != x else 0.5 * math.erfc(x / math.sqrt(2)))
+def norm_sf(z) -> Column:
+    """P(Z > z) from expressions alone: the series of erf near 0, the continued fraction of erfc beyond; null for NaN."""
+    z = F.col(z) if isinstance(z, str) else z
+    x = F.abs(z) / math.sqrt(2)
+    down = lambda n: F.sequence(F.lit(n), F.lit(1))
+    series = F.aggregate(down(60), F.lit(1.0), lambda a, k: 1 + a * 2 * x * x / (2 * k + 1))
+    erf = 2 / math.sqrt(math.pi) * x * F.exp(-x * x) * series
+    fraction = F.aggregate(down(80), x, lambda a, k: x + k / 2 / a)
+    upper = F.when(x < 2, 1 - erf).otherwise(F.exp(-x * x) / (fraction * math.sqrt(math.pi))) / 2
+    return F.when(~F.isnan(z), F.when(z < 0, 1 - upper).otherwise(upper))
+
+
+def student_p(t: Column, df: Column) -> Column:
+    """Two-sided p of Student's t for whole degrees of freedom from 1: the finite sums over powers of the cosine."""
+    theta = F.atan(F.abs(t) / F.sqrt(df))
+    c2, odd = F.cos(theta) * F.cos(theta), df % 2
+    steps = F.floor((df - 2 - odd) / 2).cast("int")  # of the sum after its first term
+    ratio = lambda k: F.when(odd == 1, 2 * k / (2 * k + 1)).otherwise((2 * k - 1) / (2 * k))
+    total = F.when(steps >= 1, F.aggregate(F.sequence(steps, F.lit(1)), F.lit(1.0), lambda a, k: 1 + a * c2 * ratio(k))).otherwise(1.0)
+    one = F.when(df == 1, 2 * theta / math.pi).when(odd == 1, 2 / math.pi * (theta + F.sin(theta) * F.cos(theta) * total)).otherwise(F.sin(theta) * total)
+    return F.greatest(F.lit(0.0), 1 - one)
 
 
 @F.pandas_udf(T.DoubleType())

@@ -56,13 +56,14 @@ def bedpe(links: DataFrame, strands: DataFrame) -> DataFrame:
 def anchors(links: DataFrame, sites: DataFrame) -> DataFrame:
     """The transcription start whose distance to the region's middle is closest to |distance|; first row on a tie.
 
-    sites: (target, row_idx, tss). A target without sites is placed at middle - |distance| with a null error.
+    sites: (target, row_idx, tss). A target without sites is placed at middle - |distance| with a null error. A target's
+    sites, its transcripts, travel as one array, so a link stays one row.
     """
+    of = sites.groupBy("target").agg(F.collect_list(F.struct("row_idx", "tss")).alias("_sites"))
     l = links.withColumns({"_p": parse(F.col("region")), "d": unwrap(F.col("distance"))}).where("_p is not null and d is not null")
-    l = l.withColumn("mid", F.floor((F.col("_p.start") + F.col("_p.end")) / 2)).select("target", "region", "d", "mid").join(sites, "target", "left")
-    err = F.abs(F.abs(F.col("tss") - F.col("mid")) - F.abs("d"))
-    best = l.groupBy("target", "region", "d", "mid").agg(F.min(F.when(F.col("tss").isNotNull(), F.struct(err.alias("e"), F.col("row_idx").alias("i"), F.col("tss").alias("t")))).alias("b"))
-    return best.select("target", "region", F.coalesce("b.t", F.col("mid") - F.abs("d")).alias("anchor"), F.col("b.e").alias("err"))
+    l = l.withColumn("mid", F.floor((F.col("_p.start") + F.col("_p.end")) / 2)).select("target", "region", "d", "mid").join(of, "target", "left")
+    near = F.transform("_sites", lambda s: F.struct(F.abs(F.abs(s["tss"] - F.col("mid")) - F.abs("d")).alias("e"), s["row_idx"].alias("i"), s["tss"].alias("t")))
+    return l.withColumn("b", F.array_min(near)).select("target", "region", F.coalesce("b.t", F.col("mid") - F.abs("d")).alias("anchor"), F.col("b.e").alias("err"))
 
 
 def interact(links: DataFrame, group: str, z: str, n: int = 50000) -> DataFrame:

@@ -85,12 +85,28 @@ def rank_sum_test(entries: DataFrame, obs: DataFrame) -> DataFrame:
 
 
 def benjamini_hochberg(df: DataFrame, p: str, by: list[str], out: str = "q") -> DataFrame:
-    """q per group: the running minimum, from the largest p, of p n / rank; clipped to 0..1. Ties of p share the least."""
-    w = Window.partitionBy(*by)
-    n = F.count(F.lit(1)).over(w)
-    ranked = df.withColumn("_r", F.row_number().over(w.orderBy(p))).withColumn("_v", F.col(p) * n / F.col("_r"))
-    back = w.orderBy(F.desc("_r")).rowsBetween(Window.unboundedPreceding, 0)
-    return ranked.withColumn(out, F.least(F.greatest(F.min("_v").over(back), F.lit(0.0)), F.lit(1.0))).drop("_r", "_v")
+    """q per group: the running minimum, from the largest p, of p n / rank; clipped to 0..1. Ties of p share the least.
+
+    Equal p are counted first; ranks and running minima then go in two levels, inside buckets of the logarithm of p and
+    over the buckets of a group, which are at most 64 for each power of two: no group is one task. A null p has no q.
+    """
+    v = df.where(F.col(p).isNotNull()).groupBy(*by, F.col(p).alias("_p")).agg(F.count(F.lit(1)).alias("_m"))
+    v = v.withColumn("_b", F.when(F.col("_p") <= 0, 1 << 20).otherwise(F.floor(-F.log2("_p") * 64)).cast("int"))
+    inside, over = Window.partitionBy(*by, "_b"), Window.partitionBy(*by)
+    upto = F.sum("_m").over(inside.orderBy("_p").rowsBetween(Window.unboundedPreceding, 0))
+    v = v.withColumn("_upto", upto)
+    heads = v.groupBy(*by, "_b").agg(F.sum("_m").alias("_bm"))
+    less = over.orderBy(F.desc("_b")).rowsBetween(Window.unboundedPreceding, -1)
+    heads = heads.select(*by, "_b", F.coalesce(F.sum("_bm").over(less), F.lit(0)).alias("_before"), F.sum("_bm").over(over).alias("_n"))
+    v = v.join(heads, [*by, "_b"]).withColumn("_v", F.col("_p") * F.col("_n") / (F.col("_upto") + F.col("_before")))
+    more = over.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    after = v.groupBy(*by, "_b").agg(F.min("_v").alias("_bv"))
+    after = after.select(*by, "_b", F.min("_bv").over(more).alias("_after"))
+    back = inside.orderBy(F.desc("_p")).rowsBetween(Window.unboundedPreceding, 0)
+    v = v.withColumn("_q", F.min("_v").over(back)).join(after, [*by, "_b"])
+    q = F.least(F.greatest(F.least("_q", F.coalesce("_after", F.col("_q"))), F.lit(0.0)), F.lit(1.0))
+    v = v.select(*by, F.col("_p").alias(p), q.alias(out))
+    return df.join(v, [*by, p], "left")
 
 
 def spearman(pairs: DataFrame, entries: DataFrame, obs: DataFrame) -> DataFrame:

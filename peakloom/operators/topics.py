@@ -18,11 +18,22 @@ def accessible(entries: DataFrame, is_acc: float = 1, min_obs: int = 1, min_vars
 def fit_topics(cells: DataFrame, k: int, seed: int = 555, iterations: int = 20) -> tuple[CountVectorizerModel, LDAModel, DataFrame]:
     """Vocabulary, online variational model, and the vectors of (obs_id, var_id); a sampler's topics differ in number and order."""
     rows = cells.groupBy("obs_id").agg(F.array_sort(F.collect_list("var_id")).alias("vars"))
-    words = CountVectorizer(inputCol="vars", outputCol="features", binary=True).fit(rows)
+    # The vectorizer keeps 2^18 words unless told: no variable is left out, however many there are.
+    every = max(1, cells.agg(F.countDistinct("var_id")).first()[0])
+    words = CountVectorizer(inputCol="vars", outputCol="features", binary=True, vocabSize=every).fit(rows)
     vectors = words.transform(rows).select("obs_id", "features")
     return words, LDA(k=k, seed=seed, maxIter=iterations).fit(vectors), vectors
 
 
+def heaviest(model: LDAModel, words: CountVectorizerModel, n: int) -> DataFrame:
+    """(topic, vars, weights) of the n heaviest variables of each topic; names are a table that meets these few rows."""
+    top = model.describeTopics(n).select("topic", F.posexplode(F.arrays_zip("termIndices", "termWeights")).alias("place", "t"))
+    names = top.sparkSession.createDataFrame(list(enumerate(words.vocabulary)), "i int, name string")
+    named = names.join(F.broadcast(top.select("topic", "place", F.col("t.termIndices").alias("i"), F.col("t.termWeights").alias("w"))), "i")
+    g = named.groupBy("topic").agg(F.array_sort(F.collect_list(F.struct("place", "name", "w"))).alias("x"))
+    return g.select("topic", F.col("x.name").alias("vars"), F.col("x.w").alias("weights"))
+
+
 def choose_model(quality: dict[int, dict[str, float]], lower_is_better: tuple[str, ...] = ("perplexity",)) -> int:
     """The topic number with the best mean of metrics rescaled to 0..1; one model is itself, equal metrics do not count."""
     if not quality:

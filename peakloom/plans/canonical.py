@@ -35,13 +35,12 @@ def entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """COO: an absent (obs, var) is 0. Values are whole numbers, so sums are exact."""
     e = table(spark, sf_dir, "events")
     var = F.concat_ws("_", "event_type", (F.dayofmonth("ts") % 8).cast("string"))
-    keep = (F.col("event_id") * 7 + F.col("user_id")) % 3 == 0
-    return e.where(keep).groupBy(F.col("user_id").alias("obs_id"), var.alias("var_id")).agg(F.sum(F.floor(F.abs("value")) + 1).cast("double").alias("value"))
+    return e.groupBy(F.col("user_id").alias("obs_id"), var.alias("var_id")).agg(F.sum(F.floor(F.abs("value")) + 1).cast("double").alias("value"))
 
 
 def links(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(target, region, importance, rho, distance as a stringified list, chrom, start, end)."""
-    l = table(spark, sf_dir, "lineitem").where("l_partkey % 10 < 4")
+    l = table(spark, sf_dir, "lineitem")
     g = l.groupBy((F.col("l_suppkey") % 40).alias("t"), F.col("l_partkey").alias("r")).agg(F.sum("l_linenumber").cast("bigint").alias("n"), F.min("l_orderkey").alias("o"))
     rho = ((F.col("n") * 13 + F.col("r")) % 41 - 20) / 40.0
     dist = (F.col("o") * 37 + F.col("r") * 11) % 300000 - 150000
@@ -63,10 +62,10 @@ def latents(spark: SparkSession, sf_dir: str) -> DataFrame:
 PEAKS_SQL = "SELECT DISTINCT 'chr' || (l_suppkey % 24 + 1) AS chrom, l_partkey * 1000 + l_orderkey % 1000 AS s, l_partkey * 1000 + l_orderkey % 1000 + 501 AS e FROM lineitem WHERE l_linenumber = 1"
 DB_SQL = "SELECT DISTINCT 'chr' || (l_suppkey % 24 + 1) AS chrom, l_partkey * 1000 + l_orderkey % 1000 AS s, l_partkey * 1000 + l_orderkey % 1000 + 150 + l_orderkey % 201 AS e FROM lineitem WHERE l_linenumber > 1 AND l_suppkey % 24 <> 23"
 OBS_SQL = "SELECT DISTINCT user_id AS obs_id, user_id % 5 AS grp FROM events"
-ENTRIES_SQL = "SELECT user_id AS obs_id, event_type || '_' || (day(ts) % 8) AS var_id, CAST(sum(floor(abs(value)) + 1) AS DOUBLE) AS value FROM events WHERE (event_id * 7 + user_id) % 3 = 0 GROUP BY 1, 2"
+ENTRIES_SQL = "SELECT user_id AS obs_id, event_type || '_' || (day(ts) % 8) AS var_id, CAST(sum(floor(abs(value)) + 1) AS DOUBLE) AS value FROM events GROUP BY 1, 2"
 LINKS_SQL = """SELECT printf('gene%02d', t) AS target, printf('chr%d:%d-%d', r % 22 + 1, r * 1000, r * 1000 + 501) AS region, CAST(n AS DOUBLE) AS importance,
  CASE WHEN r % 17 = 0 THEN NULL ELSE ((n * 13 + r) % 41 - 20) / 40.0 END AS rho,
  CASE WHEN r % 13 = 0 THEN '' ELSE '[' || ((o * 37 + r * 11) % 300000 - 150000) || ']' END AS distance
- FROM (SELECT l_suppkey % 40 AS t, l_partkey AS r, CAST(sum(l_linenumber) AS BIGINT) AS n, min(l_orderkey) AS o FROM lineitem WHERE l_partkey % 10 < 4 GROUP BY 1, 2)"""
+ FROM (SELECT l_suppkey % 40 AS t, l_partkey AS r, CAST(sum(l_linenumber) AS BIGINT) AS n, min(l_orderkey) AS o FROM lineitem GROUP BY 1, 2)"""
 LATENTS_SQL = "SELECT vec_id AS obs_id, CAST(vec_id % 2 AS INTEGER) AS modality, label AS grp, embedding AS z FROM embeddings"
 DENSE_SQL = f"o AS ({OBS_SQL}), e AS ({ENTRIES_SQL}), v AS (SELECT DISTINCT var_id FROM e), d AS (SELECT o.obs_id, o.grp, v.var_id, coalesce(e.value, 0) AS value FROM o CROSS JOIN v LEFT JOIN e ON e.obs_id = o.obs_id AND e.var_id = v.var_id)"
