@@ -165,9 +165,12 @@ def _dar(spark, sf_dir):
     return matrix.benjamini_hochberg(z, "p", ["grp"]).join(matrix.fold_change(e, o), ["var_id", "grp"])
 
 
-@query()
+_DAR = f"{_U}, z AS (SELECT var_id, grp, (u - n1 * (n - n1) / 2 - 0.5) / sqrt(greatest(v, 1e-12)) AS z FROM u), pv AS (SELECT var_id, grp, {c.norm_sf_sql('z')} AS p FROM z), rk AS (SELECT *, rank() OVER (PARTITION BY grp ORDER BY p) + count(*) OVER (PARTITION BY grp, p) - 1 AS upto, count(*) OVER (PARTITION BY grp) AS m FROM pv), qv AS (SELECT var_id, grp, p, least(min(p * m / upto) OVER (PARTITION BY grp ORDER BY p DESC), 1) AS q FROM rk), gt AS (SELECT var_id, grp, sum(value) AS t, count(*) AS n FROM d GROUP BY ALL), ef AS (SELECT var_id, grp, log2(t / n + 1e-6) - log2((sum(t) OVER w - t) / (sum(n) OVER w - n) + 1e-6) AS eff FROM gt WINDOW w AS (PARTITION BY var_id)), dar AS (SELECT * FROM qv JOIN ef USING (var_id, grp))"
+
+
+@query(f"WITH {_DAR} SELECT var_id, grp, round(p, 9) AS p, round(q, 8) AS q, round(eff, 5) AS eff FROM dar")
 def mwu_pvalue_bh(spark, sf_dir):
-    return _dar(spark, sf_dir).select("var_id", "grp", "p", "q", "eff")
+    return _dar(spark, sf_dir).select("var_id", "grp", F.round("p", 9).alias("p"), F.round("q", 8).alias("q"), F.round("eff", 5).alias("eff"))
 
 
 _P = "SELECT l_orderkey * 8 + l_linenumber AS id, l_suppkey % 7 AS grp, ((l_orderkey * 31 + l_partkey * 17) % 9973 + 1) / 9974.0 AS p FROM lineitem"
@@ -180,11 +183,11 @@ def bh_qvalues(spark, sf_dir):
     return matrix.benjamini_hochberg(t, "p", ["grp"]).groupBy("grp", F.round("p", 8).alias("p")).agg(F.round(F.min("q"), 6).alias("q"))
 
 
-@query()
+@query(f"WITH {_DAR}, k AS (SELECT *, row_number() OVER (PARTITION BY grp ORDER BY eff DESC, var_id) AS k FROM dar WHERE eff >= 0.1 AND q <= 0.5) SELECT grp, var_id, round(eff, 5) AS eff, round(q, 8) AS q FROM k WHERE k <= 10".replace(f"{_RANKS}", _RANKS.replace(", k AS", ", k0 AS")).replace("FROM k GROUP BY ALL), u", "FROM k0 GROUP BY ALL), u"))
 def dar_topn(spark, sf_dir):
     """At most 10 variables a group with eff >= 0.1 and q <= 0.5, by effect, then by name."""
     ok = _dar(spark, sf_dir).where("eff >= 0.1 and q <= 0.5")
-    return links.top_per(ok, "grp", [F.desc("eff"), F.asc("var_id")], 10).select("grp", "var_id", "eff", "q").orderBy("grp", "var_id")
+    return links.top_per(ok, "grp", [F.desc("eff"), F.asc("var_id")], 10).select("grp", "var_id", F.round("eff", 5).alias("eff"), F.round("q", 8).alias("q"))
 
 
 _EFF = f"{c.DENSE_SQL}, g AS (SELECT var_id, grp, sum(value) AS t, count(*) AS n FROM d GROUP BY ALL), f AS (SELECT var_id, grp, log2(t / n + 1e-6) - log2((sum(t) OVER w - t) / (sum(n) OVER w - n) + 1e-6) AS eff FROM g WINDOW w AS (PARTITION BY var_id))"
@@ -366,11 +369,11 @@ def sign_pivot(spark, sf_dir):
     return p.select("tf", F.col("`+/+`").alias("pp"), F.col("`-/+`").alias("mp"))
 
 
-@query()
+@query("WITH g AS (SELECT p_brand AS tf, count(DISTINCT p_partkey % 50) AS k, count(*) AS n FROM part GROUP BY 1), i AS (SELECT *, unnest(range(k, n + 1)) AS i FROM g) SELECT tf, any_value(k) AS k, any_value(n) AS n, CAST(any_value(n) * 0.5 AS DOUBLE) AS expected, round(sum(exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln(0.5) + (n - i) * ln(0.5))), 9) AS p FROM i GROUP BY tf")
 def chance_baseline(spark, sf_dir):
     """Recovery of each brand among the top genes against the binomial tail of chance."""
     g = _regulons(spark, sf_dir).groupBy("tf").agg(F.countDistinct("gene").alias("k"), F.count(F.lit(1)).alias("n"))
-    return g.withColumn("expected", F.col("n") * 0.05).withColumn("p", stats.binomial_tail("k", "n", F.lit(0.05)))
+    return g.withColumn("expected", F.col("n") * 0.5).withColumn("p", F.round(stats.binomial_tail("k", "n", F.lit(0.5)), 9))
 
 
 @query("SELECT string_agg(l, chr(10) ORDER BY l) AS lines, grp FROM (SELECT s_nationkey AS grp, 'chr1' || chr(9) || s_suppkey || chr(9) || (s_suppkey + 10) || chr(9) || s_nationkey || '_' || row_number() OVER (PARTITION BY s_nationkey ORDER BY s_suppkey) || chr(9) || printf('%.4f', s_acctbal) || chr(9) || '.' AS l FROM supplier) GROUP BY grp")
@@ -388,7 +391,19 @@ def _anchors(spark, sf_dir):
     return z, z.where("obs_id % 100 = 0")
 
 
-@query()
+def _maximin_sql(n: int) -> str:
+    """Farthest points, one common table a step: distances to the nearest anchor so far, and the farthest row of each group."""
+    to = lambda a: f"round(list_distance(z.u, y.u) ** 2, 9) AS far FROM {{}} z JOIN {a} a ON a.grp = z.grp JOIN z y ON y.grp = z.grp AND y.obs_id = a.obs_id"
+    parts = [f"l AS ({c.LATENTS_SQL}), z AS (SELECT grp, obs_id, list_transform(CAST(z AS DOUBLE[]), lambda x: x / sqrt(list_dot_product(CAST(z AS DOUBLE[]), CAST(z AS DOUBLE[])))) AS u FROM l)", "a0 AS (SELECT grp, min(obs_id) AS obs_id FROM z GROUP BY 1)"]
+    for i in range(1, n):
+        before = "z" if i == 1 else f"s{i - 1}"
+        far = to(f"a{i - 1}").format(before)
+        parts.append(f"s{i} AS (SELECT z.grp, z.obs_id, z.u, {far if i == 1 else 'least(z.far, ' + far.replace(' AS far', ') AS far', 1)})")
+        parts.append(f"a{i} AS (SELECT grp, arg_min(obs_id, (-far, obs_id)) AS obs_id FROM s{i} GROUP BY 1)")
+    return "WITH " + ", ".join(parts) + " " + " UNION ALL ".join(f"SELECT grp, CAST({i} AS INTEGER) AS anchor_no, obs_id FROM a{i}" for i in range(n))
+
+
+@query(_maximin_sql(5))
 def maximin_anchors(spark, sf_dir):
     return pairing.maximin_anchors(c.latents(spark, sf_dir), 5)
 
@@ -496,17 +511,17 @@ def strata_effect(spark, sf_dir):
     return g.agg(F.round(F.sum(w * F.col("eff")) / F.sum(w), 5).alias("pooled"), F.sum("n1").alias("n_dropped"))
 
 
-@query()
+@query("WITH f AS (SELECT p_partkey, p_size % 5 AS stratum, p_retailprice AS y, p_partkey % 3 = 0 AS dropped FROM part), d AS (SELECT f.*, draw, row_number() OVER (PARTITION BY draw, stratum ORDER BY md5(draw || '_' || p_partkey), p_partkey) AS k, count(*) FILTER (WHERE dropped) OVER (PARTITION BY draw, stratum) AS n1 FROM f, (SELECT unnest(range(50)) AS draw)), e AS (SELECT draw, avg(y) FILTER (WHERE k <= n1) - avg(y) FILTER (WHERE k > n1) AS eff FROM d GROUP BY 1) SELECT round(quantile_cont(eff, 0.025), 5) AS low, round(quantile_cont(eff, 0.975), 5) AS high, count(*) AS n_draws FROM e")
 def permutation_null(spark, sf_dir):
     """Mean difference of two classes under 50 relabellings by hash order within strata, and its central 95 %."""
     f = c.table(spark, sf_dir, "part").select("p_partkey", (F.col("p_size") % 5).alias("stratum"), F.col("p_retailprice").alias("y"), (F.col("p_partkey") % 3 == 0).alias("dropped"))
     draws = f.join(F.broadcast(spark.range(50).withColumnRenamed("id", "draw")))  # 50 rows
     w = Window.partitionBy("draw", "stratum")
-    d = draws.withColumns({"k": F.row_number().over(w.orderBy(F.xxhash64("draw", "p_partkey"))), "n1": F.count_if("dropped").over(w)})
+    d = draws.withColumns({"k": F.row_number().over(w.orderBy(F.md5(F.concat_ws("_", F.col("draw").cast("string"), F.col("p_partkey").cast("string"))), "p_partkey")), "n1": F.count_if("dropped").over(w)})
     one = F.when(F.col("k") <= F.col("n1"), F.col("y"))
     two = F.when(F.col("k") > F.col("n1"), F.col("y"))
     e = d.groupBy("draw").agg((F.avg(one) - F.avg(two)).alias("eff"))
-    return e.agg(F.percentile("eff", F.lit(0.025)).alias("low"), F.percentile("eff", F.lit(0.975)).alias("high"), F.count(F.lit(1)).alias("n_draws"))
+    return e.agg(F.round(F.percentile("eff", F.lit(0.025)), 5).alias("low"), F.round(F.percentile("eff", F.lit(0.975)), 5).alias("high"), F.count(F.lit(1)).alias("n_draws"))
 
 
 @query("WITH g AS (SELECT unnest(range(1, 6)) AS slices), h AS (SELECT unnest([0.005, 0.01, 0.05]::DOUBLE[]) AS cut) SELECT slices, cut, CAST(round(cut * n) AS BIGINT) AS top_ranks, CAST(floor(0.05 * n) AS BIGINT) AS curve, CAST(slices * n * 4 AS BIGINT) AS bytes FROM g, h, (SELECT count(*) AS n FROM lineitem)")
@@ -590,4 +605,4 @@ def failure_log(spark, sf_dir):
     return runs.failures(c.table(spark, sf_dir, "events").select((F.col("user_id") % 9).alias("log"), i.alias("line_no"), line.alias("line")))
 
 
-from . import catalog_profiles, catalog_regulons  # noqa: E402, F401  (they register their queries)
+from . import catalog_guards, catalog_profiles, catalog_regulons  # noqa: E402, F401  (they register their queries)

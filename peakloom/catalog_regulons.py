@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from .functions import stats
 from .operators import controls, links, matrix, regulons, topics
 from .plans import canonical as c
-from .registered import query, queries
+from .registered import oracle_sql, queries, query
 
 _SCORES = "SELECT 'm' || (l_suppkey * 7 + l_linenumber) % 20 AS motif, l_partkey AS region, sum(l_quantity) AS score FROM lineitem GROUP BY ALL"
 _SETS = "SELECT DISTINCT l_partkey % 6 AS set, l_partkey AS region FROM lineitem"
@@ -151,9 +151,14 @@ def linkage_verdict(spark, sf_dir):
     return controls.linkage_verdict(queries()["decoy_null"](spark, sf_dir))
 
 
-@query()
+_T = "(rho * sqrt((n - 2) / greatest(1 - rho * rho, 1e-12)))"
+
+
+@query(f"WITH s AS ({oracle_sql()['spearman_by_group']}), p AS (SELECT grp, {c.student_p_sql(_T, '(n - 2)')} AS p FROM s WHERE rho IS NOT NULL AND n > 3) SELECT grp, count(*) AS n_tests, round(avg(CASE WHEN p < 0.05 THEN 1.0 ELSE 0.0 END), 6) AS below_05, round(avg(CASE WHEN p < 0.001 THEN 1.0 ELSE 0.0 END), 6) AS below_001 FROM p GROUP BY grp")
 def naive_calibration(spark, sf_dir):
-    """Shares of naive correlation tests below 0.05 and 0.001, by group: what the tests would claim without a null."""
+    """Shares of naive correlation tests (Student's t) below 0.05 and 0.001, by group: what they would claim without a null."""
     r = queries()["spearman_by_group"](spark, sf_dir).where("rho is not null and n > 3")
-    z = r.withColumn("p", 2 * stats.norm_sf(F.abs(matrix.fisher_z(F.col("rho"), F.col("n")))))
-    return z.groupBy("grp").agg(F.count(F.lit(1)).alias("n_tests"), F.avg((F.col("p") < 0.05).cast("double")).alias("below_05"), F.avg((F.col("p") < 0.001).cast("double")).alias("below_001"))
+    t = F.col("rho") * F.sqrt((F.col("n") - 2) / F.greatest(1 - F.col("rho") * F.col("rho"), F.lit(1e-12)))
+    p = r.withColumn("t", t).withColumn("p", stats.student_p(F.col("t"), F.col("n") - 2))
+    share = lambda a: F.round(F.avg((F.col("p") < a).cast("double")), 6)
+    return p.groupBy("grp").agg(F.count(F.lit(1)).alias("n_tests"), share(0.05).alias("below_05"), share(0.001).alias("below_001"))

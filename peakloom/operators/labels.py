@@ -41,11 +41,11 @@ def agree(a: Column, b: Column) -> Column:
 
 
 def positional_agreement(left: DataFrame, right: DataFrame, key: str, columns: list[str]) -> DataFrame:
-    """(column, n_rows, n_mismatch) of rows paired by position."""
-    r = right.select(key, *(F.col(c).alias(f"_r_{c}") for c in columns))
-    j = left.join(r, key)
-    parts = [j.agg(F.lit(c).alias("column"), F.count(F.lit(1)).alias("n_rows"), F.count_if(~agree(F.col(c).cast("string"), F.col(f"_r_{c}").cast("string"))).alias("n_mismatch")) for c in columns]
-    return reduce(DataFrame.unionByName, parts)
+    """(column, n_rows, n_mismatch) of rows paired by `key`, their place; all columns in one pass of one join."""
+    j = left.join(right.select(key, *(F.col(c).alias(f"_r_{c}") for c in columns)), key)
+    wrong = [F.count_if(~agree(F.col(c).cast("string"), F.col(f"_r_{c}").cast("string"))).alias(f"_w_{c}") for c in columns]
+    one = j.agg(F.count(F.lit(1)).alias("_n"), *wrong)
+    return one.select(F.inline(F.array(*(F.struct(F.lit(c).alias("column"), F.col("_n").alias("n_rows"), F.col(f"_w_{c}").alias("n_mismatch")) for c in columns))))
 
 
 def modal_map(df: DataFrame, fine: str, broad: str) -> DataFrame:
@@ -57,12 +57,17 @@ def modal_map(df: DataFrame, fine: str, broad: str) -> DataFrame:
 
 
 def jaccard(vocab: DataFrame) -> DataFrame:
-    """vocab: (source, level). (a, b, shared, either, jaccard, only_a, only_b) of all pairs of sources; sources are few."""
-    s = vocab.groupBy("source").agg(F.collect_set("level").alias("x"))
-    a, b = s.select(F.col("source").alias("a"), F.col("x").alias("xa")), s.select(F.col("source").alias("b"), F.col("x").alias("xb"))
-    j = a.join(b, F.col("a") < F.col("b"))
-    inter, union = F.size(F.array_intersect("xa", "xb")), F.size(F.array_union("xa", "xb"))
-    return j.select("a", "b", inter.cast("bigint").alias("shared"), union.cast("bigint").alias("either"), (inter / F.greatest(union, F.lit(1))).alias("jaccard"), F.size(F.array_except("xa", "xb")).cast("bigint").alias("only_a"), F.size(F.array_except("xb", "xa")).cast("bigint").alias("only_b"))
+    """vocab: (source, level). (a, b, shared, either, jaccard, only_a, only_b) of all pairs of sources; sources are few.
+
+    Sources meet on their common levels, so only counts are joined with the pairs.
+    """
+    v = vocab.select("source", "level").distinct()
+    size = v.groupBy("source").agg(F.count(F.lit(1)).alias("n"))
+    both = v.withColumnRenamed("source", "a").join(v.withColumnRenamed("source", "b"), "level").where("a < b").groupBy("a", "b").agg(F.count(F.lit(1)).alias("s"))
+    pairs = size.toDF("a", "na").join(F.broadcast(size.toDF("b", "nb")), F.col("a") < F.col("b"))
+    j = pairs.join(both, ["a", "b"], "left").withColumn("s", F.coalesce("s", F.lit(0)))
+    either = F.col("na") + F.col("nb") - F.col("s")
+    return j.select("a", "b", F.col("s").cast("bigint").alias("shared"), either.cast("bigint").alias("either"), (F.col("s") / F.greatest(either, F.lit(1))).alias("jaccard"), (F.col("na") - F.col("s")).cast("bigint").alias("only_a"), (F.col("nb") - F.col("s")).cast("bigint").alias("only_b"))
 
 
 def level_counts(df: DataFrame, columns: list[str]) -> DataFrame:

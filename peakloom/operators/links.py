@@ -39,6 +39,20 @@ def top_per(links: DataFrame, by: str, order: list[Column], n: int) -> DataFrame
     return links.withColumn("_k", F.row_number().over(Window.partitionBy(by).orderBy(*order))).where(F.col("_k") <= n).drop("_k")
 
 
+def topn_report(effects: DataFrame, tops: list[int], share: float = 0.005) -> DataFrame:
+    """(top_n, n_short, cutoff_lo, cutoff_hi, fold_lo, fold_hi, expected, n_lines) of sets of equal size; effects: (grp, var_id, eff).
+
+    A group of fewer variables is short and takes them all; its last effect is its cutoff. expected: regions that would
+    land in a window of `share` of the ranks by chance.
+    """
+    w = Window.partitionBy("grp")
+    most = max(tops)
+    k = effects.withColumns({"_m": F.count(F.lit(1)).over(w), "_k": F.row_number().over(w.orderBy(F.desc("eff"), "var_id"))}).where(F.col("_k") <= most)
+    x = k.withColumn("top_n", F.explode(F.array(*map(F.lit, tops)))).where(F.col("_k") == F.least("top_n", "_m"))
+    g = x.groupBy("top_n").agg(F.count_if(F.col("_m") < F.col("top_n")).alias("n_short"), F.min("eff").alias("cutoff_lo"), F.max("eff").alias("cutoff_hi"), (F.count(F.lit(1)) * F.col("top_n")).alias("n_lines"))
+    return g.withColumns({"fold_lo": F.pow(F.lit(2.0), "cutoff_lo"), "fold_hi": F.pow(F.lit(2.0), "cutoff_hi"), "expected": F.col("top_n") * F.lit(share)})
+
+
 def strong(links: DataFrame, n: int = 20, least: float = 0.05) -> DataFrame:
     """The top n links of each target by importance among those of |rho| >= least (null and NaN fail)."""
     ok = links.where(F.col("rho").isNotNull() & ~F.isnan("rho") & (F.abs("rho") >= least))

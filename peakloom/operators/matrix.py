@@ -141,6 +141,18 @@ def contrast(z: DataFrame) -> DataFrame:
     return out.select("a", "b", F.coalesce("g", F.lit(-1)).alias("best_grp"), "best_abs_z", "second_abs_z", (F.col("best_abs_z") - F.col("second_abs_z")).alias("specificity_z"), "best_rho", "n_scored")
 
 
+def marker_success(markers: DataFrame, means: DataFrame) -> DataFrame:
+    """(n_tested, frac_top1, frac_top3, frac_within_listed, median_rank) of markers (var_id, grp) by means (var_id, grp, mean).
+
+    A marker listed for several groups is right if its group ranks within that many; equal means rank by group.
+    """
+    k = F.row_number().over(Window.partitionBy("var_id").orderBy(F.desc(F.round("mean", 9)), "grp"))
+    listed = F.count(F.lit(1)).over(Window.partitionBy("var_id"))
+    m = markers.distinct().withColumn("_n", listed).join(means.withColumn("_k", k).select("var_id", "grp", "_k"), ["var_id", "grp"])
+    share = lambda ok: F.avg(ok.cast("double"))
+    return m.agg(F.count(F.lit(1)).alias("n_tested"), share(F.col("_k") == 1).alias("frac_top1"), share(F.col("_k") <= 3).alias("frac_top3"), share(F.col("_k") <= F.col("_n")).alias("frac_within_listed"), F.median("_k").alias("median_rank"))
+
+
 def tie_terms(entries: DataFrame, obs: DataFrame) -> DataFrame:
     """(var_id, ties): the sum of t^3 - t over each variable's values, its zeros included."""
     n = F.broadcast(obs.agg(F.count(F.lit(1)).alias("n")))  # one row

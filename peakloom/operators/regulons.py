@@ -7,6 +7,9 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.stats import norm_sf
+from .matrix import benjamini_hochberg
+
 
 def recovery(scores: DataFrame, sets: DataFrame, share: float = 0.005, least: float = 3.0) -> DataFrame:
     """(set, motif, auc, nes, enriched): recovery of each set's regions among the top ranks of each motif.
@@ -81,6 +84,37 @@ def running_enrichment(ranked: DataFrame, sets: DataFrame) -> DataFrame:
     return g.select("set", "n_hits", F.when(F.col("hi") >= -F.col("lo"), F.col("hi")).otherwise(F.col("lo")).alias("score"))
 
 
+def differential(scores: DataFrame, sets: DataFrame, promoters: DataFrame, background: int = 500, hit: float = 3.0) -> DataFrame:
+    """(set, motif, n_fg, n_bg, mean_fg, log2fc, hits, z, p, q): scores of a set's regions against a background of others.
+
+    scores: (motif, region, score), an absent score is zero; sets: (set, region); promoters: (region, is_promoter), all
+    regions. The background of a set is drawn by hash order from regions outside it, promoters and others in the set's own
+    proportion, `background` in all at most. Two-sided rank test, false discovery control within a set.
+    """
+    size = sets.join(promoters, "region").groupBy("set").agg(F.count(F.lit(1)).alias("n_fg"), F.avg(F.col("is_promoter").cast("double")).alias("share"))
+    every = promoters.join(F.broadcast(size)).join(sets.withColumn("_in", F.lit(True)), ["set", "region"], "left")  # sets are few
+    order = Window.partitionBy("set", "is_promoter").orderBy(F.md5(F.concat_ws("_", F.col("set").cast("string"), F.col("region").cast("string"))), "region")
+    quota = F.bround(background * F.when(F.col("is_promoter"), F.col("share")).otherwise(1 - F.col("share")))
+    bg = every.where("_in is null").withColumn("k", F.row_number().over(order)).where(F.col("k") <= quota).select("set", "region", F.lit(False).alias("fg"))
+    chosen = sets.join(promoters.select("region"), "region").select("set", "region", F.lit(True).alias("fg")).unionByName(bg)
+    counts = chosen.groupBy("set").agg(F.count_if("fg").alias("n_fg"), F.count_if(~F.col("fg")).alias("n_bg"))
+    met = chosen.join(scores.where("score > 0"), "region").groupBy("set", "motif", "score").agg(F.count_if("fg").alias("f"), F.count_if(~F.col("fg")).alias("o"))
+    # Zeros of both sides are one tie below all scores: (n_fg - scored) and (n_bg - scored) of them.
+    seen = met.groupBy("set", "motif").agg(F.sum("f").alias("sf"), F.sum("o").alias("so"), F.sum(F.col("score") * F.col("f")).alias("tf"), F.sum(F.col("score") * F.col("o")).alias("to"), F.sum(F.when(F.col("score") >= hit, F.col("f"))).alias("hits")).join(counts, "set")
+    seen = seen.withColumns({"zf": F.col("n_fg") - F.col("sf"), "zo": F.col("n_bg") - F.col("so")})
+    up = Window.partitionBy("set", "motif").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
+    cube = lambda m: m.cast("double") * m * m - m
+    u = met.withColumn("below", F.coalesce(F.sum("o").over(up), F.lit(0))).groupBy("set", "motif").agg(F.sum(F.col("f") * (F.col("below") + F.col("o") / 2)).alias("u"), F.sum(cube(F.col("f") + F.col("o"))).alias("ties"))
+    g = seen.join(u, ["set", "motif"])
+    n, pairs = F.col("n_fg") + F.col("n_bg"), (F.col("n_fg") * F.col("n_bg")).cast("double")
+    total = F.col("u") + F.col("sf") * F.col("zo") + F.col("zf") * F.col("zo") / 2
+    var = pairs / 12 * (n + 1 - (F.col("ties") + cube(F.col("zf") + F.col("zo"))) / (n * (n - 1)).cast("double"))
+    z = F.try_divide(total - pairs / 2, F.sqrt(var))
+    fold = F.log2((F.col("tf") / F.col("n_fg") + 1e-6) / (F.col("to") / F.col("n_bg") + 1e-6))
+    out = g.select("set", "motif", "n_fg", "n_bg", (F.col("tf") / F.col("n_fg")).alias("mean_fg"), fold.alias("log2fc"), F.coalesce("hits", F.lit(0)).alias("hits"), z.alias("z"))
+    return benjamini_hochberg(out.withColumn("p", 2 * norm_sf(F.abs("z"))), "p", ["set"])
+
+
 def families(members: DataFrame) -> DataFrame:
     """(family, n, members): families of which more than one member is there; members: (family, member)."""
     g = members.select("family", "member").distinct().groupBy("family").agg(F.count(F.lit(1)).alias("n"), F.array_join(F.array_sort(F.collect_list("member")), ",").alias("members"))

@@ -54,22 +54,48 @@ def top_regions(weights: DataFrame, n: int) -> DataFrame:
     return weights.withColumn("_k", F.row_number().over(Window.partitionBy("topic").orderBy(F.desc("weight"), "region"))).where(F.col("_k") <= n).select("topic", "region", "weight")
 
 
+def _histogram(weights: DataFrame, bins: int) -> DataFrame:
+    """(topic, low, high, bin, n): weights in equal bins of the topic's range. A topic of one weight only has none."""
+    r = weights.groupBy("topic").agg(F.min("weight").alias("low"), F.max("weight").alias("high")).where("high > low")
+    b = F.least(F.floor((F.col("weight") - F.col("low")) / (F.col("high") - F.col("low")) * bins), F.lit(bins - 1))
+    return weights.join(r, "topic").groupBy("topic", "low", "high", b.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+
+
 def otsu(weights: DataFrame, bins: int = 64) -> DataFrame:
     """(topic, bin, threshold): the split of each topic's weights of largest variance between the classes; the first of equals.
 
-    Weights fall into `bins` equal bins of the topic's range; a region is in the topic if its weight is over the threshold.
-    A topic of one weight only has none.
+    A region is in the topic if its weight is over the threshold.
     """
-    r = weights.groupBy("topic").agg(F.min("weight").alias("low"), F.max("weight").alias("high")).where("high > low")
-    b = F.least(F.floor((F.col("weight") - F.col("low")) / (F.col("high") - F.col("low")) * bins), F.lit(bins - 1))
-    h = weights.join(r, "topic").groupBy("topic", "low", "high", b.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    h = _histogram(weights, bins)
     w = Window.partitionBy("topic")
     upto = w.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
     h = h.withColumns({"w0": F.sum("n").over(upto).cast("double"), "s0": F.sum(F.col("n") * F.col("bin")).over(upto).cast("double"), "w": F.sum("n").over(w).cast("double"), "s": F.sum(F.col("n") * F.col("bin")).over(w).cast("double")})
     d = F.col("s0") * F.col("w") - F.col("s") * F.col("w0")
-    between = d * d / (F.col("w0") * (F.col("w") - F.col("w0")))
-    best = h.where("w0 < w").groupBy("topic").agg(F.min(F.struct((-between).alias("v"), F.col("bin").alias("bin"), F.col("low").alias("low"), F.col("high").alias("high"))).alias("b"))
-    return best.select("topic", F.col("b.bin").alias("bin"), (F.col("b.low") + (F.col("b.bin") + 1) * (F.col("b.high") - F.col("b.low")) / bins).alias("threshold"))
+    return _split(h.where("w0 < w").withColumn("v", -(d * d / (F.col("w0") * (F.col("w") - F.col("w0"))))), bins, 1.0)
+
+
+def yen(weights: DataFrame, bins: int = 64) -> DataFrame:
+    """(topic, bin, threshold) by Yen's criterion of maximum correlation; the first of equals. The threshold is a bin's middle."""
+    h = _histogram(weights, bins)
+    w = Window.partitionBy("topic")
+    upto, after = w.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0), w.orderBy("bin").rowsBetween(1, Window.unboundedFollowing)
+    f = F.col("n") / F.sum("n").over(w)
+    h = h.withColumn("f", f).withColumns({"p": F.sum("f").over(upto), "p2": F.sum(F.col("f") * F.col("f")).over(upto), "q2": F.sum(F.col("f") * F.col("f")).over(after)})
+    v = F.log(F.pow(F.col("p") * (1 - F.col("p")), F.lit(2)) / (F.col("p2") * F.col("q2")))
+    return _split(h.where("q2 is not null").withColumn("v", -F.round(v, 9)), bins, 0.5)
+
+
+def _split(scored: DataFrame, bins: int, at: float) -> DataFrame:
+    """The bin of the least v of each topic; the threshold lies `at` in it (1 is its end)."""
+    best = scored.groupBy("topic").agg(F.min(F.struct("v", "bin", "low", "high")).alias("b"))
+    return best.select("topic", F.col("b.bin").alias("bin"), (F.col("b.low") + (F.col("b.bin") + at) * (F.col("b.high") - F.col("b.low")) / bins).alias("threshold"))
+
+
+def topic_quality(weights: DataFrame) -> DataFrame:
+    """(topic, n_regions, total, top, share_top, entropy): how many regions a topic has, its heaviest, and how evenly it spreads."""
+    w = Window.partitionBy("topic")
+    f = weights.where("weight > 0").withColumn("f", F.col("weight") / F.sum("weight").over(w))
+    return f.groupBy("topic").agg(F.count(F.lit(1)).alias("n_regions"), F.sum("weight").alias("total"), F.max("weight").alias("top"), F.max("f").alias("share_top"), (-F.sum(F.col("f") * F.log("f"))).alias("entropy"))
 
 
 def variable_features(entries: DataFrame, obs: DataFrame, bins: int = 20) -> DataFrame:

@@ -68,4 +68,23 @@ LINKS_SQL = """SELECT printf('gene%02d', t) AS target, printf('chr%d:%d-%d', r %
  CASE WHEN r % 13 = 0 THEN '' ELSE '[' || ((o * 37 + r * 11) % 300000 - 150000) || ']' END AS distance
  FROM (SELECT l_suppkey % 40 AS t, l_partkey AS r, CAST(sum(l_linenumber) AS BIGINT) AS n, min(l_orderkey) AS o FROM lineitem GROUP BY 1, 2)"""
 LATENTS_SQL = "SELECT vec_id AS obs_id, CAST(vec_id % 2 AS INTEGER) AS modality, label AS grp, embedding AS z FROM embeddings"
+
+
+def norm_sf_sql(z: str) -> str:
+    """The upper tail of the normal distribution by the same series and continued fraction as `stats.norm_sf`."""
+    x = f"(abs({z}) / sqrt(2.0))"
+    series = f"list_reduce(list_concat([1.0::DOUBLE], CAST(range(60, 0, -1) AS DOUBLE[])), lambda a, k: 1 + a * 2 * {x} * {x} / (2 * k + 1))"
+    fraction = f"list_reduce(list_concat([{x}], CAST(range(80, 0, -1) AS DOUBLE[])), lambda a, k: {x} + k / 2 / a)"
+    upper = f"(CASE WHEN {x} < 2 THEN 1 - 2 / sqrt(pi()) * {x} * exp(-{x} * {x}) * {series} ELSE exp(-{x} * {x}) / ({fraction} * sqrt(pi())) END / 2)"
+    return f"CASE WHEN {z} < 0 THEN 1 - {upper} ELSE {upper} END"
+
+
+def student_p_sql(t: str, df: str) -> str:
+    """Two-sided p of Student's t by the same finite sums as `stats.student_p`."""
+    a = f"atan(abs({t}) / sqrt({df}))"
+    total = f"list_reduce(list_concat([1.0::DOUBLE], CAST(range(CAST(({df} - 2 - {df} % 2) // 2 AS BIGINT), 0, -1) AS DOUBLE[])), lambda s, k: 1 + s * cos({a}) * cos({a}) * CASE WHEN {df} % 2 = 1 THEN 2 * k / (2 * k + 1) ELSE (2 * k - 1) / (2 * k) END)"
+    one = f"CASE WHEN {df} = 1 THEN 2 * {a} / pi() WHEN {df} % 2 = 1 THEN 2 / pi() * ({a} + sin({a}) * cos({a}) * {total}) ELSE sin({a}) * {total} END"
+    return f"greatest(0.0, 1 - {one})"
+
+
 DENSE_SQL = f"o AS ({OBS_SQL}), e AS ({ENTRIES_SQL}), v AS (SELECT DISTINCT var_id FROM e), d AS (SELECT o.obs_id, o.grp, v.var_id, coalesce(e.value, 0) AS value FROM o CROSS JOIN v LEFT JOIN e ON e.obs_id = o.obs_id AND e.var_id = v.var_id)"

@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from peakloom import catalog
 from peakloom.functions import stats
-from peakloom.operators import controls, draws, intervals, labels, links, matrix, pairing, profiles, regulons, runs, topics
-from peakloom.sources import text
+from peakloom.operators import controls, draws, guards, intervals, labels, links, matrix, pairing, profiles, regulons, runs, topics
+from peakloom.sources import tables, text
 from peakloom.streaming import sums
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -50,6 +50,126 @@ def test_overlaps_brute_force(spark):
         assert got == want
 
 
+def test_wide_regions_meet_narrow_ones(spark):
+    """Widths that vary ten-thousandfold: every pair, none twice, and a wide interval in a few rows only."""
+    r = random.Random(21)
+    make = lambda n: list({("chr1", s := r.randint(0, 2_000_000), s + int(10 ** r.uniform(0, 6))) for _ in range(n)})
+    left, right = make(120), make(120)
+    a, b = (spark.createDataFrame(x, "chrom string, start bigint, end bigint") for x in (left, right))
+    want = sorted((*x, y[1], y[2], min(x[2], y[2]) - max(x[1], y[1])) for x in left for y in right if x[1] < y[2] and y[1] < x[2])
+    assert sorted(tuple(x) for x in intervals.overlaps(a, b, 64).collect()) == want
+    hit = {x[:3] for x in want}
+    assert sorted(tuple(x) for x in intervals.outside(a, b).collect()) == sorted(x for x in left if x not in hit)
+    assert intervals._binned(a, 64, b).count() <= 120 * 2 * 16
+    assert {(x["start"], x["end"]): x["n_overlapping"] for x in intervals.audit(a, b).collect()} == {x[1:]: sum(y[:3] == x for y in want) for x in left}
+
+
+def test_false_discovery_control_brute_force(spark):
+    r = random.Random(22)
+    rows = [(g, i, r.choice([0.0, 1.0, 1e-300, 0.05, None, 10 ** r.uniform(-9, 0)])) for g in range(3) for i in range(80)]
+    got = {(x["g"], x["i"]): x["q"] for x in matrix.benjamini_hochberg(spark.createDataFrame(rows, "g int, i int, p double"), "p", ["g"]).collect()}
+    assert len(got) == len(rows)
+    for g in range(3):
+        p = sorted(x[2] for x in rows if x[0] == g and x[2] is not None)
+        for _, i, mine in (x for x in rows if x[0] == g):
+            want = None if mine is None else min(1.0, min(v * len(p) / sum(u <= v for u in p) for v in p if v >= mine))
+            assert got[g, i] == want or abs(got[g, i] - want) < 1e-15
+
+
+def test_tails_of_distributions(spark):
+    cases = [0.0, 1.959963985, -1.0, 8.0, 2.82842, 2.82843, 2.9, -9.0, 30.0]
+    got = [x[0] for x in spark.createDataFrame([(z,) for z in cases], "z double").select(stats.norm_sf("z")).collect()]
+    assert all(abs(a - math.erfc(z / math.sqrt(2)) / 2) <= 1e-9 * a for a, z in zip(got, cases))
+    t = [(12.706204736432095, 1, 0.05), (4.302652729911275, 2, 0.05), (2.2281388519649385, 10, 0.05), (2.0345152974493383, 33, 0.05), (3.39049, 100, 0.0010)]
+    got = [x[0] for x in spark.createDataFrame(t, "t double, n int, p double").select(stats.student_p(F.col("t"), F.col("n"))).collect()]
+    assert all(abs(a - p) < 2e-6 for a, (_, _, p) in zip(got, t))
+
+
+def test_guards_refuse(spark):
+    df = lambda rows, schema: spark.createDataFrame(rows, schema)
+    left = df([(i, i * 2, f"n{i}", i / 3) for i in range(9)], "row_idx int, a int, b string, c double")
+    good = df([(i, str(i * 2), f"n{i}", i / 3 + 1e-9, "x") for i in range(9)], "row_idx int, a string, b string, c double, label string")
+    assert guards.positional_merge(left, good).columns == ["row_idx", "a", "b", "c", "label"]
+    with pytest.raises(ValueError, match="disagree"):
+        guards.positional_merge(left, good.withColumn("b", F.lit("n1")))
+    with pytest.raises(ValueError, match="do not pair"):
+        guards.positional_merge(left, good.where("row_idx < 8"))
+    with pytest.raises(ValueError, match="needed"):
+        guards.positional_merge(left, good.drop("a"))
+    sizes = df([("a", 500), ("b", 10)], "grp string, n int")
+    assert [x[0] for x in guards.usable_groups(sizes, df([("a",)], "grp string")).collect()] == ["a"]
+    with pytest.raises(ValueError, match="not scored"):
+        guards.usable_groups(sizes, df([("b",)], "grp string"))
+    with pytest.raises(ValueError, match="no group"):
+        guards.usable_groups(sizes, sizes, 900)
+    with pytest.raises(ValueError, match="without a latent"):
+        guards.latents_for(df([(1,), (2,)], "id int"), df([(1, 0.5)], "id int, z double"), "id")
+    with pytest.raises(ValueError, match="absent"):
+        tables.chromsizes(df([("chr1", 5)], "chrom string, length int"), ["chr1", "chrM"])
+    with pytest.raises(Exception, match="start below 1"):
+        df([(0,)], "s bigint").select(guards.zero_based(F.col("s"))).collect()
+
+
+def test_catalogs_of_all_kinds(spark, tmp_path):
+    import pyarrow as pa
+    import pyarrow.feather
+
+    want = [("chr1", 5, 9), ("chr2", 1, 4)]
+    (tmp_path / "a.csv").write_text("Chrom,start,END\nchr1,5,9\nchr2,1,4\n")
+    (tmp_path / "b.tsv").write_text("chrom\tstart\tend\tmore\nchr1\t5\t9\tx\nchr2\t1\t4\ty\n")
+    (tmp_path / "c.txt").write_text("chr1:5-9\n\nnothing\nchr2:1-4\n")
+    (tmp_path / "d.bed").write_text("chr1\t5\t9\nchr2\t1\t4\n")
+    spark.createDataFrame(want, "chrom string, start int, end int").write.parquet(f"{tmp_path}/e.parquet")
+    for name in ("a.csv", "b.tsv", "c.txt", "d.bed", "e.parquet"):
+        assert sorted(tuple(x) for x in tables.read_catalog(spark, f"{tmp_path}/{name}").collect()) == want, name
+    (tmp_path / "none.txt").write_text("x\n")
+    with pytest.raises(ValueError, match="no regions"):
+        tables.read_catalog(spark, f"{tmp_path}/none.txt")
+    (tmp_path / "l.tsv").write_text("target\tregion\timportance\trho\ng\tchr1:5-9\t0.5\tnan?\n")
+    assert [tuple(x) for x in tables.read_links(spark, f"{tmp_path}/l.tsv").collect()] == [("g", "chr1:5-9", 0.5, None)]
+    (tmp_path / "m.tsv").write_text("target\tregion\ng\tchr1:5-9\n")
+    with pytest.raises(ValueError, match="importance"):
+        tables.read_links(spark, f"{tmp_path}/m.tsv")
+    pyarrow.feather.write_feather(pa.table({"db__chr1:5-9": [1], "chr2:1-4": [2], "motifs": ["m"]}), f"{tmp_path}/wide.feather", compression="uncompressed")
+    pyarrow.feather.write_feather(pa.table({"m1": [1, 2], "regions": ["chr1:5-9", "chr2:1-4"]}), f"{tmp_path}/long.feather", compression="uncompressed")
+    pyarrow.feather.write_feather(pa.table({"GATA1": [1], "TP53": [2], "motifs": ["m"]}), f"{tmp_path}/genes.feather", compression="uncompressed")
+    for name in ("wide", "long"):
+        assert [x[0] for x in tables.read_feather_regions(spark, f"{tmp_path}/{name}.feather").collect()] == ["chr1:5-9", "chr2:1-4"]
+    with pytest.raises(ValueError, match="no regions"):
+        tables.read_feather_regions(spark, f"{tmp_path}/genes.feather")
+
+
+def test_sinks(spark, tmp_path):
+    regions = spark.createDataFrame([("a", "chr2", 1, 4), ("a", "chr1", 5, 9)], "grp string, chrom string, start int, end int")
+    counts = tables.write_region_sets(regions, spark.createDataFrame([("a",), ("b",)], "grp string"), f"{tmp_path}/sets")
+    assert counts == {"a": 2, "b": 0}
+    assert [x.read_text() for x in (tmp_path / "sets/grp=b").glob("*.txt")] == [""]
+    assert "".join(x.read_text() for x in (tmp_path / "sets/grp=a").glob("*.txt")) == "chr1\t5\t9\nchr2\t1\t4\n"
+    peaks = spark.createDataFrame([("chr1", 0, 10), ("chr2", 0, 10)], "chrom string, start bigint, end bigint")
+    one = tables.write_audit(intervals.audit(peaks, peaks.where("chrom = 'chr1'")), f"{tmp_path}/x")
+    assert one == {"n_peaks": 2, "n_representable": 1, "n_regions": 1}
+    assert spark.read.csv(f"{tmp_path}/x.per_peak.csv", header=True).where("best_db_region = 'NA'").count() == 1
+    assert spark.read.parquet(tables.write_table(peaks, str(tmp_path), "t")).count() == 2
+    links_ = spark.createDataFrame([("g1", "chr1:100-200", "B cell/x", 2.0, -0.5), ("g2", "chr1:100-200", "B cell/x", 1.0, 0.25)], "target string, region string, grp string, z double, rho double")
+    rows = tables.interact_rows(links_, spark.createDataFrame([("g1", "chr1:100-200", 50), ("g2", "chr1:100-200", 500)], "target string, region string, anchor bigint"), "grp", "z").orderBy("name").collect()
+    assert len(rows[0]) == 18 and [r["name"] for r in rows] == ["g1|z=2.0|rho=-0.50", "g2|z=1.0|rho=+0.25"]
+    assert [(r["chromStart"], r["chromEnd"], r["score"], r["exp"], r["color"]) for r in rows] == [(50, 151, 1000, "B_cell-x", "201,97,31"), (150, 501, 500, "B_cell-x", "31,111,180")]
+    assert tables.peak_rows(tables.interact_rows(links_, links_.select("target", "region", F.lit(5).cast("bigint").alias("anchor")), "grp", "z")).count() == 1
+
+
+def test_every_variable_has_a_place_in_topics(spark, monkeypatch):
+    """More variables than a vectorizer keeps by itself are all kept, and names meet their topics by a join."""
+    seen = []
+    init = topics.CountVectorizer.__init__
+    monkeypatch.setattr(topics.CountVectorizer, "__init__", lambda self, **k: seen.append(k["vocabSize"]) or init(self, **k))
+    cells = spark.createDataFrame([(o, f"v{o % 7}_{k}") for o in range(30) for k in range(5)], "obs_id int, var_id string")
+    words, model, _ = topics.fit_topics(cells, 2, iterations=2)
+    assert seen == [35] and len(words.vocabulary) == 35
+    top = topics.heaviest(model, words, 3).collect()
+    want = {t["topic"]: [words.vocabulary[i] for i in t["termIndices"]] for t in model.describeTopics(3).collect()}
+    assert {t["topic"]: t["vars"] for t in top} == want
+
+
 def test_bad_region_is_fatal(spark):
     df = spark.createDataFrame([("chr1:5-9",), ("x",)], "r string")
     with pytest.raises(Exception, match="bad region"):
