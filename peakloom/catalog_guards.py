@@ -79,10 +79,10 @@ def flag_lookup(spark, sf_dir):
     return f.groupBy("source").agg(F.count(F.lit(1)).alias("n"), F.count_if("toxic").alias("n_toxic"), F.count_if("absent").alias("n_absent"))
 
 
-@query("SELECT s_nationkey AS grp FROM supplier GROUP BY 1 HAVING count(*) >= 2")
+@query("SELECT c_nationkey AS grp FROM customer GROUP BY 1 HAVING count(*) >= 5")
 def usable_nations(spark, sf_dir):
-    s = c.table(spark, sf_dir, "supplier")
-    return guards.usable_groups(s.groupBy(F.col("s_nationkey").alias("grp")).agg(F.count(F.lit(1)).alias("n")), c.table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("grp")), 2)
+    s = c.table(spark, sf_dir, "customer").groupBy(F.col("c_nationkey").alias("grp")).agg(F.count(F.lit(1)).alias("n"))
+    return guards.usable_groups(s, c.table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("grp")), 5)
 
 
 @query("SELECT source, p_brand, count(*) AS n FROM (SELECT 'direct' AS source, p_brand FROM part WHERE p_size < 20 UNION ALL SELECT 'extended', p_brand FROM part WHERE p_size >= 10) GROUP BY ALL")
