@@ -112,3 +112,14 @@ def usable_groups(sizes: DataFrame, scored: DataFrame, least: int = 400) -> Data
 def tagged(frames: dict[str, DataFrame], tag: str = "source") -> DataFrame:
     """All frames, each row with the name of its frame; columns that a frame lacks are null."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), (df.withColumn(tag, F.lit(k)) for k, df in frames.items()))
+
+
+def peek(entries: DataFrame, obs: DataFrame) -> DataFrame:
+    """One row of shapes, without a value read: observations, rows of the matrix, variables, stored entries, and whether the
+    first names of both are equal.
+
+    entries (obs_id, var_id, ...); obs (obs_id, ...).
+    """
+    o = obs.agg(F.count(F.lit(1)).alias("n_obs"), F.min("obs_id").alias("_first"))
+    e = entries.agg(F.countDistinct("obs_id").alias("n_rows"), F.countDistinct("var_id").alias("n_vars"), F.count(F.lit(1)).alias("n_stored"), F.min("obs_id").alias("_own"))
+    return o.join(e).select("n_obs", "n_rows", "n_vars", "n_stored", (F.col("_first") == F.col("_own")).alias("first_equal"))  # one row each

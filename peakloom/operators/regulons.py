@@ -119,3 +119,11 @@ def families(members: DataFrame) -> DataFrame:
     """(family, n, members): families of which more than one member is there; members: (family, member)."""
     g = members.select("family", "member").distinct().groupBy("family").agg(F.count(F.lit(1)).alias("n"), F.array_join(F.array_sort(F.collect_list("member")), ",").alias("members"))
     return g.where("n > 1")
+
+
+def layers(parts: dict[str, DataFrame]) -> DataFrame:
+    """(layer, obs_id, feature, value): counts and signature areas as one long table, to be written partitioned by layer.
+
+    parts: name to (obs_id, feature, value); further columns go.
+    """
+    return reduce(DataFrame.unionByName, (df.select(F.lit(name).alias("layer"), "obs_id", "feature", F.col("value").cast("double").alias("value")) for name, df in parts.items()))
