@@ -8,9 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat_repair, decontaminate, fingerprints, license_scan, line_dedup, near_dedup, pii, quality_mil, secrets_scan
+from . import bpe, chat_repair, decontaminate, filter_audit, fingerprints, license_scan, line_dedup, near_dedup, packing, pii, quality_mil, secrets_scan, token_alignment
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
+BYTE_BPE, BYTE_RANKS, PIECES = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken", "piece_bpe_32k.model"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -66,8 +67,20 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan_licenses(_table(spark, sf_dir, "documents")).drop("template_spans")
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.align_tokens(_table(spark, sf_dir, "documents"), *map(public_tokenizers.path, (BYTE_BPE, BYTE_RANKS, PIECES)))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit_filters(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_table(spark, sf_dir, "documents"), *map(public_tokenizers.path, (BYTE_BPE, BYTE_RANKS)))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (op1_secret_scan, op2_line_dedup, op3_chat_repair, op4_near_dedup, op5_fingerprints, op6_pii, op7_decontamination, op8_quality, op9_bpe, op10_license_scan, fingerprint_links)
+    own = (op1_secret_scan, op2_line_dedup, op3_chat_repair, op4_near_dedup, op5_fingerprints, op6_pii, op7_decontamination, op8_quality, op9_bpe, op10_license_scan, op11_token_alignment, op12_filter_audit, op13_packing, fingerprint_links)
     return {f.__name__: f for f in own}
 
 
@@ -93,4 +106,4 @@ FROM k
 
 def oracle_sql() -> dict[str, str]:
     """SQL where it can express the operator within the time of a check."""
-    return {"op2_line_dedup": OP2_SQL}
+    return {"op2_line_dedup": OP2_SQL, "op12_filter_audit": filter_audit.OP12_SQL}
