@@ -242,7 +242,7 @@ def spearman_by_group(spark, sf_dir):
 _Z = f"{_RHO}, z AS (SELECT *, round(atanh(greatest(least(rho, 0.999999), -0.999999)) * sqrt(greatest(n - 3, 1)), 6) AS z FROM s)"
 
 
-@query(f"WITH {_Z} SELECT a, b, grp, round(z, 4) AS z FROM z")
+@query(f"WITH {_RHO} SELECT a, b, grp, round(atanh(greatest(least(rho, 0.999999), -0.999999)) * sqrt(greatest(n - 3, 1)), 4) AS z FROM s")
 def fisher_z(spark, sf_dir):
     r = _rho(spark, sf_dir)
     return r.select("a", "b", "grp", F.round(matrix.fisher_z(F.col("rho"), F.col("n")), 4).alias("z"))
@@ -605,4 +605,4 @@ def failure_log(spark, sf_dir):
     return runs.failures(c.table(spark, sf_dir, "events").select((F.col("user_id") % 9).alias("log"), i.alias("line_no"), line.alias("line")))
 
 
-from . import catalog_guards, catalog_models, catalog_profiles, catalog_regulons  # noqa: E402, F401  (they register their queries)
+from . import catalog_guards, catalog_models, catalog_profiles, catalog_regulons, catalog_topics  # noqa: E402, F401  (they register their queries)

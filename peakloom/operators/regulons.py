@@ -58,12 +58,8 @@ def assemble(cistrome: DataFrame, linked: DataFrame, least: int = 10) -> DataFra
     return g.where(F.col("n_targets") >= least)
 
 
-def running_enrichment(ranked: DataFrame, sets: DataFrame) -> DataFrame:
-    """(set, n_hits, score): the largest deviation of the weighted running sum of each set down a ranked list.
-
-    ranked: (item, weight), ranked by weight, ties by item; sets: (set, item). Between hits the sum falls evenly, so its
-    extremes lie just before and at hits: only hits are computed. A set without weight, or of all items, has no score.
-    """
+def places(ranked: DataFrame) -> DataFrame:
+    """(item, weight, place): places from 1 down a ranked list (item, weight), by weight, ties by item."""
     # Places in the list in two levels: a range-partitioned sort would do; counts per weight keep the window small.
     per = ranked.groupBy("weight").agg(F.count(F.lit(1)).alias("m"))
     bucket = F.floor(F.log2(F.abs("weight") + 1) * 64) * F.signum("weight")
@@ -73,15 +69,30 @@ def running_enrichment(ranked: DataFrame, sets: DataFrame) -> DataFrame:
     heads = heads.select("b", F.coalesce(F.sum("bm").over(Window.orderBy(F.desc("b")).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("ahead"))
     start = per.withColumn("inside", F.coalesce(F.sum("m").over(up), F.lit(0))).join(heads, "b").select("weight", (F.col("inside") + F.col("ahead")).alias("start"))
     tie = F.row_number().over(Window.partitionBy("weight").orderBy("item"))
-    place = ranked.withColumn("_t", tie).join(start, "weight").select("item", "weight", (F.col("start") + F.col("_t")).alias("place"))
-    n = F.broadcast(ranked.agg(F.count(F.lit(1)).alias("n")))  # one row
-    w = Window.partitionBy("set")
-    hit = sets.join(place, "item").join(n).withColumns({"i": F.row_number().over(w.orderBy("place")), "h": F.count(F.lit(1)).over(w), "all": F.sum(F.abs("weight")).over(w), "sum": F.sum(F.abs("weight")).over(w.orderBy("place").rowsBetween(Window.unboundedPreceding, 0))})
+    return ranked.withColumn("_t", tie).join(start, "weight").select("item", "weight", (F.col("start") + F.col("_t")).alias("place"))
+
+
+def walk(hits: DataFrame, n: DataFrame, by: list[str]) -> DataFrame:
+    """(by, n_hits, score): the largest deviation of the weighted running sum over the hits (by, weight, place) of each group.
+
+    n: one row (n), the length of the list. Between hits the sum falls evenly, so its extremes lie just before and at
+    hits: only hits are computed. A set without weight, or of all items, has no score.
+    """
+    w = Window.partitionBy(*by)
+    hit = hits.join(F.broadcast(n)).withColumns({"i": F.row_number().over(w.orderBy("place")), "h": F.count(F.lit(1)).over(w), "all": F.sum(F.abs("weight")).over(w), "sum": F.sum(F.abs("weight")).over(w.orderBy("place").rowsBetween(Window.unboundedPreceding, 0))})
     fall = F.try_divide(F.col("place") - F.col("i"), F.col("n") - F.col("h"))
     at = F.try_divide("sum", "all") - fall
     before = F.try_divide(F.col("sum") - F.abs("weight"), F.col("all")) - fall
-    g = hit.groupBy("set").agg(F.count(F.lit(1)).alias("n_hits"), F.max(at).alias("hi"), F.min(before).alias("lo"))
-    return g.select("set", "n_hits", F.when(F.col("hi") >= -F.col("lo"), F.col("hi")).otherwise(F.col("lo")).alias("score"))
+    g = hit.groupBy(*by).agg(F.count(F.lit(1)).alias("n_hits"), F.max(at).alias("hi"), F.min(before).alias("lo"))
+    return g.select(*by, "n_hits", F.when(F.col("hi") >= -F.col("lo"), F.col("hi")).otherwise(F.col("lo")).alias("score"))
+
+
+def running_enrichment(ranked: DataFrame, sets: DataFrame) -> DataFrame:
+    """(set, n_hits, score): the largest deviation of the weighted running sum of each set down a ranked list.
+
+    ranked: (item, weight), ranked by weight, ties by item; sets: (set, item).
+    """
+    return walk(sets.join(places(ranked), "item"), ranked.agg(F.count(F.lit(1)).alias("n")), ["set"])
 
 
 def differential(scores: DataFrame, sets: DataFrame, promoters: DataFrame, background: int = 500, hit: float = 3.0) -> DataFrame:
