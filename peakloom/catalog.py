@@ -326,7 +326,7 @@ def tss_anchor(spark, sf_dir):
     return links.anchors(c.links(spark, sf_dir), _tss(spark, sf_dir).select("target", "row_idx", "tss"))
 
 
-@query(f"WITH l AS ({c.LINKS_SQL}), k AS (SELECT *, row_number() OVER (PARTITION BY target ORDER BY importance DESC, region, target) AS k FROM l), s AS (SELECT * FROM k WHERE k <= 30) SELECT target, region, CAST(round_even(importance / max(importance) OVER (PARTITION BY target) * 1000, 0) AS INTEGER) AS score, CASE WHEN rho > 0 THEN '#B2182B' WHEN rho < 0 THEN '#2166AC' ELSE '#888888' END AS color FROM s")
+@query(f"WITH l AS ({c.LINKS_SQL}), k AS (SELECT *, row_number() OVER (PARTITION BY target ORDER BY importance DESC, region, target) AS k FROM l), s AS (SELECT * FROM k WHERE k <= 30) SELECT target, region, CAST(round_even(importance / max(importance) OVER (PARTITION BY target) * 1000, 0) AS INTEGER) AS score, CASE WHEN rho > 0 THEN '31,111,180' ELSE '201,97,31' END AS color FROM s")
 def links_interact(spark, sf_dir):
     l = c.links(spark, sf_dir).withColumn("g", F.col("target"))
     return links.interact(l, "g", "importance", 30).drop("g")
@@ -564,9 +564,21 @@ def shared_keys(spark, sf_dir):
 # --- controls and runs -------------------------------------------------------------------------------------------
 
 
-@query()
+def _pairs_sql(stratum: str, x: str) -> str:
+    """CTEs up to `m` (stratum, lost, got): the greedy matches, one dropped row of each stratum a step."""
+    return f"""p AS (SELECT {stratum} AS stratum, p_partkey AS id, CAST({x} AS DOUBLE) AS x, p_partkey % 3 = 0 AS dropped, p_retailprice AS y FROM part),
+k AS (SELECT stratum, list(x ORDER BY x, id) AS xs, list(id ORDER BY x, id) AS ids FROM p WHERE NOT dropped GROUP BY 1),
+d AS (SELECT stratum, id, x, len(list_filter(xs, lambda v: v < x)) AS pos, row_number() OVER (PARTITION BY stratum ORDER BY md5(CAST(id AS VARCHAR)), id) AS n FROM p JOIN k USING (stratum) WHERE dropped),
+r AS (SELECT stratum, CAST(0 AS BIGINT) AS n, CAST([] AS BIGINT[]) AS used, CAST(NULL AS BIGINT) AS lost, CAST(NULL AS BIGINT) AS got FROM k UNION ALL
+ SELECT stratum, n, CASE WHEN ok THEN list_append(used, b.i) ELSE used END, id, CASE WHEN ok THEN ids[b.i + 1] END FROM (SELECT *, b.i IS NOT NULL AND (x <= 0 OR b.d <= 0.02 * x) AS ok FROM (
+  SELECT r.stratum, d.n, r.used, d.id, d.x, k.ids, list_sort(list_transform(list_filter(range(greatest(0, pos - 40), least(len(xs), pos + 40)), lambda i: NOT list_contains(used, i)), lambda i: {{'d': abs(xs[i + 1] - d.x), 'i': i}}))[1] AS b
+  FROM r JOIN d ON d.stratum = r.stratum AND d.n = r.n + 1 JOIN k ON k.stratum = r.stratum))),
+m AS (SELECT stratum, lost, got FROM r WHERE got IS NOT NULL)"""
+
+
+@query(f"WITH RECURSIVE {_pairs_sql('p_brand', 'p_size')} SELECT m.stratum, count(*) AS n_pairs, round(avg(a.y - b.y), 6) AS effect FROM m JOIN p a ON a.id = lost JOIN p b ON b.id = got GROUP BY m.stratum")
 def matched_pairs(spark, sf_dir):
-    """Effect of a class on price in pairs matched on size, per brand: 2 U / (n1 n2) - 1 is left to `auroc`."""
+    """Mean difference of price in pairs matched on size, per brand; the rank effect is `matched_effect`."""
     p = c.table(spark, sf_dir, "part").select(F.col("p_brand").alias("stratum"), F.col("p_partkey").alias("id"), F.col("p_size").alias("x"), (F.col("p_partkey") % 3 == 0).alias("is_dropped"), F.col("p_retailprice").alias("y"))
     pairs = controls.greedy_pairs(p.drop("y"))
     y = p.select("id", "y")
@@ -574,6 +586,17 @@ def matched_pairs(spark, sf_dir):
     return both.groupBy("stratum").agg(F.count(F.lit(1)).alias("n_pairs"), r6(F.avg(F.col("yd") - F.col("yk")), "effect"))
 
 
+@query(f"""WITH RECURSIVE {_pairs_sql('p_size % 3', 'p_retailprice % 97 + 1')}, q AS (SELECT p.* FROM m JOIN p ON p.id IN (lost, got)), n AS (SELECT stratum, count(*) FILTER (WHERE dropped) AS n_pairs, median(x) FILTER (WHERE dropped) / median(x) FILTER (WHERE NOT dropped) AS x_ratio FROM q GROUP BY 1 HAVING count(*) FILTER (WHERE dropped) >= 100),
+k2 AS (SELECT stratum, dropped, rank() OVER (PARTITION BY stratum ORDER BY y) + (count(*) OVER (PARTITION BY stratum, y) - 1) / 2 AS r FROM q), t AS (SELECT stratum, sum(c * c * c - c) AS ties FROM (SELECT stratum, y, CAST(count(*) AS DOUBLE) AS c FROM q GROUP BY ALL) GROUP BY 1),
+u AS (SELECT stratum, CAST(count(*) FILTER (WHERE dropped) AS DOUBLE) AS a, CAST(count(*) FILTER (WHERE NOT dropped) AS DOUBLE) AS b, sum(r) FILTER (WHERE dropped) AS s FROM k2 GROUP BY 1)
+SELECT stratum, n_pairs, round(2 * (s - a * (a + 1) / 2) / (a * b) - 1, 6) AS effect, round((s - a * (a + 1) / 2 - a * b / 2) / sqrt(a * b / 12 * (a + b + 1 - ties / ((a + b) * (a + b - 1)))), 5) AS z, round(x_ratio, 6) AS x_ratio FROM n JOIN u USING (stratum) JOIN t USING (stratum)""")
+def matched_effect(spark, sf_dir):
+    """Rank effect on price of pairs matched on another number, in strata with a hundred pairs or more."""
+    p = c.table(spark, sf_dir, "part")
+    rows = p.select((F.col("p_size") % 3).alias("stratum"), F.col("p_partkey").alias("id"), (F.col("p_retailprice") % 97 + 1).alias("x"), (F.col("p_partkey") % 3 == 0).alias("is_dropped"), F.col("p_retailprice").alias("y"))
+    return controls.matched_effect(rows, least=100).withColumns({"effect": F.round("effect", 6), "z": F.round("z", 5), "x_ratio": F.round("x_ratio", 6)})
+
+
 @query()
 def decoy_null(spark, sf_dir):
     """Markers at every variable's place: nearby variables against decoys, the target being the day's total."""

@@ -167,10 +167,9 @@ def _arcs(spark, sf_dir):
 _ARCS = f"""WITH a AS ({_ANCHORED}), l AS ({c.LINKS_SQL}), j AS (SELECT l.*, anchor, 'a_b-' || CAST(importance % 3 AS INTEGER) AS exp, regexp_extract(region, '^(.*):', 1) AS ch, CAST(regexp_extract(region, ':([0-9]+)-', 1) AS BIGINT) AS s, CAST(regexp_extract(region, '-([0-9]+)$', 1) AS BIGINT) AS e FROM l JOIN a USING (target, region)), k AS (SELECT *, row_number() OVER (PARTITION BY exp ORDER BY importance DESC, region, target) AS k FROM j), x AS (SELECT *, CAST(round_even(importance / max(importance) OVER (PARTITION BY exp) * 1000, 0) AS INTEGER) AS score, (s + e) // 2 AS mid FROM k WHERE k <= 200)"""
 
 
-@query(f"""{_ARCS} SELECT ch AS chrom, least(mid, anchor) AS "chromStart", greatest(mid, anchor) + 1 AS "chromEnd", target || printf('|z=%.1f', importance) AS name, score, importance AS value, exp, CASE WHEN rho > 0 THEN '31,111,180' ELSE '201,97,31' END AS color, ch AS "sourceChrom", s AS "sourceStart", e AS "sourceEnd", region AS "sourceName", '.' AS "sourceStrand", ch AS "targetChrom", anchor AS "targetStart", anchor + 1 AS "targetEnd", target AS "targetName", '.' AS "targetStrand" FROM x""")
+@query(f"""{_ARCS} SELECT ch AS chrom, least(mid, anchor) AS "chromStart", greatest(mid, anchor) + 1 AS "chromEnd", target || printf('|z=%.1f', importance) || coalesce(printf('|rho=%+.2f', CAST(round(CAST(rho AS DECIMAL(12, 6)), 2) AS DOUBLE)), '|rho=nan') AS name, score, importance AS value, exp, CASE WHEN rho > 0 THEN '31,111,180' ELSE '201,97,31' END AS color, ch AS "sourceChrom", s AS "sourceStart", e AS "sourceEnd", region AS "sourceName", '.' AS "sourceStrand", ch AS "targetChrom", anchor AS "targetStart", anchor + 1 AS "targetEnd", target AS "targetName", '.' AS "targetStrand" FROM x""")
 def interact_export(spark, sf_dir):
-    """The 18 columns; the sign of rho in the name is left to a test, as engines round halves of text apart."""
-    return _arcs(spark, sf_dir).withColumn("name", F.regexp_extract("name", r"^(.*)\|rho", 1))
+    return _arcs(spark, sf_dir)
 
 
 @query(f"{_ARCS} SELECT exp, ch AS chrom, s AS start, e AS \"end\", min(region) AS name, max(score) AS score, '.' AS strand FROM x GROUP BY exp, ch, s, e")

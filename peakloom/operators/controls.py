@@ -10,15 +10,36 @@ from pyspark.sql import functions as F
 from ..functions import stats
 
 
+def components_by_gap(df: DataFrame, tol: float, window: int) -> DataFrame:
+    """df (stratum, x, is_dropped, ...) with `part`: rows of different parts can't be matched within tol, relatively.
+
+    Values fall in buckets that are tol wide; where a bucket is empty, no dropped row on one side is within tol of a kept
+    one on the other. A dropped row that is not positive takes any of its neighbours, so the least of the kept ones,
+    `window` of them, stay in its part. Only buckets are sorted, never rows.
+    """
+    bucket = F.when(F.col("x") > 0, F.floor(F.log("x") / -(F.log(F.lit(1 - tol)) * (1 + 1e-9)))).cast("bigint")
+    rows = df.withColumn("_b", bucket)
+    low = rows.where(~F.col("is_dropped") & F.col("_b").isNotNull()).withColumn("_k", F.row_number().over(Window.partitionBy("stratum").orderBy("x"))).where(F.col("_k") <= window)
+    free = rows.where(F.col("is_dropped") & F.col("_b").isNull()).select("stratum").distinct()
+    reach = low.join(free, "stratum", "left_semi").groupBy("stratum").agg(F.max("_b").alias("_reach"))
+    seen = rows.where(F.col("_b").isNotNull()).select("stratum", "_b").distinct().join(reach, "stratum", "left")
+    up = Window.partitionBy("stratum").orderBy("_b")
+    cut = (F.col("_b") - F.lag("_b").over(up) > 1) & F.coalesce(F.col("_b") > F.col("_reach"), F.lit(True))
+    parts = seen.withColumn("_cut", F.coalesce(cut, F.lit(False)).cast("int")).select("stratum", "_b", F.sum("_cut").over(up).alias("part"))
+    # What is not positive goes with the least positive values: part 0.
+    return rows.join(parts, ["stratum", "_b"], "left").withColumn("part", F.coalesce("part", F.lit(0))).drop("_b")
+
+
 def greedy_pairs(df: DataFrame, tol: float = 0.02, window: int = 40) -> DataFrame:
     """(stratum, dropped, kept): one-to-one matches on a covariate, without replacement; df: (stratum, id, x, is_dropped).
 
-    Dropped rows come in the order of their id's hash; each takes the nearest unused kept row among `window` sorted
+    Dropped rows come in the order of their id's md5; each takes the nearest unused kept row among `window` sorted
     neighbours on either side, if their difference is at most tol times its own x (any, where that is not positive).
-    Sequential by nature: a stratum is one task and holds two numbers a row. Rows with a null or NaN x take no part.
+    Sequential by nature, but only among rows that gaps of x don't part: such a part of a stratum is one task and holds
+    two numbers a row. Rows with a null or NaN x take no part.
     """
     ids = df.schema["id"].dataType.simpleString()
-    ready = df.where(F.col("x").isNotNull() & ~F.isnan("x")).select("stratum", "id", F.col("x").cast("double").alias("x"), "is_dropped", F.xxhash64("id").alias("h"))
+    ready = df.where(F.col("x").isNotNull() & ~F.isnan("x")).select("stratum", "id", F.col("x").cast("double").alias("x"), "is_dropped", F.md5(F.col("id").cast("string")).alias("h"))
 
     def match(pdf: pd.DataFrame) -> pd.DataFrame:
         kept = pdf[~pdf["is_dropped"]].sort_values(["x", "id"])
@@ -35,7 +56,21 @@ def greedy_pairs(df: DataFrame, tol: float = 0.02, window: int = 40) -> DataFram
             pairs.append((pdf["stratum"].iloc[0], i, kept["id"].iloc[chosen]))
         return pd.DataFrame(pairs, columns=["stratum", "dropped", "kept"])
 
-    return ready.groupBy("stratum").applyInPandas(match, f"stratum {df.schema['stratum'].dataType.simpleString()}, dropped {ids}, kept {ids}")
+    kind = df.schema["stratum"].dataType.simpleString()
+    return components_by_gap(ready, tol, window).groupBy("stratum", "part").applyInPandas(match, f"stratum {kind}, dropped {ids}, kept {ids}")
+
+
+def matched_effect(df: DataFrame, tol: float = 0.02, window: int = 40, least: int = 200) -> DataFrame:
+    """(stratum, n_pairs, effect, z, x_ratio) of strata with `least` matched pairs: the rank effect of dropped against kept
+    on y, and the ratio of their medians of x, which shows how well they match; df: (stratum, id, x, is_dropped, y)."""
+    pairs = greedy_pairs(df.drop("y"), tol, window)
+    own = df.select("stratum", "id", F.col("x").cast("double").alias("cov"), F.col("y").cast("double").alias("y"))
+    side = lambda c, dropped: pairs.select("stratum", F.col(c).alias("id")).join(own, ["stratum", "id"]).withColumn("is_dropped", F.lit(dropped))
+    both = side("dropped", True).unionByName(side("kept", False))
+    middle = lambda test: F.median(F.when(test, F.col("cov")))
+    held = both.groupBy("stratum").agg(F.count_if("is_dropped").alias("n_pairs"), F.try_divide(middle(F.col("is_dropped")), middle(~F.col("is_dropped"))).alias("x_ratio")).where(F.col("n_pairs") >= least)
+    effect = rank_biserial(both.select("stratum", F.col("y").alias("x"), "is_dropped"))
+    return held.join(effect, "stratum").select("stratum", "n_pairs", "effect", "z", "x_ratio")
 
 
 def decoy_null(markers: DataFrame, features: DataFrame, entries: DataFrame, targets: DataFrame, obs: DataFrame, window: int, draws: int = 30) -> DataFrame:

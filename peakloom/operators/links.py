@@ -23,6 +23,10 @@ def group_of_metacell(name: Column) -> Column:
     return F.regexp_extract(name, r"^(.*)_mc[^_]*$", 1)
 
 
+# Colours of positive and of other links.
+POSITIVE, NEGATIVE = "31,111,180", "201,97,31"
+
+
 def safe_name(name: Column, browser: bool = False) -> Column:
     return F.translate(name, " /", "_-") if browser else F.regexp_replace(name, r"[^0-9A-Za-z_.-]+", "_")
 
@@ -81,7 +85,7 @@ def anchors(links: DataFrame, sites: DataFrame) -> DataFrame:
 
 
 def interact(links: DataFrame, group: str, z: str, n: int = 50000) -> DataFrame:
-    """Browser rows: the top n of a group by z, score 0-1000 relative to the group's largest z, colour by sign of rho."""
+    """Browser rows: the top n of a group by z, score 0-1000 relative to the group's largest z, colour as r,g,b by sign of rho."""
     top = top_per(links, group, [F.desc(z), F.asc("region"), F.asc("target")], n)
     score = F.least(F.greatest(F.bround(F.col(z) / F.max(z).over(Window.partitionBy(group)) * 1000), F.lit(0.0)), F.lit(1000.0)).cast("int")
-    return top.select("target", "region", F.col(group), score.alias("score"), F.when(F.col("rho") > 0, "#B2182B").when(F.col("rho") < 0, "#2166AC").otherwise("#888888").alias("color"))
+    return top.select("target", "region", F.col(group), score.alias("score"), F.when(F.col("rho") > 0, POSITIVE).otherwise(NEGATIVE).alias("color"))

@@ -88,9 +88,9 @@ def benjamini_hochberg(df: DataFrame, p: str, by: list[str], out: str = "q") ->
     """q per group: the running minimum, from the largest p, of p n / rank; clipped to 0..1. Ties of p share the least.
 
     Equal p are counted first; ranks and running minima then go in two levels, inside buckets of the logarithm of p and
-    over the buckets of a group, which are at most 64 for each power of two: no group is one task. A null p has no q.
+    over the buckets of a group, which are at most 64 for each power of two: no group is one task. A p that is null or NaN is no test and has no q.
     """
-    v = df.where(F.col(p).isNotNull()).groupBy(*by, F.col(p).alias("_p")).agg(F.count(F.lit(1)).alias("_m"))
+    v = df.where(F.col(p).isNotNull() & ~F.isnan(F.col(p))).groupBy(*by, F.col(p).alias("_p")).agg(F.count(F.lit(1)).alias("_m"))
     v = v.withColumn("_b", F.when(F.col("_p") <= 0, 1 << 20).otherwise(F.floor(-F.log2("_p") * 64)).cast("int"))
     inside, over = Window.partitionBy(*by, "_b"), Window.partitionBy(*by)
     upto = F.sum("_m").over(inside.orderBy("_p").rowsBetween(Window.unboundedPreceding, 0))

@@ -9,12 +9,11 @@ from pyspark.sql import functions as F
 
 from ..operators.intervals import parse
 from ..operators.labels import require_columns
-from ..operators.links import safe_name, top_per
+from ..operators.links import NEGATIVE, POSITIVE, safe_name, top_per
 from .text import bed_lines
 
-# Columns of a link table, colours of positive and negative links.
+# Columns of a link table.
 LINK_COLUMNS = ("target", "region", "importance", "rho")
-POSITIVE, NEGATIVE = "31,111,180", "201,97,31"
 
 
 def three_spellings(name: Column) -> Column:
@@ -69,25 +68,6 @@ def chromsizes(sizes: DataFrame, wanted: list[str]) -> DataFrame:
     return sizes.where(F.col("chrom").isin(wanted)).select(F.col("chrom").alias("Chromosome"), F.lit(0).cast("bigint").alias("Start"), F.col("length").cast("bigint").alias("End"))
 
 
-def read_feather_regions(spark: SparkSession, path: str) -> DataFrame:
-    """(region) of a ranking database, from the schema of its Arrow file; only where regions are rows, from that one column.
-
-    Read by Spark as a binary file, so that any store will do. A prefix up to a double underscore is cut; a database of
-    genes, whose names do not look like regions, is refused.
-    """
-    import pyarrow as pa
-
-    raw = spark.read.format("binaryFile").load(path).select("content").first()["content"]
-    file = pa.ipc.open_file(pa.BufferReader(bytes(raw)))
-    names = file.schema.names
-    ids = file.read_all().column("regions").to_pylist() if "regions" in names else [x for x in names if x not in ("motifs", "tracks")]
-    ids = [x.split("__", 1)[1] if "__" in x else x for x in ids]
-    out = spark.createDataFrame([(x,) for x in dict.fromkeys(ids)], "region string")
-    if not ids or not out.limit(100).where(three_spellings(F.col("region")).isNotNull()).count():
-        raise ValueError(f"{path} holds no regions")
-    return out
-
-
 def audit_rows(audit: DataFrame) -> DataFrame:
     """The audit as it is written: ids, widths, fractions to six places, NA where nothing overlaps, flags as 0 and 1."""
     six = lambda c: F.format_string("%.6f", F.bround(c, 6))
@@ -112,7 +92,8 @@ def interact_rows(links: DataFrame, anchored: DataFrame, group: str, z: str, n:
     """The 18 columns of the interact format and the group, for the n strongest links of a group.
 
     links: (target, region, group, z, rho); anchored: (target, region, anchor). The arc spans from the region's middle to
-    the anchor; scores are 0 to 1000 of the group's largest z; the colour is that of the sign of rho.
+    the anchor; scores are 0 to 1000 of the group's largest z; the colour is that of the sign of rho. Halves of rho's
+    decimals are rounded away from zero in the name; an undefined rho is written nan.
     """
     top = top_per(links.join(anchored.select("target", "region", "anchor"), ["target", "region"]), group, [F.desc(z), F.asc("region"), F.asc("target")], n)
     top = top.withColumn("_p", parse(F.col("region"))).where("_p is not null")
@@ -121,7 +102,7 @@ def interact_rows(links: DataFrame, anchored: DataFrame, group: str, z: str, n:
     dot = F.lit(".")
     return top.select(
         F.col("_p.chrom").alias("chrom"), F.least(mid, "anchor").alias("chromStart"), (F.greatest(mid, F.col("anchor")) + 1).alias("chromEnd"),
-        F.concat("target", F.format_string("|z=%.1f|rho=%+.2f", F.col(z), F.col("rho"))).alias("name"), score.alias("score"), F.round(z, 3).alias("value"), safe_name(F.col(group).cast("string"), True).alias("exp"),
+        F.concat("target", F.format_string("|z=%.1f", F.col(z)), F.coalesce(F.when(F.col("rho").isNotNull(), F.format_string("|rho=%+.2f", F.col("rho"))), F.lit("|rho=nan"))).alias("name"), score.alias("score"), F.round(z, 3).alias("value"), safe_name(F.col(group).cast("string"), True).alias("exp"),
         F.when(F.col("rho") > 0, POSITIVE).otherwise(NEGATIVE).alias("color"),
         F.col("_p.chrom").alias("sourceChrom"), F.col("_p.start").alias("sourceStart"), F.col("_p.end").alias("sourceEnd"), F.col("region").alias("sourceName"), dot.alias("sourceStrand"),
         F.col("_p.chrom").alias("targetChrom"), F.col("anchor").alias("targetStart"), (F.col("anchor") + 1).alias("targetEnd"), F.col("target").alias("targetName"), dot.alias("targetStrand"),
@@ -134,24 +115,6 @@ def peak_rows(interact: DataFrame) -> DataFrame:
     return g.select("exp", F.col("sourceChrom").alias("chrom"), F.col("sourceStart").alias("start"), F.col("sourceEnd").alias("end"), "name", "score", F.lit(".").alias("strand"))
 
 
-def write_region_sets(regions: DataFrame, groups: DataFrame, path: str, group: str = "grp") -> dict:
-    """BED3 of each group's regions, by place, one folder a group, replacing what was there; the number of lines of each.
-
-    A group without regions gets an empty file. Groups are few: their names and counts come to the driver.
-    """
-    line = F.concat_ws("\t", "chrom", F.col("start").cast("string"), F.col("end").cast("string"))
-    rows = regions.repartition(group).sortWithinPartitions(group, "chrom", "start", "end")
-    rows.select(group, line.alias("value")).write.mode("overwrite").partitionBy(group).text(path)
-    every = groups.select(group).distinct().join(regions, group, "left").groupBy(group).agg(F.count("chrom").alias("n"))
-    counts = {r[group]: r["n"] for r in every.collect()}
-    spark = regions.sparkSession
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    for name in (g for g, n in counts.items() if not n):
-        at = jvm.org.apache.hadoop.fs.Path(f"{path}/{group}={name}/part-empty.txt")
-        at.getFileSystem(conf).create(at).close()
-    return counts
-
-
 def write_table(df: DataFrame, folder: str, stem: str) -> str:
     """df as Parquet at {folder}/{stem}.parquet, replacing what was there; the path."""
     path = f"{folder}/{stem}.parquet"

@@ -93,5 +93,9 @@ def bedgraph(track: DataFrame, value: str) -> DataFrame:
 
 
 def write_groups(lines: DataFrame, path: str, group: str = "grp") -> None:
-    """One folder of text a group, replacing what was there."""
-    lines.select(group, F.col("line").alias("value")).repartition(group).sortWithinPartitions("value").write.mode("overwrite").partitionBy(group).text(path)
+    """One folder of text a group, by place, replacing what was there; lines: (group, line), which begin with a place."""
+    from .tracks import folders, write_sorted
+
+    p = F.split("line", "\t")
+    placed = folders(lines, group).withColumns({"_chrom": p[0], "_start": p[1].try_cast("bigint"), "_end": p[2].try_cast("bigint")})
+    write_sorted(placed, F.col("line"), path, [group], ["_chrom", "_start", "_end", "line"])

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from peakloom import catalog
 from peakloom.functions import stats
 from peakloom.operators import controls, draws, guards, intervals, labels, links, matrix, pairing, profiles, regulons, runs, topics
-from peakloom.sources import tables, text
+from peakloom.sources import footers, tables, text, tracks
 from peakloom.streaming import sums
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -134,14 +134,14 @@ def test_catalogs_of_all_kinds(spark, tmp_path):
     pyarrow.feather.write_feather(pa.table({"m1": [1, 2], "regions": ["chr1:5-9", "chr2:1-4"]}), f"{tmp_path}/long.feather", compression="uncompressed")
     pyarrow.feather.write_feather(pa.table({"GATA1": [1], "TP53": [2], "motifs": ["m"]}), f"{tmp_path}/genes.feather", compression="uncompressed")
     for name in ("wide", "long"):
-        assert [x[0] for x in tables.read_feather_regions(spark, f"{tmp_path}/{name}.feather").collect()] == ["chr1:5-9", "chr2:1-4"]
+        assert [x[0] for x in footers.read_database_regions(spark, f"{tmp_path}/{name}.feather").orderBy("region").collect()] == ["chr1:5-9", "chr2:1-4"]
     with pytest.raises(ValueError, match="no regions"):
-        tables.read_feather_regions(spark, f"{tmp_path}/genes.feather")
+        footers.read_database_regions(spark, f"{tmp_path}/genes.feather")
 
 
 def test_sinks(spark, tmp_path):
     regions = spark.createDataFrame([("a", "chr2", 1, 4), ("a", "chr1", 5, 9)], "grp string, chrom string, start int, end int")
-    counts = tables.write_region_sets(regions, spark.createDataFrame([("a",), ("b",)], "grp string"), f"{tmp_path}/sets")
+    counts = tracks.write_region_sets(regions, spark.createDataFrame([("a",), ("b",)], "grp string"), f"{tmp_path}/sets")
     assert counts == {"a": 2, "b": 0}
     assert [x.read_text() for x in (tmp_path / "sets/grp=b").glob("*.txt")] == [""]
     assert "".join(x.read_text() for x in (tmp_path / "sets/grp=a").glob("*.txt")) == "chr1\t5\t9\nchr2\t1\t4\n"
