@@ -9,6 +9,7 @@ own library; chunks that begin or end with other white space are never kept.
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Callable
 
 import numpy as np
@@ -23,51 +24,73 @@ _cut = re.compile(r"(?<=\S)(?= \S)").split
 
 
 class ChunkCoder:
-    """make(chunks) -> the ids of each chunk, a list of ints; chunks of white space alone or around are given whole."""
+    """make(chunks) -> the ids of each chunk, a list of ints; several vocabularies share one split of a text.
 
-    def __init__(self, make: Callable[[list[str]], list[list[int]]]) -> None:
-        self.make = make
-        self.known: dict[str, bytes] = {}  # of chunks without their blank
-
-    def _ids(self, chunks: list[str]) -> list[bytes]:
-        return [np.array(x, "<u4").tobytes() for x in self.make(chunks)]
+    tokens: the bytes of each vocabulary's ids, where it is to be known which texts are the joined bytes of their tokens.
+    """
 
-    def encode(self, texts: list[str], after_blank: bool) -> list[bytes]:
-        """Ids of each text as little-endian unsigned 32-bit integers; after_blank: of a blank and the text."""
-        if len(self.known) > CACHE_CHUNKS:
-            self.known.clear()
-        known, split, heads = self.known, [], []
-        for t in texts:
-            parts = t.split(" ")
-            if after_blank:
-                heads.append(None)
-            else:
-                heads.append(parts[0])
-                parts = parts[1:]
-            split.append(parts)
-        new = list({p for x in split for p in x if p not in known})
+    def __init__(self, *makes: Callable[[list[str]], list[list[int]]], tokens: list[list[bytes]] | None = None) -> None:
+        self.makes, self.tokens = makes, tokens
+        self.known: list[dict[str, bytes]] = [{} for _ in makes]  # of chunks without their blank
+        self.unsound: set[str] = set()  # known chunks that are not the joined bytes of their tokens
+
+    def _ids(self, chunks: list[str]) -> list[list[bytes]]:
+        """The ids of each chunk by each vocabulary, as little-endian unsigned 32-bit integers."""
+        return [[array("I", x).tobytes() for x in make(chunks)] for make in self.makes]
+
+    def joined(self, number: int, ids: bytes) -> bytes:
+        return b"".join(map(self.tokens[number].__getitem__, np.frombuffer(ids, "<u4").tolist()))
+
+    def _learn(self, split: list[list[str]]) -> set[str]:
+        """Makes the chunks known; those are returned that begin or end with white space, which never are."""
+        if len(self.known[0]) > CACHE_CHUNKS:
+            for k in self.known:
+                k.clear()
+            self.unsound.clear()
+        known = self.known[0]
+        new = {p for x in split for p in x if p not in known}
         odd = {p for p in new if not p or p[0].isspace() or p[-1].isspace()}
-        new = [p for p in new if p not in odd]
-        known.update(zip(new, self._ids([" " + p for p in new])))
-        out, slow = [], []
+        new = list(new - odd)
+        got = self._ids([" " + p for p in new])
+        for k, ids in zip(self.known, got):
+            k.update(zip(new, ids))
+        if self.tokens:
+            for number, ids in enumerate(got):
+                self.unsound.update(p for p, x in zip(new, ids) if self.joined(number, x) != (" " + p).encode("utf-8", "surrogatepass"))
+        return odd
+
+    def encode_all(self, texts: list[str], after_blank: bool) -> tuple[list[list[bytes]], list[bool]]:
+        """The ids of each text by each vocabulary, and whether it is surely the joined bytes of its tokens (False: it has
+        to be looked at); after_blank: of a blank and the text."""
+        split = [t.split(" ") for t in texts]
+        heads = [None if after_blank else parts.pop(0) for parts in split]
+        odd = self._learn(split)
+        out: list[list[bytes]] = [[b""] * len(texts) for _ in self.makes]
+        sure, first = [False] * len(texts), []
         for i, (head, parts) in enumerate(zip(heads, split)):
             if (odd and not odd.isdisjoint(parts)) or (head is not None and (not head or head[0].isspace() or head[-1].isspace())):
-                slow.append(i)
-                out.append(b"")
-            else:
-                out.append(b"".join(map(known.__getitem__, parts)))
-        first = [i for i, h in enumerate(heads) if h and out[i] is not None and i not in set(slow)]
-        for i, ids in zip(first, self._ids([heads[i] for i in first])):
-            out[i] = ids + out[i]
-        for i in slow:
-            out[i] = self._slow(" " + texts[i] if after_blank else texts[i])
-        return out
+                for o, ids in zip(out, self._slow(" " + texts[i] if after_blank else texts[i])):
+                    o[i] = ids
+                continue
+            for o, known in zip(out, self.known):
+                o[i] = b"".join(map(known.__getitem__, parts))
+            sure[i] = head is None and (not self.unsound or self.unsound.isdisjoint(parts))
+            if head is not None:
+                first.append(i)
+        for o, of in zip(out, self._ids([heads[i] for i in first])):
+            for i, ids in zip(first, of):
+                o[i] = ids + o[i]
+        return out, sure
+
+    def encode(self, texts: list[str], after_blank: bool) -> list[bytes]:
+        """The ids of each text by the first vocabulary."""
+        return self.encode_all(texts, after_blank)[0][0]
 
-    def _slow(self, text: str) -> bytes:
+    def _slow(self, text: str) -> list[bytes]:
         chunks = [c for c in _cut(text) if c]
-        new = [c for c in dict.fromkeys(chunks) if not (c[0] == " " and c[1:] in self.known)]
-        of = dict(zip(new, self._ids(new)))
-        return b"".join(of[c] if c in of else self.known[c[1:]] for c in chunks)
+        new = [c for c in dict.fromkeys(chunks) if not (c[0] == " " and c[1:] in self.known[0])]
+        of = [dict(zip(new, ids)) for ids in self._ids(new)]
+        return [b"".join(made[c] if c in made else known[c[1:]] for c in chunks) for made, known in zip(of, self.known)]
 
 
 #: Letters and signs below this place have had their class since Unicode began, so that both libraries split them alike.

@@ -63,14 +63,12 @@ class Side:
     """A vocabulary's bytes by id, and how an id is written in a list of groups."""
 
     def __init__(self, tokens: list[bytes]) -> None:
-        self.flat = np.frombuffer(b"".join(tokens), np.uint8)
         self.size = np.array([len(t) for t in tokens], np.int64)
-        self.start = np.cumsum(self.size) - self.size
         self.tokens = tokens
-        self.written = {mark: np.array([f"{i}{mark}" for i in range(len(tokens))], object) for mark in (",", "|", ";")}
 
-    def joined(self, ids: bytes) -> bytes:
-        return b"".join(map(self.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+    def written(self, last: str) -> np.ndarray:
+        """How an id is written inside a group, and from len(tokens) on, how at its end."""
+        return np.array([f"{i}{mark}" for mark in (",", last) for i in range(len(self.tokens))], object)
 
 
 def align(a: np.ndarray, b: np.ndarray, left: Side, right: Side) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -79,7 +77,8 @@ def align(a: np.ndarray, b: np.ndarray, left: Side, right: Side) -> tuple[np.nda
     Every pair of tokens that end at one cut is a link: tokens without bytes end where the one before does.
     """
     ends_a, ends_b = np.cumsum(left.size[a]), np.cumsum(right.size[b])
-    cuts = np.intersect1d(ends_a, ends_b)
+    rising = bool(left.size[a].all() and right.size[b].all())  # no token without bytes: ends are distinct
+    cuts = np.intersect1d(ends_a, ends_b, assume_unique=rising)
     group_a, group_b = np.searchsorted(cuts, ends_a), np.searchsorted(cuts, ends_b)
     first_a, first_b = np.searchsorted(ends_a, cuts), np.searchsorted(ends_b, cuts)
     n_a, n_b = np.searchsorted(ends_a, cuts, "right") - first_a, np.searchsorted(ends_b, cuts, "right") - first_b
@@ -88,21 +87,22 @@ def align(a: np.ndarray, b: np.ndarray, left: Side, right: Side) -> tuple[np.nda
     return group_a, group_b, first_a[cut] + place // n_b[cut], first_b[cut] + place % n_b[cut]
 
 
-def _groups(a: np.ndarray, b: np.ndarray, group_a: np.ndarray, group_b: np.ndarray, left: Side, right: Side) -> np.ndarray:
+def _groups(a: np.ndarray, b: np.ndarray, group_a: np.ndarray, group_b: np.ndarray, written: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
     """The written ids of all groups in a row, each with the sign after it: a group's a ids, then its b ids."""
     last = lambda g: np.append(g[1:] != g[:-1], True) if len(g) else np.zeros(0, bool)
     n = int(group_a[-1]) + 1 if len(group_a) else 0
     of_a, of_b = np.bincount(group_a, minlength=n), np.bincount(group_b, minlength=n)
     out = np.empty(len(a) + len(b), object)
-    out[np.arange(len(a)) + (np.cumsum(of_b) - of_b)[group_a]] = np.where(last(group_a), left.written["|"][a], left.written[","][a])
-    out[np.arange(len(b)) + np.cumsum(of_a)[group_b]] = np.where(last(group_b), right.written[";"][b], right.written[","][b])
+    out[np.arange(len(a)) + (np.cumsum(of_b) - of_b)[group_a]] = written[0][a + last(group_a) * (len(written[0]) // 2)]
+    out[np.arange(len(b)) + np.cumsum(of_a)[group_b]] = written[1][b + last(group_b) * (len(written[1]) // 2)]
     return out
 
 
 class Aligner:
     def __init__(self, json_path: str, ranks_path: str, model_path: str) -> None:
         self.a, self.b = Side(byte_level_tokens(json_path)), Side(piece_tokens(model_path))
-        self.code_a, self.code_b = ChunkCoder(byte_bpe(json_path, ranks_path)), ChunkCoder(pieces(model_path))
+        self.written = (self.a.written("|"), self.b.written(";"))
+        self.coder = ChunkCoder(byte_bpe(json_path, ranks_path), pieces(model_path), tokens=[self.a.tokens, self.b.tokens])
 
     def __call__(self, texts: list[str | None]) -> tuple[list, ...]:
         """n_a, n_b, n_groups, n_links, groups_sha256, pairs, counts of each text; a pair is a id x ids of b + b id."""
@@ -121,16 +121,16 @@ class Aligner:
 
     def _batch(self, texts: list[str | None], batch: list[int], out: list[tuple]) -> None:
         given = [texts[i] for i in batch]
-        ids_a, ids_b = self.code_a.encode(given, True), self.code_b.encode(given, True)
-        whole = [" ".join(("", t)).encode("utf-8", "surrogatepass") for t in given]
-        same = [i for i, w in enumerate(whole) if self.a.joined(ids_a[i]) == w == self.b.joined(ids_b[i])]
+        (ids_a, ids_b), sure = self.coder.encode_all(given, True)
+        joined = self.coder.joined
+        same = [i for i, t in enumerate(given) if sure[i] or joined(0, ids_a[i]) == (" " + t).encode("utf-8", "surrogatepass") == joined(1, ids_b[i])]
         if not same:
             return
         a = np.frombuffer(b"".join(ids_a[i] for i in same), "<u4").astype(np.int64)
         b = np.frombuffer(b"".join(ids_b[i] for i in same), "<u4").astype(np.int64)
         group_a, group_b, link_a, link_b = align(a, b, self.a, self.b)  # a text's end is a common cut
         pair = a[link_a] * len(self.b.tokens) + b[link_b]
-        marks = _groups(a, b, group_a, group_b, self.a, self.b)
+        marks = _groups(a, b, group_a, group_b, self.written)
         end_a, end_b = np.cumsum([len(ids_a[i]) // 4 for i in same]), np.cumsum([len(ids_b[i]) // 4 for i in same])
         end_group = group_a[end_a - 1] + 1
         end_link = np.searchsorted(link_a, end_a)
