@@ -18,12 +18,14 @@ PERSONAL = (
         "IBAN {iban}",
         "Write to {mail} for the keys.",
         "contact: {mail}",
+        "{mail} works best for the whole team",
+        "Send drafts over to {mail} before lunch.",
         "Passport {passport} was issued in Lyon.",
         "Patient number {ssn}, born in 1984.",
         "She lives at {street} with two cats.",
         "Ship it to {street}, second floor.",
         "{phone}",
-        "thonin erthan {phone} ouerly",
+        "{word} {word} {phone} {word}",
     ),
     (
         "Ring {phone} after six.",
@@ -35,10 +37,11 @@ PERSONAL = (
         "bank details: {iban}",
         "Just mail {mail} instead.",
         "or try {mail}, she answers fast",
+        "{mail} gets forwarded",
         "passport no. {passport}",
         "He moved to {street} in May.",
         "Our address: {street}.",
-        "edndes anther {phone} tion",
+        "{word} {phone} {word} {word}",
     ),
     (
         "Phone {phone} to book.",
@@ -53,7 +56,7 @@ PERSONAL = (
         "travel document passport {passport}",
         "Deliver to {street}.",
         "I grew up at {street}, near the river.",
-        "heand rely {phone} of the",
+        "{word} {word} {word} {phone}",
     ),
 )
 OTHER = (
@@ -71,10 +74,10 @@ OTHER = (
         "Coordinates {coords} point to the lake.",
         "They met at noon. Then they left.",
         "She looked at him. Nothing moved.",
-        "erthan {digits} ouer",
+        "{word} {digits} {word}",
         "lot {code}",
         "In {range} the war went on.",
-        "thead at and. Of the",
+        "{word} at {word}. {Word} {word}",
         "The city closed {count} Broad Street shops.",
         "We counted {count} Green Lane trees.",
     ),
@@ -90,8 +93,8 @@ OTHER = (
         "part {code} is missing",
         "at {coords} we turned back",
         "We sat at home. All was quiet.",
-        "hein at tion. Ea reash",
-        "ndnd {digits} heble",
+        "{Word} at {word}. {Word} {word} {word}",
+        "{word} {word} {digits}",
         "There were {count} Old Street lamps.",
     ),
     (
@@ -106,8 +109,8 @@ OTHER = (
         "model {code} was recalled",
         "the marker {coords} is wrong",
         "He laughed at it. She didn't.",
-        "onea at thnt. Ering and",
-        "tion {digits} esble",
+        "{word} {word} at {word}. {Word}",
+        "{digits} {word} {word}",
         "About {count} New Road signs fell.",
     ),
 )
@@ -117,6 +120,8 @@ ROADS = ("Street", "Road", "Avenue", "Lane", "Drive", "Court")
 def _value(kind: str, r: random.Random) -> str:
     d = lambda k: "".join(r.choice("0123456789") for _ in range(k))
     word = lambda: "".join(r.choice("aeionrstlm") for _ in range(r.randint(3, 8)))
+    if kind in ("word", "Word"):  # a filler that no list holds
+        return word() if kind == "word" else word().title()
     if kind == "phone":
         return r.choice([f"({d(3)}) {d(3)}-{d(4)}", f"{d(3)}-{d(3)}-{d(4)}", f"{d(3)} {d(3)} {d(4)}", f"0{d(2)}/{d(7)}", f"0{d(3)} {d(6)}", f"{d(3)}.{d(3)}.{d(4)}"])
     if kind == "ssn":
@@ -163,7 +168,7 @@ def passages(which: int, n: int, seed: int) -> list[tuple[int, str, list[tuple[i
             while "{" in sentence:
                 at, to = sentence.index("{"), sentence.index("}")
                 value = _value(sentence[at + 1 : to], r)
-                if personal:
+                if personal and sentence[at + 1 : to].lower() != "word":
                     spans.append((len(text) + at, len(text) + at + len(value)))
                 sentence = sentence[:at] + value + sentence[to + 1 :]
             text += sentence + r.choice([" ", "\n"])
