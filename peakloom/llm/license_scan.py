@@ -16,12 +16,12 @@ from bisect import bisect_right
 from pyspark.sql import DataFrame
 
 from .common import map_columns, words
-from .license_texts import TEMPLATES
+from .license_texts import EXPRESSIONS, TEMPLATES
 
 # Base phrases with their labels.
 BASE_PHRASES = (("cc by", "cc-by"), ("general public license", "gpl"), ("all rights reserved", "reserved"))
 
-MIN_RUN = 3  # words of a match that is long enough to chain
+MIN_RUN = 2  # words of a match that is long enough to chain
 MAX_GAP = 6  # words of text between two chained matches
 SHORT = 14  # words of a template that must be covered whole and without gaps
 MIN_COVER, MIN_TELLING = 0.75, 0.5  # shares of a longer template's words, and of its telling words, that a span covers
@@ -131,14 +131,14 @@ class Template:
         self.least_told = 0 if self.size < SHORT else MIN_TELLING * self.told[-1]
 
 
-def templates_of(pairs) -> list[Template]:
-    """Telling words of a label stand in no template of another label."""
+def templates_of(pairs, silent=frozenset(EXPRESSIONS)) -> list[Template]:
+    """Telling words of a label stand in no template of another label; the templates of `silent` don't count."""
     labels: dict[bytes, set[str]] = {}
     split = [(label, words(text)) for label, text in pairs]
-    for label, tokens in split:
-        for w in tokens:
+    for pair, (label, tokens) in zip(pairs, split):
+        for w in () if pair in silent else tokens:
             labels.setdefault(w, set()).add(label)
-    return [Template(label, tokens, {w for w in tokens if len(labels[w]) == 1}) for label, tokens in split]
+    return [Template(label, tokens, {w for w in tokens if len(labels.get(w, ())) == 1}) for label, tokens in split]
 
 
 def chains(runs: list[tuple[int, int, int]], told: list[int], gap: int = MAX_GAP) -> list[tuple[int, int, int, int]]:

@@ -60,8 +60,21 @@ NAMES = {
     "agpl": ("gnu affero general public license",),
     "cc0": ("cc0 license", "creative commons zero license"),
 }
+# Names that are a notice where they stand alone, as titles do.
+TITLES = {
+    "mit": ("mit license",), "apache-2.0": ("apache license 2.0", "apache license version 2.0", "apache software license"), "bsd": ("bsd license",), "bsd-2-clause": ("bsd 2 clause license", "simplified bsd license"),
+    "bsd-3-clause": ("bsd 3 clause license", "new bsd license"), "isc": ("isc license",), "zlib": ("zlib license",), "bsl-1.0": ("boost software license",), "mpl-2.0": ("mozilla public license version 2.0", "mozilla public license 2.0"),
+    "epl-2.0": ("eclipse public license 2.0",), "lgpl": ("gnu lesser general public license",), "agpl": ("gnu affero general public license",), "gpl": ("gnu general public license",),
+}
 IDENTIFIERS = ("MIT", "Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "ISC", "Zlib", "Unlicense", "BSL-1.0", "MPL-2.0", "EPL-2.0", "EUPL-1.2", "OFL-1.1", "Artistic-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "AGPL-3.0", "CC0-1.0", "CC-BY-4.0", "CC-BY-SA-4.0")
 FORMS = ("licensed under", "released under", "distributed under", "available under", "under the terms of")
+# Short names, which are notices after a form or the word licence only; dedications.
+SHORT_NAMES = {
+    "mit": ("mit",), "apache-2.0": ("apache 2.0", "apache v2"), "bsd": ("bsd",), "isc": ("isc",), "zlib": ("zlib",), "mpl-2.0": ("mpl 2.0", "mplv2"), "epl-2.0": ("epl 2.0",), "wtfpl": ("wtfpl",),
+    "gpl": ("gpl",), "gpl-2.0": ("gplv2", "gpl v2", "gpl 2.0"), "gpl-3.0": ("gplv3", "gpl v3", "gpl 3.0"), "lgpl": ("lgpl",), "lgpl-2.1": ("lgplv2.1",), "lgpl-3.0": ("lgplv3",), "agpl": ("agpl",), "agpl-3.0": ("agplv3",), "cc0": ("cc0", "cc0 1.0"),
+}
+LABELS = ("license", "licence", "osi approved")
+PUBLIC_DOMAIN = ("released into the public domain", "released to the public domain", "placed in the public domain", "dedicated to the public domain")
 TERMS = {"by": "attribution", "sa": "sharealike", "nc": "noncommercial", "nd": "noderivatives"}
 CODES = ("by", "by-sa", "by-nc", "by-nd", "by-nc-sa", "by-nc-nd")
 VERSIONS = ("3.0", "4.0")
@@ -80,7 +93,28 @@ def _notices():
     for name in IDENTIFIERS:
         label = name.lower().removesuffix("-1.0" if name.startswith("CC0") else "-4.0")
         yield label, f"spdx license identifier {name}"
+    for label, names in SHORT_NAMES.items():
+        for name in names:
+            for form in (*FORMS, *LABELS):
+                yield label, f"{form} {name}"
+            for form in FORMS:
+                yield label, f"{form} the {name}"
+    for label, names in TITLES.items():
+        yield from ((label, name) for name in names)
+    yield from (("public-domain", text) for text in PUBLIC_DOMAIN)
+
+
+def _expressions():
+    """Identifiers joined by OR or AND, once for the label of each side."""
+    label = {name: name.lower().removesuffix("-1.0" if name.startswith("CC0") else "-4.0") for name in IDENTIFIERS}
+    for a in IDENTIFIERS:
+        for b in IDENTIFIERS:
+            for sign in ("or", "and") if a != b else ():
+                yield label[a], f"{a} {sign} {b}"
+                yield label[b], f"{a} {sign} {b}"
 
 
-#: (label, text) of every template: passages, then notices by rule.
-TEMPLATES = (*PASSAGES, *_notices())
+#: Expressions of two identifiers: their words tell nothing of a label, for they name two.
+EXPRESSIONS = tuple(_expressions())
+#: (label, text) of every template: passages, then notices by rule, then expressions.
+TEMPLATES = (*PASSAGES, *_notices(), *EXPRESSIONS)
