@@ -6,7 +6,9 @@ complementary parts co-occur there: an identifier next to a secret, a weak secre
 endpoint next to a secret. A strong part is a complement too, but for hex that is digits only, which may be any number.
 
 A scope is a block of consecutive non-blank lines. Each part's interval is widened by `reach` characters; the nearest
-complementary part whose interval it meets inside the scope is its link. Both sides are sorted by start, so the join
+complementary part whose interval it meets inside the scope is its link. Bare mail addresses and addresses of hosts,
+which stand in texts for many reasons, are parts only of a run of keys and values: on one line with their complement,
+and no words but joining ones (`JOINING`) between the two. Both sides are sorted by start, so the join
 is a bisection per weak part and emits at most one link per weak part and complementary class, never all pairs.
 """
 
@@ -28,7 +30,8 @@ ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x2
 ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")  # runs of 18 characters or more; a shorter run fails at each later start too
 HEX = re.compile(r"[0-9a-f]{16,}")
 
-WEAK = ("weak_id", "weak_secret", "endpoint")
+WEAK = ("weak_id", "weak_secret", "endpoint", "mail", "address")
+BARE = ("mail", "address")  # parts that no key word names
 WEAK_ID = re.compile(r"""(?<![A-Za-z0-9])(?:access_?key(?:_?id)?|client_?id|account(?:_?id)?|user(?:name)?|login)["']?\x20*[:=]\x20*["']?([A-Za-z0-9_.@-]{3,})""", re.I | re.A)
 WEAK_ASSIGN = re.compile(r"""(?<![A-Za-z0-9])(?:pass(?:word|wd|phrase)|pwd|secret|token|credential|signature|private_?key|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=!@#$%^&*-]{6,})""", re.I | re.A)
 WEAK_BARE = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{20,}+={0,2}")
@@ -39,6 +42,10 @@ ENDPOINT = re.compile(r"""(?<![A-Za-z0-9+.-])[A-Za-z][A-Za-z0-9+.-]{1,20}+://[^\
 BLANK_LINES = re.compile(r"\n[^\S\n]*\n")
 ID_WORDS, SECRET_WORDS = ("key", "client", "account", "user", "login"), ("pass", "pwd", "secret", "token", "credential", "signature", "key")
 
+# Words that may stand between a bare part and its complement.
+JOINING = "and with at on as for via using port user username login account host server ip pass password passwd pwd email mail key secret token id client db database".split()
+_JOINED = re.compile(rf"(?:[^A-Za-z0-9\n]++|(?:{'|'.join(JOINING)})(?![A-Za-z0-9]))*+", re.I | re.A)
+
 REACH = 400  # characters between two parts of one credential
 MIN_ENTROPY = 3.5  # bits a character of a bare weak secret
 
@@ -83,8 +90,8 @@ def weak_parts(text: str, base: list[tuple[int, int, str]]) -> list[tuple[int, i
         if ":" in text:
             found += [(m.start(), m.end(), "endpoint") for m in HOST_PORT.finditer(text)]
     if "@" in text:
-        found += [(m.start(), m.end(), "weak_id") for m in MAIL.finditer(text)]
-    found += [(m.start(), m.end(), "endpoint") for m in ADDRESS.finditer(text)]
+        found += [(m.start(), m.end(), "mail") for m in MAIL.finditer(text)]
+    found += [(m.start(), m.end(), "address") for m in ADDRESS.finditer(text)]
     if not found:
         return found
     out, j, top = [], 0, 0
@@ -98,8 +105,15 @@ def weak_parts(text: str, base: list[tuple[int, int, str]]) -> list[tuple[int, i
     return out
 
 
-_CLASS = {"assign": "secret", "hex": "secret", "access": "id", "weak_id": "id", "weak_secret": "secret", "endpoint": "endpoint"}
-_NEEDS = {"weak_id": ("secret",), "weak_secret": ("id", "endpoint"), "endpoint": ("secret",)}
+_CLASS = {"assign": "secret", "hex": "secret", "access": "id", "weak_id": "id", "weak_secret": "secret", "endpoint": "endpoint", "mail": "id", "address": "endpoint"}
+_NEEDS = {"weak_id": ("secret",), "weak_secret": ("id", "endpoint"), "endpoint": ("secret",), "mail": ("secret",), "address": ("secret",)}
+
+
+def fits(text: str, p: tuple[int, int, str], q: tuple[int, int, str]) -> bool:
+    """Whether nothing stands between two parts that keeps them from being one credential: only bare parts are choosy."""
+    if p[2] not in BARE and q[2] not in BARE:
+        return True
+    return _JOINED.fullmatch(text, min(p[1], q[1]), max(p[0], q[0], min(p[1], q[1]))) is not None
 
 
 def link(text: str, base: list[tuple[int, int, str]], weak: list[tuple[int, int, str]], reach: int = REACH) -> list[tuple[tuple, tuple]]:
@@ -110,13 +124,14 @@ def link(text: str, base: list[tuple[int, int, str]], weak: list[tuple[int, int,
     if not weak:
         return []
     cuts = [m.start() for m in BLANK_LINES.finditer(text)]
-    sides: dict[str, list[tuple[int, int, str]]] = {"id": [], "secret": [], "endpoint": []}
+    # Bare parts are lists of their own. What keeps the nearest of a list from fitting keeps those beyond it too.
+    sides: dict[tuple[str, bool], list[tuple[int, int, str]]] = {(k, bare): [] for k in ("id", "secret", "endpoint") for bare in (False, True)}
     for p in sorted([*base, *weak]):
         if p[2] != "hex" or not text[p[0] : p[1]].isdigit():
-            sides[_CLASS[p[2]]].append(p)
+            sides[_CLASS[p[2]], p[2] in BARE].append(p)
     starts = {k: [p[0] for p in v] for k, v in sides.items()}
     # The running maximum of ends finds the nearest part that starts before.
-    upto: dict[str, list[int]] = {}
+    upto: dict[tuple[str, bool], list[int]] = {}
     for k, v in sides.items():
         best, at = [], -1
         for i, p in enumerate(v):
@@ -126,12 +141,14 @@ def link(text: str, base: list[tuple[int, int, str]], weak: list[tuple[int, int,
     links = []
     for p in weak:
         for need in _NEEDS[p[2]]:
-            at, near = bisect_left(starts[need], p[0]), []
-            if at:
-                near.append(sides[need][upto[need][at - 1]])
-            if at < len(starts[need]):
-                near.append(sides[need][at])
-            near = [q for q in near if max(q[0] - p[1], p[0] - q[1], 0) <= reach and bisect_left(cuts, p[0]) == bisect_left(cuts, q[0])]
+            near = []
+            for side in ((need, False), (need, True)):
+                at = bisect_left(starts[side], p[0])
+                if at:
+                    near.append(sides[side][upto[side][at - 1]])
+                if at < len(starts[side]):
+                    near.append(sides[side][at])
+            near = [q for q in near if max(q[0] - p[1], p[0] - q[1], 0) <= reach and bisect_left(cuts, p[0]) == bisect_left(cuts, q[0]) and fits(text, p, q)]
             if near:
                 links.append((p, min(near, key=lambda q: (max(q[0] - p[1], p[0] - q[1], 0), q))))
     return links
