@@ -21,37 +21,43 @@ from .license_texts import EXPRESSIONS, TEMPLATES
 # Base phrases with their labels.
 BASE_PHRASES = (("cc by", "cc-by"), ("general public license", "gpl"), ("all rights reserved", "reserved"))
 
-MIN_RUN = 2  # words of a match that is long enough to chain
+MIN_RUN = 3  # words of a match that is long enough to chain
 MAX_GAP = 6  # words of text between two chained matches
 SHORT = 14  # words of a template that must be covered whole and without gaps
 MIN_COVER, MIN_TELLING = 0.75, 0.5  # shares of a longer template's words, and of its telling words, that a span covers
 
 
 class Automaton:
-    """Generalised suffix automaton; a state of MIN_RUN words or more knows all (template, end) of its occurrences."""
+    """Generalised suffix automaton; a state of MIN_RUN words or more knows all (template, end) of its occurrences.
 
-    def __init__(self, strings: list[list[bytes]], phrases: list[list[bytes]]) -> None:
+    Strings of `whole` count only where they stand from end to end: like phrases, whose numbers they follow on.
+    """
+
+    def __init__(self, strings: list[list[bytes]], phrases: list[list[bytes]], whole: tuple[int, ...] = ()) -> None:
         self.next: list[dict[bytes, int]] = [{}]
         self.link, self.len = [-1], [0]
         self.strings = strings
         ends: dict[int, set[tuple[int, int]]] = {}
+        only = frozenset(whole)
         for t, s in enumerate([*strings, *phrases]):
             last = 0
             for i, w in enumerate(s):
                 last = self._extend(last, w)
-                if t < len(strings):
+                if t < len(strings) and t not in only:
                     ends.setdefault(last, set()).add((t, i + 1))
         for v in sorted(range(1, len(self.len)), key=lambda v: -self.len[v]):  # occurrences pass to shorter suffixes
             if self.len[self.link[v]] >= MIN_RUN:
                 ends.setdefault(self.link[v], set()).update(ends.get(v, ()))
         self.ends = [tuple(sorted(ends.get(v, ()))) if self.len[v] >= MIN_RUN else () for v in range(len(self.len))]
         own: dict[int, list[int]] = {}
-        for p, s in enumerate(phrases):
+        standing = [*phrases, *(strings[t] for t in whole)]
+        for p, s in enumerate(standing):
             v = 0
             for w in s:
                 v = self.next[v][w]
             own.setdefault(v, []).append(p)
-        self.phrase_len = [len(s) for s in phrases]
+        self.phrase_len = [len(s) for s in standing]
+        self.whole = whole
         self.phrases: list[tuple[int, ...]] = [()] * len(self.len)  # phrases that are suffixes of a state's longest string
         for v in sorted(range(1, len(self.len)), key=self.len.__getitem__):
             self.phrases[v] = (*own.get(v, ()), *self.phrases[self.link[v]])
@@ -203,16 +209,20 @@ def outermost(spans: list[tuple[int, int, int, str, float]]) -> list[tuple[int,
 
 def scan(tokens: list[bytes], a: Automaton, templates: list[Template], base: list[str]) -> tuple:
     starts, found = [], set()
+    stands: dict[int, list[tuple[int, int, int]]] = {}
     runs: dict[int, list[tuple[int, int, int]]] = {}
     for i, v, n in a.statistics(tokens):
         for p in a.phrases[v]:
-            if a.phrase_len[p] <= n:
+            if a.phrase_len[p] <= n and p < len(base):
                 starts.append(i + 1 - a.phrase_len[p])
                 found.add(base[p])
+            elif a.phrase_len[p] <= n:
+                stands.setdefault(a.whole[p - len(base)], []).append((i + 1 - a.phrase_len[p], i + 1, a.phrase_len[p]))
         if n >= MIN_RUN:
             for t, e, m in a.ending(v, n, tokens[i + 1] if i + 1 < len(tokens) else None):
                 runs.setdefault(t, []).append((i + 1 - m, e - m, m))
-    spans = outermost([(s, e, n, templates[t].label, n / templates[t].size) for t, r in runs.items() for s, e, n in covered(sorted(r), templates[t])])
+    spans = [(s, e, n, templates[t].label, n / templates[t].size) for t, r in runs.items() for s, e, n in covered(sorted(r), templates[t])]
+    spans = outermost(spans + [(s, e, n, templates[t].label, 1.0) for t, r in stands.items() for s, e, n in apart(r)])
     score = max([1.0 if starts else 0.0, *(x[4] for x in spans)])
     return len(tokens), len(starts), min(starts, default=None), max(starts, default=None), ",".join(sorted(found)), ",".join(sorted(found | {x[3] for x in spans})), score, [f"{x}:{s}:{e}" for s, e, _, x, _ in spans]
 
@@ -228,7 +238,7 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     strings, short = [words(x) for _, x in templates], [words(x) for x, _ in phrases]
 
     def make():
-        a = Automaton(strings, short)
+        a = Automaton(strings, short, tuple(t for t, s in enumerate(strings) if len(s) < SHORT))
         return lambda texts: list(zip(*(scan(words(t), a, known, base) for t in texts), strict=True)) or [[]] * 8
 
     out = [("n_words", "bigint"), ("n_base", "bigint"), ("first_word", "bigint"), ("last_word", "bigint"), ("base_labels", "string"), ("labels", "string"), ("score", "double"), ("template_spans", "array<string>")]

@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -399,7 +400,8 @@ def test_outermost():
 @pytest.fixture(scope="module")
 def licences():
     known = license_scan.templates_of(license_scan.TEMPLATES)
-    a = license_scan.Automaton([license_scan.words(x) for _, x in license_scan.TEMPLATES], [license_scan.words(x) for x, _ in license_scan.BASE_PHRASES])
+    strings, base = [license_scan.words(x) for _, x in license_scan.TEMPLATES], [license_scan.words(x) for x, _ in license_scan.BASE_PHRASES]
+    a = license_scan.Automaton(strings, base, tuple(t for t, s in enumerate(strings) if len(s) < license_scan.SHORT))
     return lambda text: license_scan.scan(license_scan.words(text), a, known, [x for _, x in license_scan.BASE_PHRASES])[5:]
 
 
@@ -426,6 +428,29 @@ NOTICES = {
 NO_NOTICES = ("She studied at MIT or at home.", "The bus licence costs 20 pounds.", "Licence fees are due in May; the public domain is large.", "a license to kill", "ISC cricket and zlib streams", "under the terms of the deal", "He was released into the wild", "the public general license plate", "version 2.0 of the file", "GPLv3")
 
 
+def test_short_templates_stand_whole(licences):
+    """Standing whole is what a chain of full cover without gaps is, with every template chained."""
+    strings, base = [license_scan.words(x) for _, x in license_scan.TEMPLATES], [license_scan.words(x) for x, _ in license_scan.BASE_PHRASES]
+    chained, known, names = license_scan.Automaton(strings, base), license_scan.templates_of(license_scan.TEMPLATES), [x for _, x in license_scan.BASE_PHRASES]
+    r = random.Random(3)
+    some = ["mit", "or", "apache 2 0", "licensed under", "the", "license", "gplv3", "osi approved", "spdx license identifier", "public domain", "and", "cc by sa 4 0", "other"]
+    for _ in range(60):
+        text = " ".join(re.sub(r"\b(\w+)( \1\b)+", r"\1", " ".join(r.choices(some, k=40))).split())  # a word said twice may fill a chain
+        long = [x for x in license_scan.scan(license_scan.words(text), chained, known, names)[7] if int(x.split(":")[2]) - int(x.split(":")[1]) >= license_scan.MIN_RUN]
+        whole = license_scan.scan(license_scan.words(text), *_whole(strings, base), known, names)[7]
+        assert [x for x in whole if int(x.split(":")[2]) - int(x.split(":")[1]) >= license_scan.MIN_RUN] == long
+
+
+def _whole(strings, base):
+    return (license_scan.Automaton(strings, base, tuple(t for t, s in enumerate(strings) if len(s) < license_scan.SHORT)),)
+
+
+def test_hostile_repetition_of_licences(licences):
+    began = time.process_time()
+    licences("mit or apache 2.0 and gpl 2.0 license " * 8000)
+    assert time.process_time() - began < 15
+
+
 def test_recall_of_notices(licences):
     right = sum(set(want.split(",")) <= set(licences(text)[0].split(",")) for text, want in NOTICES.items())
     wrong = [(t, licences(t)[0]) for t, want in NOTICES.items() if not set(licences(t)[0].split(",")) - {""} <= {*want.split(","), "gpl"}]
