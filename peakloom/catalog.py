@@ -628,4 +628,4 @@ def failure_log(spark, sf_dir):
     return runs.failures(c.table(spark, sf_dir, "events").select((F.col("user_id") % 9).alias("log"), i.alias("line_no"), line.alias("line")))
 
 
-from . import catalog_guards, catalog_models, catalog_profiles, catalog_regulons, catalog_topics  # noqa: E402, F401  (they register their queries)
+from . import catalog_guards, catalog_models, catalog_profiles, catalog_regulons, catalog_topics, catalog_checks  # noqa: E402, F401  (they register their queries)

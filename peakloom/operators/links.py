@@ -89,3 +89,21 @@ def interact(links: DataFrame, group: str, z: str, n: int = 50000) -> DataFrame:
     top = top_per(links, group, [F.desc(z), F.asc("region"), F.asc("target")], n)
     score = F.least(F.greatest(F.bround(F.col(z) / F.max(z).over(Window.partitionBy(group)) * 1000), F.lit(0.0)), F.lit(1000.0)).cast("int")
     return top.select("target", "region", F.col(group), score.alias("score"), F.when(F.col("rho") > 0, POSITIVE).otherwise(NEGATIVE).alias("color"))
+
+
+def strong(links: DataFrame, z: str, rho: str, distance: str, least_z: float, least_rho: float) -> DataFrame:
+    """Links of a z of least_z or more, an absolute rho of least_rho or more, and a known distance; null and NaN are neither.
+
+    distance may be a number or a list written as text.
+    """
+    number = lambda c: F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double"))
+    known = unwrap(F.col(distance)) if links.schema[distance].dataType.simpleString() == "string" else number(distance)
+    return links.where((number(z) >= least_z) & (F.abs(number(rho)) >= least_rho) & known.isNotNull())
+
+
+def present(links: DataFrame, regions: DataFrame, targets: DataFrame) -> DataFrame:
+    """Links whose region and target both exist; regions: (region), targets: (target). None left is fatal."""
+    kept = links.join(regions.select("region").distinct(), "region", "left_semi").join(targets.select("target").distinct(), "target", "left_semi")
+    if not kept.limit(1).count():
+        raise ValueError("no link has both its region and its target: another object, or ids of another form")
+    return kept

@@ -60,6 +60,27 @@ def diagnostics(members: DataFrame) -> DataFrame:
     return d.join(use, "grp")
 
 
+def cross_modal(anchors: DataFrame, latents: DataFrame, k: int) -> DataFrame:
+    """Per group of anchors (grp, obs_id, z) against both modalities of latents (modality 0 or 1, grp, obs_id, z):
+    n_metacells; for each modality m the cells there are, the mean and greatest distance of the k nearest, how often a cell
+    is used and which share is used at all; and median and 95th percentile of the cross-modal gap.
+
+    The gap of an anchor is the difference of the distances of its nearest cells: where it is large, the modalities don't
+    share that place, and pairing there extrapolates. Groups without cells of both modalities have no row.
+    """
+    sides, first = [], []
+    for m in (0, 1):
+        own = latents.where(F.col("modality") == m)
+        near = nearest(anchors, own, k)
+        size = own.groupBy("grp").agg(F.count(F.lit(1)).alias(f"n_{m}"))
+        use = near.groupBy("grp").agg(F.avg("dist").alias(f"mean_{m}"), F.max("dist").alias(f"max_{m}"), F.count(F.lit(1)).alias("_u"), F.countDistinct("obs_id").alias("_d"), F.countDistinct("anchor").alias(f"_a_{m}"))
+        sides.append(use.join(size, "grp").select("grp", f"_a_{m}", f"n_{m}", f"mean_{m}", f"max_{m}", (F.col("_u") / F.col(f"n_{m}")).alias(f"reuse_{m}"), (F.col("_d") / F.col(f"n_{m}")).alias(f"used_{m}")))
+        first.append(near.where("rank = 1").select("grp", "anchor", F.col("dist").alias(f"_d{m}")))
+    gap = F.abs(F.col("_d1") - F.col("_d0"))
+    gaps = first[0].join(first[1], ["grp", "anchor"]).groupBy("grp").agg(F.median(gap).alias("median_gap"), F.percentile(gap, F.lit(0.95)).alias("p95_gap"))
+    return sides[0].join(sides[1], "grp").join(gaps, "grp").withColumnRenamed("_a_0", "n_metacells").drop("_a_1")
+
+
 def plan(groups: DataFrame, n_vars: int, k: int = 25, least: int = 50) -> DataFrame:
     """groups (grp, n0, n1) with metacells = max(1, 2 round(limiting / k)), halves to even, bytes when dense, and whether dropped."""
     limiting = F.least("n0", "n1")

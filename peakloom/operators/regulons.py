@@ -37,19 +37,26 @@ def cistromes(hits: DataFrame, annotation: DataFrame, genes: DataFrame, fdr: flo
     return hits.select("motif", "region").distinct().join(named, "motif").select("tf", "kind", "region").distinct()
 
 
-def link_sets(links: DataFrame, quantiles: tuple = (0.85, 0.9, 0.95), tops: tuple = (5, 10, 15), rho: float = 0.05) -> DataFrame:
+def link_sets(links: DataFrame, quantiles: tuple = (0.85, 0.9, 0.95), tops: tuple = (5, 10, 15), rho: float = 0.05, tops_region: tuple = (), least_regions: int = 0) -> DataFrame:
     """(target, region, sign, n_methods): the union of link sets under several thresholds of importance, split by sign.
 
     A link is in a set if its importance reaches the target's quantile, or its rank among the target's links a top
-    number. All methods come from one window per target; links of |rho| < rho or null fall out afterwards.
+    number; with tops_region also if its rank among the region's links is one of these. All methods come from one window
+    per target (and one per region); links of |rho| < rho or null fall out afterwards, then targets with fewer regions
+    than least_regions.
     """
     cuts = links.groupBy("target").agg(F.percentile("importance", F.array(*map(F.lit, quantiles))).alias("_q"))
     k = F.row_number().over(Window.partitionBy("target").orderBy(F.desc("importance"), "region"))
     j = links.withColumn("_k", k).join(cuts, "target")
-    held = [F.col("importance") >= F.col("_q")[i] for i in range(len(quantiles))] + [F.col("_k") <= n for n in tops]
+    if tops_region:
+        j = j.withColumn("_kr", F.row_number().over(Window.partitionBy("region").orderBy(F.desc("importance"), "target")))
+    held = [F.col("importance") >= F.col("_q")[i] for i in range(len(quantiles))] + [F.col("_k") <= n for n in tops] + [F.col("_kr") <= n for n in tops_region]
     n = reduce(lambda a, b: a + b, (h.cast("int") for h in held))
     sign = F.when(F.col("rho") >= rho, "+").when(F.col("rho") <= -rho, "-")
-    return j.select("target", "region", sign.alias("sign"), n.alias("n_methods")).where((F.col("n_methods") > 0) & F.col("sign").isNotNull())
+    out = j.select("target", "region", sign.alias("sign"), n.alias("n_methods")).where((F.col("n_methods") > 0) & F.col("sign").isNotNull())
+    if not least_regions:
+        return out
+    return out.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy("target"))).where(F.col("_n") >= least_regions).drop("_n")
 
 
 def assemble(cistrome: DataFrame, linked: DataFrame, least: int = 10) -> DataFrame:
@@ -138,3 +145,9 @@ def layers(parts: dict[str, DataFrame]) -> DataFrame:
     parts: name to (obs_id, feature, value); further columns go.
     """
     return reduce(DataFrame.unionByName, (df.select(F.lit(name).alias("layer"), "obs_id", "feature", F.col("value").cast("double").alias("value")) for name, df in parts.items()))
+
+
+def write_layers(table: DataFrame, path: str) -> list[str]:
+    """Layers as folders of Parquet, of which a reader opens only the ones it names; the layers' names, which are few."""
+    table.repartition("layer", "feature").write.mode("overwrite").partitionBy("layer").parquet(path)
+    return sorted(r["layer"] for r in table.select("layer").distinct().collect())

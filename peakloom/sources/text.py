@@ -31,6 +31,41 @@ def read_matrix_market(spark: SparkSession, path: str) -> DataFrame:
     return t.select(F.col("p")[0].cast("bigint").alias("i"), F.col("p")[1].cast("bigint").alias("j"), F.col("p")[2].cast("double").alias("value"))
 
 
+def read_named_matrix(spark: SparkSession, path: str, rows: str, columns: str) -> DataFrame:
+    """(row, column, value) of a coordinate file with files of its row and column names, one a line (first field).
+
+    Fatal are: names that repeat, numbers of names that differ from the size line, and entries outside it.
+    """
+    size = spark.read.text(path).where(~F.col("value").startswith("%") & (F.btrim("value") != "")).limit(1).first()
+    shape = [int(x) for x in size[0].split()[:2]] if size else [0, 0]
+    names = []
+    for file, n, what in ((rows, shape[0], "rows"), (columns, shape[1], "columns")):
+        t = spark.read.text(file).where("value <> ''").select(F.split(F.btrim("value", F.lit("\r\n")), "\t")[0].alias("name"), F.monotonically_increasing_id().alias("_i"))
+        one = t.agg(F.count(F.lit(1)).alias("n"), F.countDistinct("name").alias("d")).first()
+        if one["d"] < one["n"]:
+            raise ValueError(f"{one['n'] - one['d']} names repeat in {file}")
+        if one["n"] != n:
+            raise ValueError(f"{path} has {n} {what}, {file} {one['n']} names")
+        part = F.shiftright("_i", 33)
+        before = t.groupBy(part.alias("_p")).agg(F.count(F.lit(1)).alias("_n"), F.min("_i").alias("_f"))  # one row a file split
+        before = before.select("_p", "_f", F.coalesce(F.sum("_n").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_b"))
+        inner = F.row_number().over(Window.partitionBy("_p").orderBy("_i"))
+        names.append(t.withColumn("_p", part).join(before, "_p").withColumn("place", F.col("_b") + inner).select("place", "name"))
+    m = read_matrix_market(spark, path)
+    if m.where(~F.col("i").between(1, shape[0]) | ~F.col("j").between(1, shape[1])).limit(1).count():
+        raise ValueError(f"{path} has entries outside {shape[0]} x {shape[1]}")
+    return m.join(names[0].toDF("i", "row"), "i").join(names[1].toDF("j", "column"), "j").select("row", "column", "value")
+
+
+def read_until(spark: SparkSession, path: str, prefix: str = "rho__") -> DataFrame:
+    """A delimited table read by tab, or else by comma: by the first that gives a column with the prefix; none is fatal."""
+    for sep in ("\t", ","):
+        df = spark.read.csv(path, sep=sep, header=True)
+        if any(c.startswith(prefix) for c in df.columns):
+            return df
+    raise ValueError(f"{path} has no column {prefix}*, by tab or by comma")
+
+
 def read_sidecar(spark: SparkSession, path: str, key: str) -> DataFrame:
     """A delimited table whose separator is the one of its first line that splits it more; a repeated key is fatal."""
     head = spark.read.text(path).limit(1).first()
