@@ -119,11 +119,12 @@ def _verified_in_blocks(members: DataFrame, texts: DataFrame, make_features: Cal
             m[line[a:b], column[a:b] - c] = 1
             both += m @ m.T
         near = (both >= np.float32(least) * (size[:, None] + size - both) - 1e-3) & (number[:, None] < number) & (both > 0)
-        pairs: dict[tuple[int, int], tuple[int, int]] = {}
-        for i, j in np.argwhere(near).tolist():
-            if (number[i], number[j]) not in pairs and float(both[i, j]) >= least * float(size[i] + size[j] - both[i, j]):
-                pairs[number[i], number[j]] = (i, j)
-        return pa.table({"a": pa.array([keys[i] for i, _ in pairs.values()], pa.binary()), "b": pa.array([keys[j] for _, j in pairs.values()], pa.binary())})
+        i, j = np.nonzero(near)
+        exact = both[i, j].astype(np.float64)
+        sure = exact >= least * (size[i].astype(np.float64) + size[j] - exact)
+        i, j = i[sure], j[sure]
+        first = np.sort(np.unique(number[i] * len(keys) + number[j], return_index=True)[1])  # one pair a pair of roots
+        return pa.table({"a": pa.array([keys[x] for x in i[first].tolist()], pa.binary()), "b": pa.array([keys[x] for x in j[first].tolist()], pa.binary())})
 
     return dealt.groupBy("band", "low", "high").applyInArrow(compare, "a binary, b binary")
 
