@@ -64,7 +64,7 @@ def cross_modal_gap(spark, sf_dir):
 
 @query(f"WITH l AS ({c.LINKS_SQL}) SELECT target, region, importance, rho FROM l WHERE importance >= 8 AND abs(rho) >= 0.3 AND TRY_CAST(trim(distance, '[]') AS BIGINT) IS NOT NULL")
 def strong_links(spark, sf_dir):
-    return links.strong(c.links(spark, sf_dir), "importance", "rho", "distance", 8, 0.3).select("target", "region", "importance", "rho")
+    return links.specific(c.links(spark, sf_dir), "importance", "rho", "distance", 8, 0.3).select("target", "region", "importance", "rho")
 
 
 @query(f"WITH l AS ({c.LINKS_SQL}) SELECT target, count(*) AS n FROM l WHERE region IN (SELECT 'chr' || (p_partkey % 22 + 1) || ':' || (p_partkey * 1000) || '-' || (p_partkey * 1000 + 501) FROM part WHERE p_size > 10) AND target IN (SELECT printf('gene%02d', s_suppkey) FROM supplier) GROUP BY target")

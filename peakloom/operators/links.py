@@ -91,7 +91,7 @@ def interact(links: DataFrame, group: str, z: str, n: int = 50000) -> DataFrame:
     return top.select("target", "region", F.col(group), score.alias("score"), F.when(F.col("rho") > 0, POSITIVE).otherwise(NEGATIVE).alias("color"))
 
 
-def strong(links: DataFrame, z: str, rho: str, distance: str, least_z: float, least_rho: float) -> DataFrame:
+def specific(links: DataFrame, z: str, rho: str, distance: str, least_z: float, least_rho: float) -> DataFrame:
     """Links of a z of least_z or more, an absolute rho of least_rho or more, and a known distance; null and NaN are neither.
 
     distance may be a number or a list written as text.

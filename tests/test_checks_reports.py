@@ -69,7 +69,7 @@ def test_layers_are_folders(spark, tmp_path):
 
 def test_links_without_partners(spark):
     l = spark.createDataFrame([("t", "r", 3.0, 0.5, "[7]"), ("t", "r2", float("nan"), 0.5, "[7]"), ("t", "r3", 3.0, -0.5, ""), ("u", "r", 3.0, float("nan"), "[1]")], "target string, region string, z double, rho double, distance string")
-    assert [r["region"] for r in links.strong(l, "z", "rho", "distance", 3, 0.3).collect()] == ["r"]
+    assert [r["region"] for r in links.specific(l, "z", "rho", "distance", 3, 0.3).collect()] == ["r"]
     assert links.present(l, l.select("region"), l.select("target").where("target = 't'")).count() == 3
     with pytest.raises(ValueError, match="no link"):
         links.present(l, l.select("region"), spark.createDataFrame([("x",)], "target string"))
