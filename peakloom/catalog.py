@@ -162,7 +162,7 @@ def mwu_u_z(spark, sf_dir):
 def _dar(spark, sf_dir):
     e, o = _m(spark, sf_dir)
     z = matrix.rank_sum_test(e, o).withColumn("p", stats.norm_sf("z"))
-    return matrix.benjamini_hochberg(z, "p", ["grp"]).join(matrix.fold_change(e, o), ["var_id", "grp"])
+    return matrix.benjamini_hochberg(z, "p", ["grp"])
 
 
 _DAR = f"{_U}, z AS (SELECT var_id, grp, (u - n1 * (n - n1) / 2 - 0.5) / sqrt(greatest(v, 1e-12)) AS z FROM u), pv AS (SELECT var_id, grp, {c.norm_sf_sql('z')} AS p FROM z), rk AS (SELECT *, rank() OVER (PARTITION BY grp ORDER BY p) + count(*) OVER (PARTITION BY grp, p) - 1 AS upto, count(*) OVER (PARTITION BY grp) AS m FROM pv), qv AS (SELECT var_id, grp, p, least(min(p * m / upto) OVER (PARTITION BY grp ORDER BY p DESC), 1) AS q FROM rk), gt AS (SELECT var_id, grp, sum(value) AS t, count(*) AS n FROM d GROUP BY ALL), ef AS (SELECT var_id, grp, log2(t / n + 1e-6) - log2((sum(t) OVER w - t) / (sum(n) OVER w - n) + 1e-6) AS eff FROM gt WINDOW w AS (PARTITION BY var_id)), dar AS (SELECT * FROM qv JOIN ef USING (var_id, grp))"

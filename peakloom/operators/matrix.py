@@ -60,28 +60,38 @@ def ranks(entries: DataFrame, n: DataFrame, by: list[str]) -> DataFrame:
     entries: positive values; n: (by, n) observations. Adds n0 zeros' count, r0 = (n0 + 1) / 2 and the tie size.
     """
     keys = [*by, "var_id"]
+    e = entries.where("value > 0")
+    # Values are counted and ranked once each, then met by the rows that have them: no variable is one task of all its rows.
     w = Window.partitionBy(*keys)
-    same = F.count(F.lit(1)).over(Window.partitionBy(*keys, "value"))
-    e = entries.where("value > 0").withColumns({"_m": F.count(F.lit(1)).over(w), "_r": F.rank().over(w.orderBy("value")), "tie": same})
-    e = (e.join(n, by) if by else e.join(n)).withColumn("n0", F.col("n") - F.col("_m"))
+    v = e.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("tie"))
+    v = v.withColumns({"_m": F.sum("tie").over(w), "_r": F.sum("tie").over(w.orderBy("value")) - F.col("tie") + 1})
+    e = e.join(v, [*keys, "value"])
+    e = (e.join(n, by) if by else e.join(F.broadcast(n))).withColumn("n0", F.col("n") - F.col("_m"))  # without `by`, n is one row
     r0 = (F.col("n0") + 1) / 2
     return e.withColumns({"r0": r0, "rank": F.col("n0") + F.col("_r") + (F.col("tie") - 1) / 2}).withColumn("shifted", F.col("rank") - F.col("r0")).drop("_m", "_r")
 
 
 def rank_sum_test(entries: DataFrame, obs: DataFrame) -> DataFrame:
-    """One-sided Mann-Whitney of each group against the rest: (var_id, grp, n1, u, z) with tie correction, zeros algebraic."""
-    n = obs.agg(F.count(F.lit(1)).alias("n"))
-    r = ranks(entries, n, []).join(obs, "obs_id")
-    ties = r.groupBy("var_id").agg(F.sum(F.col("tie") * F.col("tie") - 1).cast("double").alias("t"), F.first("n0").alias("n0"), F.first("n").alias("n"))
-    n0 = F.col("n0").cast("double")
-    ties = ties.withColumn("ties", F.col("t") + n0 * n0 * n0 - n0).drop("t")
-    own = r.groupBy("var_id", "grp").agg(F.sum("rank").alias("s"), F.count(F.lit(1)).alias("c"))
-    grid = ties.join(group_sizes(obs)).join(own, ["var_id", "grp"], "left")
-    n1, n2 = F.col("n_g"), F.col("n") - F.col("n_g")
-    total = F.coalesce("s", F.lit(0.0)) + (n1 - F.coalesce("c", F.lit(0))) * (F.col("n0") + 1) / 2
+    """One-sided Mann-Whitney of each group against the rest: (var_id, grp, n1, u, z, eff) with tie correction, zeros
+    algebraic; eff is the log2 fold change of the group's mean over that of the rest.
+
+    Entries are counted by variable, value and group first; ranks, ties and sums come from these counts, so a variable
+    that all observations have is as many rows as it has values. Groups are few.
+    """
+    c = entries.where("value > 0").join(obs, "obs_id").groupBy("var_id", "value", "grp").agg(F.count(F.lit(1)).alias("c"))
+    of_var = Window.partitionBy("var_id")
+    c = c.withColumns({"m": F.sum("c").over(of_var), "upto": F.sum("c").over(of_var.orderBy("value")), "tie": F.sum("c").over(Window.partitionBy("var_id", "value"))})
+    above_zeros = F.col("upto") - F.col("tie") + (F.col("tie") + 1) / 2
+    own = c.groupBy("var_id", "grp").agg(F.sum(F.col("c") * above_zeros).alias("s"), F.sum("c").alias("c"), F.sum(F.col("c") * F.col("value")).alias("t"), F.sum(F.col("c").cast("double") * (F.col("tie") * F.col("tie") - 1)).alias("k"), F.first("m").alias("m"))
+    g = own.groupBy("var_id").agg(F.map_from_entries(F.collect_list(F.struct("grp", F.struct("s", "c", "t")))).alias("own"), F.sum("k").alias("k"), F.first("m").alias("m"), F.sum("t").alias("total"))
+    grid = g.join(F.broadcast(group_sizes(obs))).join(F.broadcast(obs.agg(F.count(F.lit(1)).alias("n")))).withColumn("own", F.try_element_at("own", F.col("grp")))
+    grid = grid.select("var_id", "grp", "k", "n", "total", F.col("n_g").alias("n1"), (F.col("n") - F.col("n_g")).alias("n2"), (F.col("n") - F.col("m")).cast("double").alias("n0"), *(F.coalesce(F.col("own").getField(x), F.lit(0)).alias(x) for x in ("s", "c", "t")))
+    n1, n2, n, n0 = (F.col(x) for x in ("n1", "n2", "n", "n0"))
+    total = F.col("s") + F.col("c") * n0 + (n1 - F.col("c")) * (n0 + 1) / 2
     u = total - n1 * (n1 + 1) / 2
-    var = n1 * n2 / 12 * ((F.col("n") + 1) - F.coalesce(F.try_divide("ties", F.col("n") * (F.col("n") - 1)), F.lit(0.0)))
-    return grid.select("var_id", "grp", n1.alias("n1"), u.alias("u"), ((u - n1 * n2 / 2 - 0.5) / F.sqrt(F.greatest(var, F.lit(1e-12)))).alias("z"))
+    var = n1 * n2 / 12 * ((n + 1) - F.coalesce(F.try_divide(F.col("k") + n0 * n0 * n0 - n0, n * (n - 1)), F.lit(0.0)))
+    eff = F.log2(F.try_divide("t", n1) + EPS) - F.log2(F.try_divide(F.col("total") - F.col("t"), n2) + EPS)
+    return grid.select("var_id", "grp", "n1", u.alias("u"), ((u - n1 * n2 / 2 - 0.5) / F.sqrt(F.greatest(var, F.lit(1e-12)))).alias("z"), eff.alias("eff"))
 
 
 def benjamini_hochberg(df: DataFrame, p: str, by: list[str], out: str = "q") -> DataFrame:
