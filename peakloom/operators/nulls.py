@@ -22,14 +22,14 @@ def _hash(draw, item):
     return F.md5(F.concat_ws("_", draw.cast("string"), item.cast("string")))
 
 
-def drawn_hits(items: DataFrame, n: int, sizes: list[int], draws: int) -> DataFrame:
-    """(size, draw, item): the items of each draw's set of each size. items: (item), n of them, distinct.
+def first_of_draws(items: DataFrame, n: int, most: int, draws: int) -> DataFrame:
+    """(draw, item, k): the first `most` items of each draw's order. items: (item), n of them, distinct.
 
-    An item is looked at further only in draws where its hash lies below a cut that leaves the largest size and seven
+    An item is looked at further only in draws where its hash lies below a cut that leaves `most` and seven
     deviations more. Draws that come short of it all the same (one in 10^11) are drawn again without a cut, so that
     sets always have their sizes; only a list that is shorter than a size has less.
     """
-    top = min(max(sizes, default=0), n)
+    top = min(most, n)
     share = (top + 7 * math.sqrt(top) + 50) / max(n, 1)
     cut = "g" if share >= 1 else f"{int(share * 16**HEX):0{HEX}x}"  # "g" comes after all hashes
     low = items.select("item", F.explode(F.filter(F.sequence(F.lit(0), F.lit(draws - 1)), lambda d: _hash(d, F.col("item")) < cut)).alias("draw"))
@@ -38,8 +38,17 @@ def drawn_hits(items: DataFrame, n: int, sizes: list[int], draws: int) -> DataFr
     again = items.select("item").join(F.broadcast(short)).select("item", "draw")  # no draw, but for bad luck; `draws` at most
     found = low.join(F.broadcast(short), "draw", "left_anti").unionByName(again) if share < 1 else low
     k = F.row_number().over(Window.partitionBy("draw").orderBy(_hash(F.col("draw"), F.col("item")), "item"))
-    first = found.withColumn("_k", k).where(F.col("_k") <= top)
-    return first.select(F.explode(F.filter(F.array(*map(F.lit, sorted(sizes))), lambda h: h >= F.col("_k"))).alias("size"), "draw", "item")
+    return found.select("draw", "item", k.alias("k")).where(F.col("k") <= top)
+
+
+def of_sizes(first: DataFrame, sizes: list[int]) -> DataFrame:
+    """The rows of first (k, ...) once for each `size` that takes them."""
+    return first.withColumn("size", F.explode(F.filter(F.array(*map(F.lit, sorted(sizes))), lambda h: h >= F.col("k")))).drop("k")
+
+
+def drawn_hits(items: DataFrame, n: int, sizes: list[int], draws: int) -> DataFrame:
+    """(size, draw, item): the items of each draw's set of each size. items: (item), n of them, distinct."""
+    return of_sizes(first_of_draws(items, n, max(sizes, default=0), draws), sizes).select("size", "draw", "item")
 
 
 def enrichment_null(ranked: DataFrame, sets: DataFrame, draws: int = 1000) -> DataFrame:
@@ -51,13 +60,14 @@ def enrichment_null(ranked: DataFrame, sets: DataFrame, draws: int = 1000) -> Da
 
     A set's drawn scores come as one array of its size. The driver sees the distinct sizes of sets (some hundreds).
     """
-    at = places(ranked)
+    at = places(ranked).hint("merge")  # as long as the list: never broadcast, though its file may look small
     n = ranked.agg(F.count(F.lit(1)).alias("n"))
     scored = walk(sets.join(at, "item"), n, ["set"])
-    sizes = [r["n"] for r in sets.join(ranked.select("item"), "item").groupBy("set").agg(F.count(F.lit(1)).alias("n")).select("n").distinct().collect()]
+    sizes = [r["n"] for r in sets.join(ranked.select("item").hint("merge"), "item").groupBy("set").agg(F.count(F.lit(1)).alias("n")).select("n").distinct().collect()]
     if not sizes:
         sizes = [1]  # no set is scored, and none will be joined
-    hits = drawn_hits(ranked.select("item"), ranked.count(), sizes, draws).join(at, "item")
+    first = first_of_draws(ranked.select("item"), ranked.count(), max(sizes), draws)
+    hits = of_sizes(first.join(at, "item"), sizes)
     null = walk(hits, n, ["size", "draw"]).where("score is not null").groupBy("size").agg(F.collect_list("score").alias("_null"))
     j = scored.join(null, F.col("n_hits") == F.col("size"), "left")
     side = F.filter("_null", lambda x: (x >= 0) == (F.col("score") >= 0))
