@@ -2,7 +2,9 @@
 
 import re
 
-from peakloom.operators import nulls
+from pyspark.sql import functions as F
+
+from peakloom.operators import links, nulls
 
 
 def _plan(df) -> str:
@@ -10,7 +12,22 @@ def _plan(df) -> str:
 
 
 def test_enrichment_null_broadcasts_no_list(spark):
-    items = spark.createDataFrame([(i, float(i % 7)) for i in range(60)], "item bigint, weight double")
+    items = spark.range(60).selectExpr("id as item", "cast(id % 7 as double) as weight")
     got = nulls.enrichment_null(items, items.selectExpr("item % 3 as set", "item"), 4)
     assert not re.search(r"BroadcastHashJoin \[(item|weight)#", _plan(got))
     assert got.count() == 3
+
+
+def test_anchors_look_at_starts_near_by(spark):
+    """Transcripts of one start are one site, and the nearest of many starts, in clusters and far apart, is found."""
+    starts = [(f"t{t}", i, s) for t in range(3) for i, s in enumerate([*range(0, 3000, 37), 10**6, 10**6, 10**6 + 5, 2 * 10**6, *[500] * 40])]
+    sites = spark.createDataFrame(starts, "target string, row_idx int, tss bigint")
+    assert max(r["n"] for r in links._grid(sites).select(F.size("_sites").alias("n")).collect()) == 86  # not 125
+    rows = [(f"t{i % 4}", f"chr1:{i * 7919 % 2_100_000}-{i * 7919 % 2_100_000 + 501}", f"[{i * 104_729 % 900_000 - 450_000}]") for i in range(300)]
+    got = links.anchors(spark.createDataFrame(rows, "target string, region string, distance string"), sites).collect()
+    assert len(got) == 300
+    want = {}
+    for t, region, d in rows:
+        mid, d = int(region.split(":")[1].split("-")[0]) + 250, abs(int(d[1:-1]))
+        want[t, region] = min(((abs(abs(s - mid) - d), i, s) for u, i, s in starts if u == t), default=(None, None, mid - d))
+    assert all((r["err"], r["anchor"]) == (want[r["target"], r["region"]][0], want[r["target"], r["region"]][2]) for r in got)
