@@ -161,7 +161,8 @@ _ANCHORED = oracle_sql()["tss_anchor"]
 
 def _arcs(spark, sf_dir):
     l = c.links(spark, sf_dir).withColumn("grp", F.concat(F.lit("a b/"), (F.col("importance") % 3).cast("int").cast("string")))
-    return tables.interact_rows(l, base.queries()["tss_anchor"](spark, sf_dir), "grp", "importance", 200)
+    first = links.top_per(links.placed(l), "grp", [F.desc("importance"), F.asc("region"), F.asc("target")], 200)  # all placed links have an anchor
+    return tables.interact_rows(links.anchors(first, base._tss(spark, sf_dir).select("target", "row_idx", "tss"), ("grp", "importance", "rho")), None, "grp", "importance", 200)
 
 
 _ARCS = f"""WITH a AS ({_ANCHORED}), l AS ({c.LINKS_SQL}), j AS (SELECT l.*, anchor, 'a_b-' || CAST(importance % 3 AS INTEGER) AS exp, regexp_extract(region, '^(.*):', 1) AS ch, CAST(regexp_extract(region, ':([0-9]+)-', 1) AS BIGINT) AS s, CAST(regexp_extract(region, '-([0-9]+)$', 1) AS BIGINT) AS e FROM l JOIN a USING (target, region)), k AS (SELECT *, row_number() OVER (PARTITION BY exp ORDER BY importance DESC, region, target) AS k FROM j), x AS (SELECT *, CAST(round_even(importance / max(importance) OVER (PARTITION BY exp) * 1000, 0) AS INTEGER) AS score, (s + e) // 2 AS mid FROM k WHERE k <= 200)"""

@@ -88,14 +88,16 @@ def write_audit(audit: DataFrame, prefix: str) -> dict:
     return one
 
 
-def interact_rows(links: DataFrame, anchored: DataFrame, group: str, z: str, n: int = 50000) -> DataFrame:
+def interact_rows(links: DataFrame, anchored: DataFrame | None, group: str, z: str, n: int = 50000) -> DataFrame:
     """The 18 columns of the interact format and the group, for the n strongest links of a group.
 
-    links: (target, region, group, z, rho); anchored: (target, region, anchor). The arc spans from the region's middle to
+    links: (target, region, group, z, rho); anchored: (target, region, anchor), None if links have it. The arc spans from the region's middle to
     the anchor; scores are 0 to 1000 of the group's largest z; the colour is that of the sign of rho. Halves of rho's
     decimals are rounded away from zero in the name; an undefined rho is written nan.
     """
-    top = top_per(links.join(anchored.select("target", "region", "anchor"), ["target", "region"]), group, [F.desc(z), F.asc("region"), F.asc("target")], n)
+    if anchored is not None:
+        links = links.join(anchored.select("target", "region", "anchor"), ["target", "region"])
+    top = top_per(links, group, [F.desc(z), F.asc("region"), F.asc("target")], n)
     top = top.withColumn("_p", parse(F.col("region"))).where("_p is not null")
     mid = F.floor((F.col("_p.start") + F.col("_p.end")) / 2)
     score = F.least(F.greatest(F.bround(F.col(z) / F.greatest(F.max(z).over(Window.partitionBy(group)), F.lit(1e-9)) * 1000), F.lit(0.0)), F.lit(1000.0)).cast("int")

@@ -31,3 +31,10 @@ def test_anchors_look_at_starts_near_by(spark):
         mid, d = int(region.split(":")[1].split("-")[0]) + 250, abs(int(d[1:-1]))
         want[t, region] = min(((abs(abs(s - mid) - d), i, s) for u, i, s in starts if u == t), default=(None, None, mid - d))
     assert all((r["err"], r["anchor"]) == (want[r["target"], r["region"]][0], want[r["target"], r["region"]][2]) for r in got)
+
+
+def test_interact_export_anchors_its_rows_only(spark):
+    from peakloom import catalog_guards
+
+    plan = _plan(catalog_guards.interact_export(spark, "/root/testdata/sf0.001"))
+    assert plan.count("lineitem.parquet") == 1  # links are made once, and only those that are written get an anchor
