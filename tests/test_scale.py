@@ -38,3 +38,13 @@ def test_interact_export_anchors_its_rows_only(spark):
 
     plan = _plan(catalog_guards.interact_export(spark, "/root/testdata/sf0.001"))
     assert plan.count("lineitem.parquet") == 1  # links are made once, and only those that are written get an anchor
+
+
+def test_search_space_of_sites_that_share_a_span(spark, tmp_path):
+    """Sites 6000 apart share chromosome and start: each has its peaks once."""
+    from peakloom import catalog
+
+    spark.createDataFrame([(k,) for k in (1, 6001, 12001)], "s_suppkey bigint").write.parquet(f"{tmp_path}/supplier.parquet")
+    spark.createDataFrame([(5, 37, 24, 1), (7, 38, 24, 1)], "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int").selectExpr("l_orderkey", "l_partkey", "l_suppkey + 1 as l_suppkey", "l_linenumber").write.parquet(f"{tmp_path}/lineitem.parquet")
+    got = sorted((r["site_id"], r["start"]) for r in catalog.search_space(spark, str(tmp_path)).collect())
+    assert got == [(k, s) for k in (1, 6001, 12001) for s in (37005, 38007)]
