@@ -35,10 +35,10 @@ _NAMED = "SELECT 'm' || p_partkey % 20 AS motif, 'gene' || printf('%02d', p_part
 _CIS = f"s AS ({_SCORES}), a AS ({_NAMED}), l AS ({c.LINKS_SQL}), x AS (SELECT DISTINCT tf, kind, region FROM s JOIN a USING (motif) WHERE score >= 100 AND (kind = 'direct' OR (fdr <= 0.001 AND identity >= 0)) AND tf IN (SELECT target FROM l))"
 
 
-def _cistromes(spark, sf_dir):
+def _cistromes(spark, sf_dir, along=None):
     k, size = F.col("p_partkey"), F.col("p_size")
     named = c.table(spark, sf_dir, "part").select(F.concat(F.lit("m"), (k % 20).cast("string")).alias("motif"), F.format_string("gene%02d", k % 37).alias("tf"), F.when(size % 2 == 0, "direct").otherwise("extended").alias("kind"), (size % 9 / 4000.0).alias("fdr"), (size % 3 / 3.0).alias("identity"))
-    return regulons.cistromes(_scores(spark, sf_dir).where("score >= 100"), named, c.links(spark, sf_dir).select(F.col("target").alias("tf")))
+    return regulons.cistromes(_scores(spark, sf_dir).where("score >= 100"), named, c.links(spark, sf_dir).select(F.col("target").alias("tf")), along=along)
 
 
 @query(f"WITH {_CIS} SELECT tf, kind, count(*) AS n_regions, CAST(sum(region) AS BIGINT) AS regions FROM x GROUP BY ALL")
@@ -57,7 +57,7 @@ def link_sets(spark, sf_dir):
 @query(f"WITH {_CIS}, {_LINKED}, j AS (SELECT tf, kind, sign, x.region, target FROM x JOIN ls ON CAST(regexp_extract(ls.region, ':([0-9]+)-', 1) AS BIGINT) = x.region * 1000 WHERE n_methods > 0 AND sign IS NOT NULL) SELECT tf, kind, sign, count(DISTINCT region) AS n_regions, count(DISTINCT target) AS n_targets FROM j GROUP BY ALL HAVING count(DISTINCT target) >= 10")
 def regulon_assembly(spark, sf_dir):
     l = regulons.link_sets(c.links(spark, sf_dir)).withColumn("region", (F.regexp_extract("region", r":([0-9]+)-", 1).cast("bigint") / 1000).cast("bigint"))
-    return regulons.assemble(_cistromes(spark, sf_dir), l, 10)
+    return regulons.assemble(_cistromes(spark, sf_dir, regulons.targets_of(l)), least=10)
 
 
 _LIST = "SELECT o_orderkey AS item, o_totalprice AS weight FROM orders"

@@ -58,3 +58,16 @@ def test_differential_of_equal_scores_is_undefined(spark):
     flat, some = got["flat"], got["some"]
     assert str(flat["z"]) == str(flat["p"]) == "nan" and flat["q"] == 1
     assert abs(some["q"] - min(1, 2 * some["p"])) < 1e-12  # of two tests
+
+
+def test_cistromes_multiply_hits_last(spark):
+    """A factor of several motifs has a region once, and no row of factors is shuffled."""
+    df = spark.createDataFrame
+    hits = df([("a", 1), ("b", 1), ("b", 2), ("b", 2), ("c", 3)], "motif string, region int")
+    named = df([(m, tf, "direct", 0.0, 0.0) for m, tf in (("a", "x"), ("b", "x"), ("b", "x"), ("b", "y"), ("c", "z"))], "motif string, tf string, kind string, fdr double, identity double")
+    x = regulons.cistromes(hits, named, df([("x",), ("y",)], "tf string"))
+    assert sorted((r["tf"], r["region"]) for r in x.collect()) == [("x", 1), ("x", 2), ("y", 1), ("y", 2)]
+    assert not re.search(r"hashpartitioning\(tf#\d+, kind#\d+, region", _plan(x))
+    links = df([("t1", 1, "+"), ("t2", 1, "+"), ("t1", 2, "+"), ("t1", 2, "-")], "target string, region int, sign string")
+    got = {(r["tf"], r["sign"]): (r["n_regions"], r["n_targets"]) for r in regulons.assemble(x, links, 1).collect()}
+    assert got == {("x", "+"): (2, 2), ("x", "-"): (1, 1), ("y", "+"): (2, 2), ("y", "-"): (1, 1)}
