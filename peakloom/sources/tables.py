@@ -18,9 +18,12 @@ LINK_COLUMNS = ("target", "region", "importance", "rho")
 
 def three_spellings(name: Column) -> Column:
     """Struct (chrom, start, end) of chr:start-end, chr-start-end or chr:start:end; null for what is none of them."""
-    part = lambda i: F.regexp_extract(name, r"^([^:]+):([0-9]+)[-:]([0-9]+)$|^(.+)-([0-9]+)-([0-9]+)$", i)
-    either = lambda i: F.when(part(1) != "", part(i)).otherwise(part(i + 3))
-    return F.when(either(2) != "", F.struct(either(1).alias("chrom"), either(2).try_cast("bigint").alias("start"), either(3).try_cast("bigint").alias("end")))
+    # One pass of one pattern: its parts are put on lines, which no other text can have but a name that is left as it is.
+    lines = F.regexp_replace(name, r"^(?:([^:]+):([0-9]+)[-:]([0-9]+)|(.+)-([0-9]+)-([0-9]+))$", "$1$4\n$2$5\n$3$6")
+    ends = F.substring_index(lines, "\n", -2)
+    start, end = F.substring_index(ends, "\n", 1), F.substring_index(ends, "\n", -1)
+    chrom = F.left(lines, F.length(lines) - F.length(ends) - 1)
+    return F.when(lines != name, F.struct(chrom.alias("chrom"), start.try_cast("bigint").alias("start"), end.try_cast("bigint").alias("end")))
 
 
 def catalog_of_names(names: DataFrame, name: str) -> DataFrame:

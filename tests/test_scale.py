@@ -71,3 +71,14 @@ def test_cistromes_multiply_hits_last(spark):
     links = df([("t1", 1, "+"), ("t2", 1, "+"), ("t1", 2, "+"), ("t1", 2, "-")], "target string, region int, sign string")
     got = {(r["tf"], r["sign"]): (r["n_regions"], r["n_targets"]) for r in regulons.assemble(x, links, 1).collect()}
     assert got == {("x", "+"): (2, 2), ("x", "-"): (1, 1), ("y", "+"): (2, 2), ("y", "-"): (1, 1)}
+
+
+def test_three_spellings_in_one_pass(spark):
+    from peakloom.sources import tables
+
+    names = ["chr1:5-9", "chr-1-5-9", "chr1:5:9", "HLA-DRB1-5-9", "gene5", "chr1:5", "a:b:1-2", "a\n1\n2", "x\ny:1-2", ":1-2", "chr1:5-99999999999999999999", None]
+    df = spark.createDataFrame([(n,) for n in names], "name string")
+    got = df.select(tables.three_spellings(F.col("name")).alias("p"))
+    assert _plan(got).count("regexp_extract") == 0
+    want = [("chr1", 5, 9), ("chr-1", 5, 9), ("chr1", 5, 9), ("HLA-DRB1", 5, 9), None, None, None, None, ("x\ny", 1, 2), None, ("chr1", 5, None), None]
+    assert [r["p"] and tuple(r["p"]) for r in got.collect()] == want
