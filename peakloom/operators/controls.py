@@ -92,7 +92,8 @@ def decoy_null(markers: DataFrame, features: DataFrame, entries: DataFrame, targ
     picks = away.withColumn("k", F.row_number().over(order)).where("k <= n_near").select("marker", "draw", "var_id")
     sets = near.select("marker", F.lit(0).alias("draw"), "var_id").unionByName(picks)
     full = sets.groupBy("marker", "draw").agg(F.count(F.lit(1)).alias("n")).join(F.broadcast(range_.select("marker", "n_near")), "marker").where("n = n_near")
-    sums = sets.join(entries, "var_id").groupBy("marker", "draw", "obs_id").agg(F.sum("value").alias("a"))
+    # Dealt before they are summed: a task's rows are bounded by their own size, not by that of entries, which sets multiply.
+    sums = sets.join(entries, "var_id").repartition("marker", "draw", "obs_id").groupBy("marker", "draw", "obs_id").agg(F.sum("value").alias("a"))
     # Every observation of every draw, since zeros have ranks too: at most markers x (draws + 1) rows an observation.
     dense = obs.join(F.broadcast(full.select("marker", "draw")), how="cross").join(sums, ["marker", "draw", "obs_id"], "left").join(targets, ["marker", "obs_id"], "left")
     by = Window.partitionBy("marker", "draw")

@@ -82,3 +82,10 @@ def test_three_spellings_in_one_pass(spark):
     assert _plan(got).count("regexp_extract") == 0
     want = [("chr1", 5, 9), ("chr-1", 5, 9), ("chr1", 5, 9), ("HLA-DRB1", 5, 9), None, None, None, None, ("x\ny", 1, 2), None, ("chr1", 5, None), None]
     assert [r["p"] and tuple(r["p"]) for r in got.collect()] == want
+
+
+def test_decoy_sums_are_dealt_first(spark):
+    """No task sums, before a shuffle, rows that sets have multiplied."""
+    from peakloom import catalog
+
+    assert "REPARTITION_BY_COL" in _plan(catalog.decoy_null(spark, "/root/testdata/sf0.001"))
