@@ -89,3 +89,37 @@ def test_decoy_sums_are_dealt_first(spark):
     from peakloom import catalog
 
     assert "REPARTITION_BY_COL" in _plan(catalog.decoy_null(spark, "/root/testdata/sf0.001"))
+
+
+def test_nearest_in_blocks(spark):
+    """Blocks are few anchors by few references, and what they leave is what all pairs give: ties by id, no numbers last."""
+    from peakloom.operators import pairing
+
+    rows = [(g, i, [float((i * 7 + g) % 11 - 5), float(i * 13 % 7 - 3), 1.0]) for g in (1, 2) for i in range(200)]
+    odd = [(1, 200, None), (1, 201, [1.0, None, 2.0]), (1, 202, [1.0, 2.0]), (1, 203, [float("nan"), 0.0, 1.0]), (1, 204, [0.0, 0.0, 0.0]), (3, 300, [1.0, 0.0, 0.0]), (3, 301, None)]
+    z = spark.createDataFrame(rows + odd, "grp int, obs_id bigint, z array<double>")
+    for k, most in ((5, (3, 17)), (5, (1024, 4096)), (300, (3, 17))):
+        got = [(r["grp"], r["anchor"], r["rank"], r["obs_id"], r["dist"]) for r in pairing.nearest(z.where("obs_id % 10 = 0"), z, k, *most).collect()]
+        want = []
+        for g, a, u in rows + odd:
+            if a % 10:
+                continue
+            far = []
+            for h, i, v in rows + odd:
+                if h == g:
+                    if u is None or v is None or None in v or len(u) != len(v):
+                        far.append((4, i, None))
+                        continue
+                    norm = (sum(x * x for x in u) or 1) ** 0.5 * (sum(x * x for x in v) or 1) ** 0.5
+                    d = round(1 - sum(x * y for x, y in zip(u, v, strict=True)) / norm, 9) + 0.0
+                    far.append((3, i, "nan") if d != d else (d, i, d))
+            want += [(g, a, n + 1, i, d) for n, (_, i, d) in enumerate(sorted(far, key=lambda x: x[:2])[:k])]
+        assert sorted((*x[:4], "nan" if x[4] != x[4] else x[4]) for x in got if x[4] is not None) == sorted(x for x in want if x[4] is not None)
+        assert sorted(x[:4] for x in got) == sorted(x[:4] for x in want)
+
+
+def test_pairing_diagnostics_search_once(spark):
+    from peakloom import catalog
+
+    plan = _plan(catalog.pairing_diag(spark, "/root/testdata/sf0.001"))
+    assert plan.count("FlatMapGroupsInArrow") == 1 and not re.search(r"zip_with", plan)
