@@ -123,3 +123,10 @@ def test_pairing_diagnostics_search_once(spark):
 
     plan = _plan(catalog.pairing_diag(spark, "/root/testdata/sf0.001"))
     assert plan.count("FlatMapGroupsInArrow") == 1 and not re.search(r"zip_with", plan)
+
+
+def test_worst_groups_sorts_no_pairs(spark):
+    from peakloom import catalog_profiles
+
+    plan = _plan(catalog_profiles.worst_groups(spark, "/root/testdata/sf0.001"))
+    assert "FlatMapGroupsInArrow" in plan and not re.search(r"zip_with", plan)
