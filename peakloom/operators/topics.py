@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+import tempfile
+
 from pyspark.ml.clustering import LDA, LDAModel
 from pyspark.ml.feature import CountVectorizer, CountVectorizerModel
 from pyspark.sql import DataFrame, Window
@@ -15,13 +18,27 @@ def accessible(entries: DataFrame, is_acc: float = 1, min_obs: int = 1, min_vars
     return e.withColumn("_o", F.count(F.lit(1)).over(Window.partitionBy("obs_id"))).where(F.col("_o") >= min_vars).drop("_o")
 
 
-def fit_topics(cells: DataFrame, k: int, seed: int = 555, iterations: int = 20) -> tuple[CountVectorizerModel, LDAModel, DataFrame]:
-    """Vocabulary, online variational model, and the vectors of (obs_id, var_id); a sampler's topics differ in number and order."""
-    rows = cells.groupBy("obs_id").agg(F.array_sort(F.collect_list("var_id")).alias("vars"))
+def kept(df: DataFrame) -> DataFrame:
+    """df computed once, in as many partitions as its size needs, in the folder of spark.checkpoint.dir, which a cluster must set."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None and re.fullmatch(r"local(\[.*\])?", context.master):
+        context.setCheckpointDir(f"{tempfile.gettempdir()}/peakloom-checkpoints")
+    return df.checkpoint()
+
+
+def topic_vectors(cells: DataFrame) -> tuple[CountVectorizerModel, DataFrame]:
+    """Vocabulary and vectors (obs_id, features) of (obs_id, var_id). Cells are read once, and the vectors, over which a
+    model passes many times, are kept."""
+    rows = kept(cells.groupBy("obs_id").agg(F.array_sort(F.collect_list("var_id")).alias("vars")))
     # The vectorizer keeps 2^18 words unless told: no variable is left out, however many there are.
-    every = max(1, cells.agg(F.countDistinct("var_id")).first()[0])
+    every = max(1, rows.select(F.explode("vars").alias("v")).agg(F.countDistinct("v")).first()[0])
     words = CountVectorizer(inputCol="vars", outputCol="features", binary=True, vocabSize=every).fit(rows)
-    vectors = words.transform(rows).select("obs_id", "features")
+    return words, kept(words.transform(rows).select("obs_id", "features"))
+
+
+def fit_topics(cells: DataFrame, k: int, seed: int = 555, iterations: int = 20) -> tuple[CountVectorizerModel, LDAModel, DataFrame]:
+    """Vocabulary, online variational model, and the kept vectors of (obs_id, var_id); a sampler's topics differ in number and order."""
+    words, vectors = topic_vectors(cells)
     return words, LDA(k=k, seed=seed, maxIter=iterations).fit(vectors), vectors
 
 

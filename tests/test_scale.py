@@ -130,3 +130,14 @@ def test_worst_groups_sorts_no_pairs(spark):
 
     plan = _plan(catalog_profiles.worst_groups(spark, "/root/testdata/sf0.001"))
     assert "FlatMapGroupsInArrow" in plan and not re.search(r"zip_with", plan)
+
+
+def test_topic_metrics_make_cells_once(spark):
+    """The matrix is derived once, however many models are fitted to it and however often they pass over it."""
+    from peakloom.operators import topic_metrics
+
+    made = spark.sparkContext.accumulator(0)
+    rows = spark.sparkContext.parallelize([(o, f"v{v}") for o in range(40) for v in range(12) if (o * 5 + v * 3) % 4 < 2], 2)
+    cells = rows.map(lambda x: made.add(1) or x).toDF("obs_id bigint, var_id string")
+    got = topic_metrics.model_metrics(cells, [2, 3], 4, iterations=2)
+    assert sorted(got) == [2, 3] and made.value == rows.count()
