@@ -75,19 +75,17 @@ def words(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").translate(WORD_TABLE).split() if text else []
 
 
-class WordHashes(dict):
-    """Word bytes to a 64-bit hash; forgets all when it holds `most` words, so memory is bounded."""
+class WordHashes:
+    """64-bit hashes of words. None is remembered: a word is hashed in a third of the time that it takes to be found among 200,000."""
 
-    most = 200_000
+    def of(self, tokens: list[bytes]) -> np.ndarray:
+        return np.fromiter(map(xxhash.xxh3_64_intdigest, tokens), np.uint64, len(tokens))
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.most:
-            self.clear()
-        self[word] = h = xxhash.xxh3_64_intdigest(word)
-        return h
 
-    def of(self, tokens: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, tokens), np.uint64, len(tokens))
+def distinct(x: np.ndarray) -> np.ndarray:
+    """Sorted distinct values; by a sort, which is faster than the library's table for numbers that hardly repeat."""
+    x = np.sort(x)
+    return x[np.concatenate([[True], x[1:] != x[:-1]])] if len(x) else x
 
 
 def mix(x: np.ndarray) -> np.ndarray:

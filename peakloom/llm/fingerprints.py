@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import SLICE_ROWS, WordHashes, discard, shingles, text_of, words, written
+from .common import SLICE_ROWS, WordHashes, discard, distinct, shingles, text_of, words, written
 from .neardup import LIKENESS, classes
 
 PERMUTATIONS = 128
@@ -66,7 +66,7 @@ class Print:
     """What is kept of a text: its shingles, their signature, and the lower 16 bits of that as the fingerprint."""
 
     def __init__(self, text: str, hashes: WordHashes) -> None:
-        self.shingles = np.unique(shingles(hashes.of(words(text))))
+        self.shingles = distinct(shingles(hashes.of(words(text))))
         self.signature = signature(self.shingles)
         self.fingerprint = self.signature.astype(np.uint16)
 
@@ -187,7 +187,7 @@ def _make_bands():
     hashes = WordHashes()
 
     def f(texts):
-        found = [np.unique(shingles(hashes.of(words(t)))) for t in texts]
+        found = [distinct(shingles(hashes.of(words(t)))) for t in texts]
         return [bands(signature(e)).view(np.int64).tolist() if len(e) else [] for e in found], [len(e) for e in found]
 
     return f
@@ -195,7 +195,7 @@ def _make_bands():
 
 def _make_features():
     hashes = WordHashes()
-    return lambda text: np.unique(shingles(hashes.of(words(text))))
+    return lambda text: distinct(shingles(hashes.of(words(text))))
 
 
 def link_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = LIKENESS) -> DataFrame:

@@ -210,3 +210,18 @@ def test_spread_join_splits_hot_keys_and_keeps_all_rows(spark):
     assert sorted(tuple(r) for r in spread_join(big, small, "k", counts).select("i", "k", "v").collect()) == sorted((i, k, 2 * k) for i, k in rows if k in have)
     assert sorted(tuple(r) for r in spread_join(big, small, "k", counts, "left").select("i", "v").collect() if r["v"] is None) == sorted((i, None) for i, k in rows if k not in have)
     assert spread_join(big.where("false"), small, "k", counts.where("false")).count() == 0
+
+
+def test_hashes_of_words_keep_nothing():
+    """Hashes are those of xxh3, no word is remembered, and distinct values are those of numpy."""
+    import numpy as np
+    import xxhash
+
+    from peakloom.llm.common import WordHashes, distinct
+
+    hashes = WordHashes()
+    tokens = [b"a", b"\xc3\xa9", b"a", b"x" * 300]
+    assert hashes.of(tokens).tolist() == [xxhash.xxh3_64_intdigest(t) for t in tokens] and hashes.of([]).dtype == np.uint64
+    assert not isinstance(hashes, dict) and not vars(hashes)
+    for x in (np.array([], np.uint64), np.array([2**64 - 1, 3, 3, 0], np.uint64)):
+        assert distinct(x).tolist() == np.unique(x).tolist() and distinct(x).dtype == np.uint64
