@@ -2,6 +2,7 @@
 
 import re
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from peakloom.operators import links, nulls, regulons
@@ -132,6 +133,42 @@ def test_worst_groups_sorts_no_pairs(spark):
     assert "FlatMapGroupsInArrow" in plan and not re.search(r"zip_with", plan)
 
 
+def _most_memory(spark, run) -> int:
+    """Bytes of execution memory of the largest task that run() starts."""
+    sc, jvm = spark.sparkContext._jsc.sc(), spark.sparkContext._jvm
+    stages = lambda: sc.statusStore().stageList(None, False, False, spark.sparkContext._gateway.new_array(jvm.double, 0), jvm.java.util.ArrayList())
+    sc.listenerBus().waitUntilEmpty()
+    before, most = max((s.stageId() for s in _items(stages())), default=-1), 0
+    run()
+    sc.listenerBus().waitUntilEmpty()
+    for s in _items(stages()):
+        if s.stageId() > before:
+            done = [t.taskMetrics() for t in _items(sc.statusStore().taskList(s.stageId(), s.attemptId(), 10**6))]
+            most = max([most, *(m.get().peakExecutionMemory() for m in done if m.isDefined())])
+    return most
+
+
+def _items(seq) -> list:
+    return [seq.apply(i) for i in range(seq.size())]
+
+
+def test_worst_groups_memory_of_one_task(spark, tmp_path):
+    """A group of 10,240,000 pairs is searched once, and no task holds more than a few blocks of its rows."""
+    from peakloom import catalog_profiles
+
+    n = 32_000
+    spark.range(n).selectExpr("id as vec_id", "array(cast(sin(id) as float), cast(cos(id * 3) as float), 1f) as embedding", "1 as label").write.parquet(f"{tmp_path}/embeddings.parquet")
+    df, got = catalog_profiles.worst_groups(spark, str(tmp_path)), []
+    most = _most_memory(spark, lambda: got.extend(df.collect()))
+    assert most < 150 * 2**20
+    assert _plan(df).split("Initial Plan")[0].count("FlatMapGroupsInArrow") == 1
+    i = np.arange(n)
+    z = np.stack([np.sin(i), np.cos(i * 3), np.ones(n)], axis=1).astype(np.float32).astype(float)
+    z /= np.sqrt((z * z).sum(axis=1, keepdims=True))
+    near = np.partition(np.round(1 - z[::100] @ z.T, 9), 4)[:, :5]
+    assert [tuple(r) for r in got] == [(1, round(float(np.quantile(near, 0.95)), 6), n // 100, n // 100)]
+
+
 def test_topic_metrics_make_cells_once(spark):
     """The matrix is derived once, however many models are fitted to it and however often they pass over it."""
     from peakloom.operators import topic_metrics
