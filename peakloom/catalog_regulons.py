@@ -118,7 +118,7 @@ def variable_features(spark, sf_dir):
 @query()
 def topic_model(spark, sf_dir):
     """Topics of the accessible matrix: each topic's five heaviest variables."""
-    words, model, _ = topics.fit_topics(topics.accessible(c.entries(spark, sf_dir), 5), 3, iterations=5)
+    words, model, _ = topics.fit_topics(topics.accessible(c.entries(spark, sf_dir), 5), 3)
     return topics.heaviest(model, words, 5)
 
 

@@ -59,7 +59,7 @@ def topic_density(spark, sf_dir):
 def topic_choice(spark, sf_dir):
     """Models of 3 and of 6 topics of the accessible matrix, their metrics, and the one that they choose."""
     cells = c.entries(spark, sf_dir).where("value >= 5").select("obs_id", "var_id")
-    quality = topic_metrics.model_metrics(cells, [3, 6], 10, iterations=3)
+    quality = topic_metrics.model_metrics(cells, [3, 6])
     best = topic_metrics.select_topics(quality)
     return spark.createDataFrame([(k, *(float(q[m]) for m in sorted(q)), k == best) for k, q in quality.items()], "n_topics int, coherence double, density double, divergence double, perplexity double, chosen boolean")
 

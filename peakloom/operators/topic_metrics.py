@@ -7,13 +7,13 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.ml.clustering import LDA, LDAModel
+from pyspark.ml.clustering import LDAModel
 from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .topics import _histogram, choose_model, kept, top_regions, topic_vectors
+from .topics import PASSES, _histogram, choose_model, fitted, kept, top_regions, topic_vectors
 
 LOWER_IS_BETTER = ("density", "divergence", "perplexity")
 LEAST_FOR_COHERENCE = 5
@@ -125,16 +125,16 @@ def model_frames(words: CountVectorizerModel, model: LDAModel, vectors: DataFram
     return weights, shares.select("obs_id", F.col("topic").cast("bigint").alias("topic"), "weight")
 
 
-def model_metrics(cells: DataFrame, ks: list[int], n: int = 20, seed: int = 555, iterations: int = 20) -> dict[int, dict[str, float]]:
+def model_metrics(cells: DataFrame, ks: list[int], n: int = 20, seed: int = 555, iterations: int = PASSES) -> dict[int, dict[str, float]]:
     """coherence, density, divergence and perplexity of a model of each number of topics, fitted one after the other.
 
-    Cells and vectors are made once and kept until all models are fitted.
+    Cells and vectors are made once and kept until all models are fitted; each pass of a model reads all of them.
     """
     out = {}
     cells = kept(cells)
     words, vectors = topic_vectors(cells)  # the same for all numbers of topics
     for k in ks:
-        model = LDA(k=k, seed=seed, maxIter=iterations).fit(vectors)
+        model = fitted(vectors, k, seed, iterations)
         weights, shares = model_frames(words, model, vectors)
         products = gram(weights)
         lengths = cells.groupBy("obs_id").agg(F.count(F.lit(1)).alias("n"))

@@ -8,7 +8,7 @@ import random
 import numpy as np
 import pytest
 
-from peakloom.operators import nulls, products, search_space, topic_metrics
+from peakloom.operators import nulls, products, search_space, topic_metrics, topics
 
 
 def plain_score(hits, n):
@@ -163,3 +163,21 @@ def test_search_space(spark, monkeypatch, boundaries):
     assert sorted(map(tuple, got.collect())) == sorted(brute_space(peaks, genes, (100, 3000), (200, 1500), boundaries))
     one = {tuple(x) for x in search_space.neighbours(g).collect()}
     assert {tuple(x) for x in search_space.neighbours(g, 700).collect()} == one  # whatever the stripes
+
+
+def test_each_pass_counts_every_entry(spark):
+    """A topic's weights are sums over all cells, so a variable's sum over topics is the number of cells that have it."""
+    rows = [(o, f"v{v}") for o in range(60) for v in range(15) if (o * 7 + v * 5) % 11 < 4 or (o, v) == (59, 14)]
+    words, model, _ = topics.fit_topics(spark.createDataFrame(rows, "obs_id int, var_id string"), 3, iterations=3)
+    have = collections.Counter(v for _, v in rows)
+    assert dict(zip(words.vocabulary, model.topicsMatrix().toArray().sum(axis=1), strict=True)) == pytest.approx(have)
+
+
+def test_topic_choice_finds_planted_topics(spark, tmp_path):
+    """Three kinds of users, of events of their own: three topics share nothing, and they are chosen."""
+    from peakloom import catalog_topics
+
+    e = spark.range(90).selectExpr("id as user_id", "explode(sequence(1, 8)) as d").selectExpr("user_id", "make_timestamp(2024, 1, d, 0, 0, 0) as ts", "concat('kind', user_id % 3) as event_type", "9.0D as value")
+    e.write.parquet(f"{tmp_path}/events.parquet")
+    got = {x["n_topics"]: x for x in catalog_topics.topic_choice(spark, str(tmp_path)).collect()}
+    assert got[3]["density"] < 0.05 and got[3]["perplexity"] < got[6]["perplexity"] and got[3]["chosen"]
